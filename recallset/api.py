@@ -35,7 +35,7 @@ class VectorStore:
     ) -> "VectorStore":
         """Start a store from existing rows, foreign ones included, or empty."""
         store = cls(spark, path, spec)
-        src.write_snapshot(rows if rows is not None else src.empty_store(spark, spec), store._snapshot)
+        src.write_snapshot(rows if rows is not None else src.empty_store(spark, spec), store._snapshot, spec)
         return store
 
     @property

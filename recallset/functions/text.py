@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .vectors import normalize
+from .vectors import let, normalize
 
 # The text layout callers parse.
 HIT_FORMAT = "Document %d (ID: %s, Score: %.4f):\n%s"
@@ -43,8 +43,9 @@ def _json_string(value: Column) -> Column:
 
 def keyword_count_embedding(text: Column, groups: Sequence[Sequence[str]]) -> Column:
     """Per group, how many of its terms occur in the text; unit length, uniform if none occurs."""
-    lowered = F.lower(text)
-    counts = F.array(*[_occurring(lowered, terms) for terms in groups])
+    counts = let(
+        F.lower(text), lambda lowered: F.array(*[_occurring(lowered, terms) for terms in groups])
+    )
     uniform = F.array(*[F.lit(1.0) for _ in groups])
     return F.coalesce(normalize(counts), normalize(uniform))
 
@@ -58,14 +59,17 @@ def _occurring(lowered: Column, terms: Sequence[str]) -> Column:
 
 def keyword_flag_embedding(text: Column, groups: Sequence[Sequence[str]]) -> Column:
     """Per group 1 if any of its terms occurs, else 0.1; unit length."""
-    lowered = F.lower(text)
-    flags = []
-    for terms in groups:
-        found = F.lit(False)
-        for term in terms:
-            found = found | F.contains(lowered, F.lit(term))
-        flags.append(F.when(found, F.lit(1.0)).otherwise(F.lit(0.1)))
-    return normalize(F.array(*flags))
+    flags = let(
+        F.lower(text), lambda lowered: F.array(*[_flag(lowered, terms) for terms in groups])
+    )
+    return normalize(flags)
+
+
+def _flag(lowered: Column, terms: Sequence[str]) -> Column:
+    found = F.lit(False)
+    for term in terms:
+        found = found | F.contains(lowered, F.lit(term))
+    return F.when(found, F.lit(1.0)).otherwise(F.lit(0.1))
 
 
 def hit_title(metadata_title: Column, number: Column) -> Column:

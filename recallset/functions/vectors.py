@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 INFINITY = float("inf")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def literal_vector(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
@@ -28,8 +33,12 @@ def squared_norm(v: Column) -> Column:
 def cosine_distance(a: Column, b: Column) -> Column:
     """``1 - cos(a, b)``, within 0..2; NULL when either side has no direction."""
     cosine = F.try_divide(dot(a, b), F.sqrt(squared_norm(a) * squared_norm(b)))
-    clamped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))
-    return F.when(F.isnan(cosine), cosine).when(cosine.isNotNull(), F.lit(1.0) - clamped)
+    return let(
+        cosine,
+        lambda c: F.when(F.isnan(c), c).when(
+            c.isNotNull(), F.lit(1.0) - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))
+        ),
+    )
 
 
 def is_finite(x: Column) -> Column:
@@ -71,5 +80,10 @@ def id_error(id_: Column) -> Column:
 
 def normalize(v: Column) -> Column:
     """The vector at unit length; NULL when it has no direction."""
-    norm = F.sqrt(squared_norm(v))
-    return F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm))
+    return let(
+        v,
+        lambda a: let(
+            F.sqrt(squared_norm(a)),
+            lambda norm: F.when(norm > 0, F.transform(a, lambda x: x.cast("double") / norm)),
+        ),
+    )

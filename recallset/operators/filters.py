@@ -15,8 +15,17 @@ from ..functions.vectors import is_finite
 from ..spec import SCHEMA_VERSION, StoreSpec, scalar_class
 
 
-def owned(spec: StoreSpec) -> Column:
-    """True for rows this store may replace or remove; false, never NULL, for all others."""
+OWNED_COLUMN = "is_owned"
+
+
+def owned(spec: StoreSpec, rows: DataFrame | None = None) -> Column:
+    """True for rows this store may replace or remove; false, never NULL, for all others.
+
+    Snapshots are partitioned by it. Where ``rows`` come from one, the partition value answers, and the
+    vectors need not be read to see that they are there.
+    """
+    if rows is not None and OWNED_COLUMN in rows.columns:
+        return F.col(OWNED_COLUMN)
     return F.coalesce(
         (F.col("document_type") == spec.document_type)
         & (F.col("schema_version") == SCHEMA_VERSION)

@@ -116,12 +116,13 @@ class _Conditions:
 class LocalNearest:
     """Keeps, per query row, the nearest ``limit`` corpus rows seen so far."""
 
-    def __init__(self, queries: Queries, strict: bool, tie_by_order: bool):
+    def __init__(self, queries: Queries, strict: bool, tie_by_order: bool, digits: int | None = None):
         self.q = queries
         self.strict = strict
         self.tie_by_order = tie_by_order
         self.dimensions = queries.vectors.shape[1]
-        self.margin = rounding_margin(self.dimensions)
+        self.digits = digits
+        self.margin = rounding_margin(self.dimensions) + (0.0 if digits is None else 2 * 10.0**-digits)
         self.q_square = sum_products(queries.vectors, queries.vectors)
         usable = np.isfinite(self.q_square) & (self.q_square > 0)
         if strict and not usable.all():
@@ -192,6 +193,8 @@ class LocalNearest:
             q, r = qi[a : a + step], ri[a : a + step]
             dot = sum_products(vectors[r], self.q.vectors[q])
             distance = cosine_distances(dot, square[r], self.q_square[q])
+            if self.digits is not None:
+                distance = np.round(distance, self.digits)
             keep = distance <= self.bound[q]
             q, r, distance = q[keep], r[keep], distance[keep]
             if not len(q):
@@ -291,14 +294,15 @@ def nearest_in_batches(
     before: str | None,
     strict: bool,
     ranges: tuple[np.ndarray, np.ndarray] | None = None,
+    digits: int | None = None,
 ) -> Iterator[pa.RecordBatch]:
     """Rows ``(q_id, limit, doc_key, id, ord, distance)`` nearest to each query within these batches.
 
     ``before`` names a whole-number column on both sides: a row is a candidate only where its value is
     below the query's, and equal distances are then settled by it. ``ranges`` says that the vectors
-    are 8-bit codes.
+    are 8-bit codes. Distances are rounded to ``digits`` before they are compared.
     """
-    local = LocalNearest(queries, strict, before is not None)
+    local = LocalNearest(queries, strict, before is not None, digits)
     for batch in batches:
         vectors = (
             matrix(batch.column("vector"), dimensions)

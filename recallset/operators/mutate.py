@@ -132,11 +132,18 @@ def latest_items(items: DataFrame) -> DataFrame:
 
 def occupied(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> DataFrame:
     """``(doc_key, owned, created_at)`` of the stored rows under the given keys."""
-    return store.select("doc_key", flt.owned(spec).alias("owned"), "created_at").join(
+    return store.select("doc_key", flt.owned(spec, store).alias("owned"), "created_at").join(
         keys.select("doc_key"), "doc_key", "left_semi"
     )
 
 
+def without(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> DataFrame:
+    """The store less its owned rows under the given keys."""
+    gone = keys.select(F.col("doc_key").alias("gone_key"))
+    same = (F.col("doc_key") == F.col("gone_key")) & flt.owned(spec, store)
+    return store.join(gone, same, "left_anti")
+
+
 def upsert(store: DataFrame, items: DataFrame, spec: StoreSpec, as_of: dt.datetime | str) -> Change:
     """Insert items, or replace the owned rows under their keys as a whole.
 
@@ -146,22 +153,24 @@ def upsert(store: DataFrame, items: DataFrame, spec: StoreSpec, as_of: dt.dateti
     checked = check_items(items, spec)
     fresh = make_documents(latest_items(checked.valid), spec, instant(as_of), instant(as_of))
     held = occupied(store, fresh, spec)
-    collisions = held.filter(~F.col("owned")).select("doc_key")
     written = (
         fresh.withColumnRenamed("created_at", "inserted_at")
         .join(held, "doc_key", "left")
         .filter(F.coalesce("owned", F.lit(True)))
-        .withColumn("created_at", F.when(F.col("owned").isNull(), F.col("inserted_at")).otherwise(F.col("created_at")))
+        .withColumn(
+            "created_at",
+            F.when(F.col("owned").isNull(), F.col("inserted_at")).otherwise(F.col("created_at")),
+        )
         .select(*fresh.columns)
     )
-    kept = store.join(written.select("doc_key"), "doc_key", "left_anti")
-    return Change(kept.select(*store.columns).unionByName(_like(written, store)), collisions, checked.rejects)
+    rows = without(store, fresh, spec).unionByName(_like(written, store))
+    return Change(rows, held.filter(~F.col("owned")).select("doc_key"), checked.rejects)
 
 
 def _like(rows: DataFrame, store: DataFrame) -> DataFrame:
-    """Rows at the column types of a store, which may hold its vectors in single precision."""
-    types = {f.name: f.dataType for f in store.schema.fields}
-    return rows.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in rows.columns])
+    """Own rows at the columns and types of a store, which may hold its vectors in single precision."""
+    rows = rows.withColumn(flt.OWNED_COLUMN, F.lit(True))
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in store.schema.fields])
 
 
 def upsert_mirrored(store: DataFrame, items: DataFrame, spec: StoreSpec, as_of: dt.datetime | str) -> Change:
@@ -176,7 +185,12 @@ def get(store: DataFrame, ids: DataFrame, spec: StoreSpec) -> DataFrame:
     """
     keys = ids.select("id", document_key(spec, F.col("id")).alias("doc_key"))
     stored = store.select(
-        "doc_key", flt.owned(spec).alias("owned"), "vector", "metadata", "metadata_json", "content"
+        "doc_key",
+        flt.owned(spec, store).alias("owned"),
+        "vector",
+        "metadata",
+        "metadata_json",
+        "content",
     ).join(keys.select("doc_key"), "doc_key", "left_semi")
     own = F.coalesce(F.col("owned"), F.lit(False))
     return keys.join(stored, "doc_key", "left").select(
@@ -191,20 +205,18 @@ def delete(store: DataFrame, ids: DataFrame, spec: StoreSpec) -> Change:
     """Remove owned rows by id; a missing id changes nothing, a foreign row stays and is reported."""
     checked = check_ids(ids)
     keys = checked.valid.select(document_key(spec, F.col("id")).alias("doc_key"))
-    held = occupied(store, keys, spec)
-    collisions = held.filter(~F.col("owned")).select("doc_key")
-    going = held.filter("owned").select("doc_key")
-    return Change(store.join(going, "doc_key", "left_anti").select(*store.columns), collisions, checked.rejects)
+    collisions = occupied(store, keys, spec).filter(~F.col("owned")).select("doc_key")
+    return Change(without(store, keys, spec), collisions, checked.rejects)
 
 
 def clear(store: DataFrame, spec: StoreSpec) -> DataFrame:
     """What is left after removing every owned row under the prefix."""
-    return store.filter(~F.coalesce(flt.under_prefix(spec) & flt.owned(spec), F.lit(False)))
+    return store.filter(~F.coalesce(flt.under_prefix(spec) & flt.owned(spec, store), F.lit(False)))
 
 
 def count(store: DataFrame, spec: StoreSpec) -> DataFrame:
     """The number of owned rows under the prefix, as one row."""
-    return store.filter(flt.under_prefix(spec) & flt.owned(spec)).agg(F.count(F.lit(1)).alias("n"))
+    return store.filter(flt.under_prefix(spec) & flt.owned(spec, store)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def require_clean(change: Change) -> None:

@@ -39,6 +39,7 @@ class Task(NamedTuple):
     before: str | None
     strict: bool
     ranges: tuple[np.ndarray, np.ndarray] | None
+    digits: int | None
 
 
 def nearest(
@@ -49,6 +50,7 @@ def nearest(
     before: str | None = None,
     strict: bool = True,
     ranges: tuple[np.ndarray, np.ndarray] | None = None,
+    digits: int | None = None,
     method: str = "auto",
     block_bytes: int = BLOCK_BYTES,
     block_hits: int = BLOCK_HITS,
@@ -61,7 +63,8 @@ def nearest(
 
     ``broadcast`` sends the queries to every task and leaves the corpus where it is. ``shuffle``
     cuts both sides into pieces of bounded size that meet in one task each; a hot key is cut too.
-    ``auto`` broadcasts if the queries and their hits fit the given bounds.
+    ``auto`` broadcasts if the queries and their hits fit the given bounds. With ``digits``, distances are
+    rounded before they are ranked, so that rounding noise does not come before the id.
     """
     ship_package(corpus.sparkSession)
     extra = [before] if before else []
@@ -72,7 +75,7 @@ def nearest(
         F.col("limit").cast("int").alias("limit"),
         *[F.col(_quoted(c)).alias(c) for c in (*fields, *extra)],
     )
-    task = Task(dimensions, tuple(fields), before, strict, ranges)
+    task = Task(dimensions, tuple(fields), before, strict, ranges, digits)
     if method in ("auto", "broadcast"):
         most = max(block_bytes // (8 * dimensions + 64), 1)
         table = queries.limit(most + 1).toArrow()

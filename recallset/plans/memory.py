@@ -22,6 +22,7 @@ def recall(
     text: str = "text",
     limit: int = 3,
     threshold: float = DEFAULT_THRESHOLD,
+    digits: int | None = 9,
     **how: Any,
 ) -> DataFrame:
     """Per message the nearest earlier ones in its scope, with ``rank``, ``distance`` and ``score``.
@@ -50,7 +51,7 @@ def recall(
         F.lit(limit).alias("limit"),
         *[F.col(c).alias(c) for c in (*scope, "ord")],
     )
-    found = nearest(rows, queries, dimensions, scope, before="ord", **how)
+    found = nearest(rows, queries, dimensions, scope, before="ord", digits=digits, **how)
     return (
         found.rows.withColumn("score", distance_to_score(F.col("distance")))
         .filter(F.col("score") >= threshold)

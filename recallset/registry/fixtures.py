@@ -20,8 +20,20 @@ WRITTEN = "2026-02-01 00:00:00"
 GROUPS = (("the", "tion", "ing"), ("der", "sch", "ung"), ("les", "ent", "eur"), ("del", "ado", "ion"))
 
 
+# Declared, so that no job has to open the files to find them.
+SCHEMAS = {
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _metadata(lang: Column) -> Column:

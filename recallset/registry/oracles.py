@@ -205,7 +205,7 @@ corpus AS (
          CASE WHEN lang <> 'es' THEN text END AS content
   FROM {_embedded("documents")}),
 pairs AS (
-  SELECT q_id, c.*, {DISTANCE.format(a="c.v", b="a.v")} AS distance
+  SELECT q_id, c.*, round({DISTANCE.format(a="c.v", b="a.v")}, 9) AS distance
   FROM asked a JOIN corpus c ON a.q_user = c.user_id),
 ranked AS (
   SELECT *, {SCORE} AS score, row_number() OVER (PARTITION BY q_id ORDER BY distance, id) AS rank FROM pairs
@@ -354,7 +354,7 @@ SELECT q_id, context FROM contexts""",
     "memory_recall": f"""
 WITH m AS (SELECT conv_id, turn, v FROM {_embedded("conversations")}),
 pairs AS (
-  SELECT n.conv_id, n.turn, e.turn AS recalled_turn, {DISTANCE.format(a="e.v", b="n.v")} AS distance
+  SELECT n.conv_id, n.turn, e.turn AS recalled_turn, round({DISTANCE.format(a="e.v", b="n.v")}, 9) AS distance
   FROM m n JOIN m e ON e.conv_id = n.conv_id AND e.turn < n.turn),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY distance, recalled_turn) AS rank FROM pairs)

@@ -419,6 +419,7 @@ def _retrieved(spark: SparkSession, sf: str) -> rt.Retrieved:
             "userId", F.concat(F.lit("src"), F.length("text").cast("string").substr(-1, 1))
         ),
         source="Knowledge base",
+        digits=9,
     )
 
 

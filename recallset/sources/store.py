@@ -15,7 +15,8 @@ DELETE = "delete"
 
 def read_store(spark: SparkSession, path: str, spec: StoreSpec) -> DataFrame:
     """A snapshot as it was written; the schema is declared, so no file is opened to find it."""
-    return spark.read.schema(spec.schema).parquet(path)
+    schema = spec.schema.add(flt.OWNED_COLUMN, T.BooleanType())
+    return spark.read.schema(schema).parquet(path)
 
 
 def scan_type(store: DataFrame, spec: StoreSpec) -> DataFrame:
@@ -28,9 +29,13 @@ def scan_prefix(store: DataFrame, prefix: str) -> DataFrame:
     return store.filter(F.col("doc_key").startswith(prefix))
 
 
-def write_snapshot(rows: DataFrame, path: str) -> None:
+def write_snapshot(rows: DataFrame, path: str, spec: StoreSpec) -> None:
     """Write rows to a new place. An existing one is an error: it may be what ``rows`` reads."""
-    rows.write.mode("errorifexists").parquet(path)
+    values = {flt.OWNED_COLUMN: flt.owned(spec, rows)}
+    fields = spec.schema.add(flt.OWNED_COLUMN, T.BooleanType()).fields
+    rows.select(
+        *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+    ).write.mode("errorifexists").partitionBy(flt.OWNED_COLUMN).parquet(path)
 
 
 def log_schema(spec: StoreSpec) -> T.StructType:
@@ -104,22 +109,23 @@ def current(base: DataFrame, log: DataFrame, spec: StoreSpec) -> DataFrame:
         .select("doc_key", "op", "item", F.col("reset_at").isNull().alias("continues"), "first_at")
     )
     held = base.select(
-        "doc_key", F.col("created_at").alias("base_created_at"), flt.owned(spec).alias("owned")
+        "doc_key", F.col("created_at").alias("base_created_at"), flt.owned(spec, base).alias("owned")
     ).join(state.select("doc_key"), "doc_key", "left_semi")
     effective = state.join(held, "doc_key", "left").filter(F.coalesce("owned", F.lit(True)))
     created = F.when(
         F.col("continues") & F.col("owned").isNotNull(), F.col("base_created_at")
     ).otherwise(F.col("first_at"))
-    columns = [
-        created.alias("created_at") if c == "created_at" else F.col("item").getField(c).alias(c)
-        for c in base.columns
-    ]
-    written = effective.filter(F.col("op") == UPSERT).select(*columns)
+    values = {"created_at": created, flt.OWNED_COLUMN: F.lit(True)}
+    written = effective.filter(F.col("op") == UPSERT).select(
+        *[
+            values.get(f.name, F.col("item").getField(f.name)).cast(f.dataType).alias(f.name)
+            for f in base.schema.fields
+        ]
+    )
     kept = base.join(effective.select("doc_key"), "doc_key", "left_anti").select(*base.columns)
-    types = {f.name: f.dataType for f in base.schema.fields}
-    return kept.unionByName(written.select(*[F.col(c).cast(types[c]).alias(c) for c in base.columns]))
+    return kept.unionByName(written)
 
 
 def compact(base: DataFrame, log: DataFrame, spec: StoreSpec, path: str) -> None:
     """Write base and log together as a new snapshot."""
-    write_snapshot(current(base, log, spec), path)
+    write_snapshot(current(base, log, spec), path, spec)

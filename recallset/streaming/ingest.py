@@ -40,7 +40,7 @@ def log_batch(
     now = instant(as_of)
     rows = make_documents(items, spec, now, now, keep=("op", "ord"))
     if base is not None:
-        foreign = base.filter(~owned(spec)).select("doc_key").join(
+        foreign = base.filter(~owned(spec, base)).select("doc_key").join(
             rows.select("doc_key"), "doc_key", "left_semi"
         )
         first = foreign.take(1)
