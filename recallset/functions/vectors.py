@@ -32,7 +32,19 @@ def squared_norm(v: Column) -> Column:
 
 def cosine_distance(a: Column, b: Column) -> Column:
     """``1 - cos(a, b)``, within 0..2; NULL when either side has no direction."""
-    cosine = F.try_divide(dot(a, b), F.sqrt(squared_norm(a) * squared_norm(b)))
+    return _from_cosine(F.try_divide(dot(a, b), F.sqrt(squared_norm(a) * squared_norm(b))))
+
+
+def cosine_distance_to(a: Column, values: Sequence[float]) -> Column:
+    """:func:`cosine_distance` to a vector known when the plan is made."""
+    square = 0.0
+    for v in values:
+        square += float(v) * float(v)
+    product = dot(a, literal_vector(values))
+    return _from_cosine(F.try_divide(product, F.sqrt(squared_norm(a) * F.lit(square))))
+
+
+def _from_cosine(cosine: Column) -> Column:
     return let(
         cosine,
         lambda c: F.when(F.isnan(c), c).when(
@@ -78,6 +90,10 @@ def id_error(id_: Column) -> Column:
     return F.when(F.coalesce(F.length(id_), F.lit(0)) == 0, F.lit("Vector id must not be empty"))
 
 
+def has_direction(v: Column) -> Column:
+    return let(squared_norm(v), lambda n: is_finite(n) & (n > 0))
+
+
 def normalize(v: Column) -> Column:
     """The vector at unit length; NULL when it has no direction."""
     return let(

@@ -16,6 +16,7 @@ from ..spec import SCHEMA_VERSION, StoreSpec, scalar_class
 
 
 OWNED_COLUMN = "is_owned"
+BUCKET_COLUMN = "key_bucket"
 
 
 def owned(spec: StoreSpec, rows: DataFrame | None = None) -> Column:
@@ -35,6 +36,18 @@ def owned(spec: StoreSpec, rows: DataFrame | None = None) -> Column:
     )
 
 
+def key_bucket(spec: StoreSpec) -> Column:
+    return F.pmod(F.xxhash64("doc_key"), F.lit(spec.key_buckets)).cast("int")
+
+
+def on_keys(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> tuple[DataFrame, list[str]]:
+    """Keys with what else they can be joined on: where the store is partitioned by bucket, the bucket
+    lets Spark prune the partitions of the scan by the keys it is joined with."""
+    if BUCKET_COLUMN not in store.columns:
+        return keys, ["doc_key"]
+    return keys.withColumn(BUCKET_COLUMN, key_bucket(spec)), ["doc_key", BUCKET_COLUMN]
+
+
 def under_prefix(spec: StoreSpec) -> Column:
     return F.col("doc_key").startswith(spec.key_prefix)
 

@@ -132,9 +132,9 @@ def latest_items(items: DataFrame) -> DataFrame:
 
 def occupied(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> DataFrame:
     """``(doc_key, owned, created_at)`` of the stored rows under the given keys."""
-    return store.select("doc_key", flt.owned(spec, store).alias("owned"), "created_at").join(
-        keys.select("doc_key"), "doc_key", "left_semi"
-    )
+    wanted, on = flt.on_keys(store, keys.select("doc_key"), spec)
+    held = store.select(*on, flt.owned(spec, store).alias("owned"), "created_at")
+    return held.join(wanted, on, "left_semi").select("doc_key", "owned", "created_at")
 
 
 def without(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> DataFrame:
@@ -163,13 +163,15 @@ def upsert(store: DataFrame, items: DataFrame, spec: StoreSpec, as_of: dt.dateti
         )
         .select(*fresh.columns)
     )
-    rows = without(store, fresh, spec).unionByName(_like(written, store))
+    rows = without(store, fresh, spec).unionByName(_like(written, store, spec))
     return Change(rows, held.filter(~F.col("owned")).select("doc_key"), checked.rejects)
 
 
-def _like(rows: DataFrame, store: DataFrame) -> DataFrame:
+def _like(rows: DataFrame, store: DataFrame, spec: StoreSpec) -> DataFrame:
     """Own rows at the columns and types of a store, which may hold its vectors in single precision."""
-    rows = rows.withColumn(flt.OWNED_COLUMN, F.lit(True))
+    rows = rows.withColumn(flt.OWNED_COLUMN, F.lit(True)).withColumn(
+        flt.BUCKET_COLUMN, flt.key_bucket(spec)
+    )
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in store.schema.fields])
 
 
@@ -184,14 +186,19 @@ def get(store: DataFrame, ids: DataFrame, spec: StoreSpec) -> DataFrame:
     ``collision`` marks ids whose key is held by a foreign row. The content is the stored one only.
     """
     keys = ids.select("id", document_key(spec, F.col("id")).alias("doc_key"))
-    stored = store.select(
-        "doc_key",
-        flt.owned(spec, store).alias("owned"),
-        "vector",
-        "metadata",
-        "metadata_json",
-        "content",
-    ).join(keys.select("doc_key"), "doc_key", "left_semi")
+    wanted, on = flt.on_keys(store, keys.select("doc_key"), spec)
+    stored = (
+        store.select(
+            *on,
+            flt.owned(spec, store).alias("owned"),
+            "vector",
+            "metadata",
+            "metadata_json",
+            "content",
+        )
+        .join(wanted, on, "left_semi")
+        .drop(flt.BUCKET_COLUMN)
+    )
     own = F.coalesce(F.col("owned"), F.lit(False))
     return keys.join(stored, "doc_key", "left").select(
         "id",
@@ -219,12 +226,16 @@ def count(store: DataFrame, spec: StoreSpec) -> DataFrame:
     return store.filter(flt.under_prefix(spec) & flt.owned(spec, store)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def require_clean(change: Change) -> None:
-    """Raise on the first reject or collision; to be called before anything is written."""
-    require_valid(change.rejects)
-    first = change.collisions.take(1)
+def require_no_collision(collisions: DataFrame) -> None:
+    first = collisions.select("doc_key").take(1)
     if first:
         raise CollisionError(
             f'Document key "{first[0]["doc_key"]}" exists but is not owned by this store. '
             "Use a dedicated table or a different key_prefix."
         )
+
+
+def require_clean(change: Change) -> None:
+    """Raise on the first reject or collision; to be called before anything is written."""
+    require_valid(change.rejects)
+    require_no_collision(change.collisions)

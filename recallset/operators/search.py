@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from ..errors import ValidationError
 from ..functions.vectors import (
-    cosine_distance,
+    cosine_distance_to,
     distance_to_score,
     is_finite,
-    literal_vector,
     vector_error,
 )
 from ..spec import DEFAULT_LIMIT, DEFAULT_THRESHOLD, StoreSpec, check_search_bounds
@@ -56,7 +55,7 @@ def search_one(
     """
     check_vector(vector, spec)
     check_search_bounds(limit, threshold)
-    distance = cosine_distance(F.col("vector"), literal_vector(vector))
+    distance = cosine_distance_to(F.col("vector"), vector)
     rows = search_corpus(store, spec, filters).withColumn("distance", distance)
     if not strict:
         rows = rows.filter(is_finite(F.col("distance")))
@@ -155,14 +154,15 @@ def scored(hits: DataFrame, queries: DataFrame | None, threshold: float) -> Data
 
 def with_payload(found: Hits, store: DataFrame, spec: StoreSpec, columns: Sequence[str] = PAYLOAD) -> DataFrame:
     """Fetch stored columns of the hits. A bounded set of hits is sent to the scan, not the scan to it."""
-    rows = F.broadcast(found.rows) if found.bounded else found.rows
     needed = {"doc_key", *columns} | ({"metadata"} if "content" in columns else set())
-    stored = store.filter(flt.in_search_scope(spec)).select(*sorted(needed))
+    rows, on = flt.on_keys(store, found.rows, spec)
+    rows = F.broadcast(rows) if found.bounded else rows
+    stored = store.filter(flt.in_search_scope(spec)).select(*sorted(needed | set(on)))
     if "content" in columns:
         stored = stored.withColumn(
             "content", resolved_content(F.col("content"), F.col("metadata"))
         )
-    return stored.select("doc_key", *columns).join(rows, "doc_key").select(
+    return stored.select(*on, *columns).join(rows, on).select(
         "q_id", "rank", "doc_key", "id", *columns, "distance", "score"
     )
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import ConfigurationError
-from ..functions.vectors import cosine_distance, is_finite, squared_norm
+from ..functions.vectors import cosine_distance, has_direction
 from ..operators import filters as flt
 from ..operators.nearest import Hits, nearest
 from ..operators.quantize import closest_lists, encode, value_ranges
@@ -58,8 +58,12 @@ class Index:
 
 
 def index_rows(store: DataFrame, spec: StoreSpec) -> DataFrame:
-    """Rows an index covers: those of the document type with the right number of dimensions."""
-    return store.filter(flt.in_search_scope(spec)).filter(F.size("vector") == spec.dimensions)
+    """Rows an index covers: those of the document type whose vectors have the right size and a direction."""
+    return (
+        store.filter(flt.in_search_scope(spec))
+        .filter(F.size("vector") == spec.dimensions)
+        .filter(has_direction(F.col("vector")))
+    )
 
 
 def list_count(spec: IndexSpec, rows: int) -> int:
@@ -84,10 +88,7 @@ def train_centroids(store: DataFrame, spec: IndexSpec, seed: int = 42) -> DataFr
     wanted = spec.train_list or min(total, MAX_TRAIN_LIST, ROWS_PER_LIST * lists)
     size = 1 << 31
     cutoff = round(size * min(1.0, wanted / max(total, 1)))
-    norm = squared_norm(F.col("vector"))
-    sample = rows.filter(F.pmod(F.xxhash64("doc_key"), F.lit(size)) < cutoff).filter(
-        is_finite(norm) & (norm > 0)
-    )
+    sample = rows.filter(F.pmod(F.xxhash64("doc_key"), F.lit(size)) < cutoff)
     points = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
     model = KMeans(k=max(lists, 2), distanceMeasure="cosine", seed=seed, maxIter=20).fit(points)
     found = [[float(x) for x in c] for c in model.clusterCenters()][:lists]
@@ -154,18 +155,14 @@ def make_index(
     high = np.array(table.column("high").to_pylist() or [0.0] * dimensions)
     included = F.struct(*[flt.field(f).alias(f) for f in spec.store.fields]) if spec.store.fields else F.lit(None)
     vector = [F.col("vector")] if spec.persist_full_vector else []
-    entries = (
-        index_rows(store, spec.store)
-        .select(
-            F.element_at(closest(spark, points, F.col("vector"), 1), 1).alias("centroid_id"),
-            "doc_key",
-            "id",
-            encoded(spark, low, high, F.col("vector")).alias("code"),
-            included.alias("metadata"),
-            "updated_at",
-            *vector,
-        )
-        .filter(F.col("centroid_id").isNotNull())
+    entries = index_rows(store, spec.store).select(
+        F.element_at(closest(spark, points, F.col("vector"), 1), 1).alias("centroid_id"),
+        "doc_key",
+        "id",
+        encoded(spark, low, high, F.col("vector")).alias("code"),
+        included.alias("metadata"),
+        "updated_at",
+        *vector,
     )
     return Index(spec, points, low, high, entries)
 

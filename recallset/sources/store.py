@@ -13,9 +13,17 @@ UPSERT = "upsert"
 DELETE = "delete"
 
 
+def layout(spec: StoreSpec) -> list[T.StructField]:
+    """The columns snapshots are partitioned by."""
+    fields = [T.StructField(flt.OWNED_COLUMN, T.BooleanType())]
+    if spec.key_buckets > 1:
+        fields.append(T.StructField(flt.BUCKET_COLUMN, T.IntegerType()))
+    return fields
+
+
 def read_store(spark: SparkSession, path: str, spec: StoreSpec) -> DataFrame:
     """A snapshot as it was written; the schema is declared, so no file is opened to find it."""
-    schema = spec.schema.add(flt.OWNED_COLUMN, T.BooleanType())
+    schema = T.StructType([*spec.schema.fields, *layout(spec)])
     return spark.read.schema(schema).parquet(path)
 
 
@@ -31,11 +39,18 @@ def scan_prefix(store: DataFrame, prefix: str) -> DataFrame:
 
 def write_snapshot(rows: DataFrame, path: str, spec: StoreSpec) -> None:
     """Write rows to a new place. An existing one is an error: it may be what ``rows`` reads."""
-    values = {flt.OWNED_COLUMN: flt.owned(spec, rows)}
-    fields = spec.schema.add(flt.OWNED_COLUMN, T.BooleanType()).fields
-    rows.select(
-        *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields]
-    ).write.mode("errorifexists").partitionBy(flt.OWNED_COLUMN).parquet(path)
+    values = {flt.OWNED_COLUMN: flt.owned(spec, rows), flt.BUCKET_COLUMN: flt.key_bucket(spec)}
+    partitions = layout(spec)
+    out = rows.select(
+        *[
+            values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
+            for f in [*spec.schema.fields, *partitions]
+        ]
+    )
+    names = [f.name for f in partitions]
+    if spec.key_buckets > 1:
+        out = out.hint("rebalance", *[F.col(n) for n in names])
+    out.write.mode("errorifexists").partitionBy(*names).parquet(path)
 
 
 def log_schema(spec: StoreSpec) -> T.StructType:
@@ -108,14 +123,23 @@ def current(base: DataFrame, log: DataFrame, spec: StoreSpec) -> DataFrame:
         .filter("n = 1")
         .select("doc_key", "op", "item", F.col("reset_at").isNull().alias("continues"), "first_at")
     )
-    held = base.select(
-        "doc_key", F.col("created_at").alias("base_created_at"), flt.owned(spec, base).alias("owned")
-    ).join(state.select("doc_key"), "doc_key", "left_semi")
+    changed, on = flt.on_keys(base, state.select("doc_key"), spec)
+    held = (
+        base.select(
+            *on, F.col("created_at").alias("base_created_at"), flt.owned(spec, base).alias("owned")
+        )
+        .join(changed, on, "left_semi")
+        .drop(flt.BUCKET_COLUMN)
+    )
     effective = state.join(held, "doc_key", "left").filter(F.coalesce("owned", F.lit(True)))
     created = F.when(
         F.col("continues") & F.col("owned").isNotNull(), F.col("base_created_at")
     ).otherwise(F.col("first_at"))
-    values = {"created_at": created, flt.OWNED_COLUMN: F.lit(True)}
+    values = {
+        "created_at": created,
+        flt.OWNED_COLUMN: F.lit(True),
+        flt.BUCKET_COLUMN: flt.key_bucket(spec),
+    }
     written = effective.filter(F.col("op") == UPSERT).select(
         *[
             values.get(f.name, F.col("item").getField(f.name)).cast(f.dataType).alias(f.name)

@@ -86,7 +86,9 @@ class StoreSpec:
     """What one store holds: vector length, ownership marker, key prefix, filter fields.
 
     ``filter_fields`` is a list of names (string fields) or a mapping of name to
-    ``string`` / ``number`` / ``boolean``. The probe options are the defaults of indexed search.
+    ``string`` / ``number`` / ``boolean``. The probe options are the defaults of indexed search. With
+    ``key_buckets`` above 1 snapshots are partitioned by a hash of the key, so that looking up a few keys
+    reads their buckets only.
     """
 
     dimensions: int
@@ -98,6 +100,7 @@ class StoreSpec:
     rerank: bool | None = None
     top_n_scan: int | None = None
     search_scope: str = "document_type"
+    key_buckets: int = 1
     filter_types: Mapping[str, str] = field(init=False, repr=False, compare=False)
 
     def __post_init__(self) -> None:
@@ -109,6 +112,7 @@ class StoreSpec:
         check_index_name(self.index_name)
         object.__setattr__(self, "filter_types", _filter_types(self.filter_fields))
         check_probe_options(self.n_probes, self.rerank, self.top_n_scan)
+        require_positive_int("key_buckets", self.key_buckets)
         if self.search_scope not in ("document_type", "prefix"):
             raise ConfigurationError("search_scope must be document_type or prefix")
 

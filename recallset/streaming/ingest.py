@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..errors import CollisionError
 from ..functions.vectors import id_error, vector_error
-from ..operators.filters import owned
-from ..operators.mutate import instant, make_documents
+from ..operators.mutate import instant, make_documents, occupied, require_no_collision
 from ..operators.validate import require_valid
 from ..sources.store import UPSERT, fold_changes, write_batch
 from ..spec import StoreSpec
@@ -32,22 +30,19 @@ def log_batch(
     ``ord`` counts. With ``base``, a change to a key held by a foreign row is an error.
     """
     op = F.coalesce("op", F.lit(UPSERT)) if "op" in items.columns else F.lit(UPSERT)
-    items = items.withColumn("op", op)
-    wrong_vector = F.when(F.col("op") == UPSERT, vector_error(F.col("vector"), spec.dimensions))
-    reason = F.coalesce(id_error(F.col("id")), wrong_vector)
-    require_valid(items.withColumn("reason", reason).filter(F.col("reason").isNotNull()))
-
-    now = instant(as_of)
-    rows = make_documents(items, spec, now, now, keep=("op", "ord"))
-    if base is not None:
-        foreign = base.filter(~owned(spec, base)).select("doc_key").join(
-            rows.select("doc_key"), "doc_key", "left_semi"
-        )
-        first = foreign.take(1)
-        if first:
-            raise CollisionError(f'Document key "{first[0]["doc_key"]}" exists but is not owned by this store.')
-    changes = rows.select("op", "ord", "doc_key", F.struct(*spec.schema.names).alias("item"))
-    write_batch(fold_changes(changes, now, batch_id), path)
+    items = items.withColumn("op", op).persist()
+    try:
+        wrong_vector = F.when(F.col("op") == UPSERT, vector_error(F.col("vector"), spec.dimensions))
+        reason = F.coalesce(id_error(F.col("id")), wrong_vector)
+        require_valid(items.withColumn("reason", reason).filter(F.col("reason").isNotNull()))
+        now = instant(as_of)
+        rows = make_documents(items, spec, now, now, keep=("op", "ord"))
+        if base is not None:
+            require_no_collision(occupied(base, rows, spec).filter(~F.col("owned")))
+        changes = rows.select("op", "ord", "doc_key", F.struct(*spec.schema.names).alias("item"))
+        write_batch(fold_changes(changes, now, batch_id), path)
+    finally:
+        items.unpersist()
 
 
 def ingest(
@@ -66,11 +61,7 @@ def ingest(
     now = clock or (lambda batch_id: dt.datetime.now(dt.timezone.utc))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        try:
-            log_batch(rows, spec, now(batch_id), batch_id, log_path, base)
-        finally:
-            rows.unpersist()
+        log_batch(batch, spec, now(batch_id), batch_id, log_path, base)
 
     return (
         items.writeStream.foreachBatch(write)
