@@ -75,19 +75,19 @@ def vector_error(v: Column, dimensions: int) -> Column:
     """NULL for a usable vector, else what is wrong with it."""
     bad_value = F.exists(v, lambda x: ~is_finite(x.cast("double")))
     return (
-        F.when(v.isNull(), F.lit("Vector is missing"))
+        F.when(v.isNull(), F.lit("there is no vector"))
         .when(
             F.size(v) != dimensions,
             F.format_string(
-                "Vector dimension mismatch: expected %d, received %d", F.lit(dimensions), F.size(v)
+                "dimension mismatch: the vector has %d values, the store %d", F.size(v), F.lit(dimensions)
             ),
         )
-        .when(bad_value, F.lit("Vector values must all be finite numbers"))
+        .when(bad_value, F.lit("every value of a vector must be a finite number"))
     )
 
 
 def id_error(id_: Column) -> Column:
-    return F.when(F.coalesce(F.length(id_), F.lit(0)) == 0, F.lit("Vector id must not be empty"))
+    return F.when(F.coalesce(F.length(id_), F.lit(0)) == 0, F.lit("the id must not be empty"))
 
 
 def has_direction(v: Column) -> Column:

@@ -94,7 +94,7 @@ def query_conditions(queries: DataFrame, spec: StoreSpec) -> tuple[DataFrame, li
         kind = column_class(queries.schema[name].dataType)
         if kind is None and not isinstance(queries.schema[name].dataType, T.NullType):
             raise UnsupportedFilterError(
-                f'Filter field "{name}" must use a string, finite number, or boolean equality value'
+                f'filter field "{name}" needs a string, a boolean or a finite number'
             )
         quoted = F.col(f"`{name}`")
         if kind != spec.filter_types[name]:
@@ -103,7 +103,7 @@ def query_conditions(queries: DataFrame, spec: StoreSpec) -> tuple[DataFrame, li
             )
         elif kind == "number":
             value = quoted.cast("double")
-            message = f'Filter field "{name}" must use a string, finite number, or boolean equality value'
+            message = f'filter field "{name}" needs a string, a boolean or a finite number'
             queries = queries.withColumn(
                 name,
                 F.when(value.isNull() | is_finite(value), value).otherwise(

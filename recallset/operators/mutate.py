@@ -230,8 +230,7 @@ def require_no_collision(collisions: DataFrame) -> None:
     first = collisions.select("doc_key").take(1)
     if first:
         raise CollisionError(
-            f'Document key "{first[0]["doc_key"]}" exists but is not owned by this store. '
-            "Use a dedicated table or a different key_prefix."
+            f'key "{first[0]["doc_key"]}" is held by a row of another owner; choose another key_prefix'
         )
 
 

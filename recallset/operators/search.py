@@ -79,10 +79,10 @@ def search_one(
 def check_vector(vector: Sequence[float], spec: StoreSpec) -> None:
     if len(vector) != spec.dimensions:
         raise ValidationError(
-            f"Vector dimension mismatch: expected {spec.dimensions}, received {len(vector)}"
+            f"dimension mismatch: the vector has {len(vector)} values, the store {spec.dimensions}"
         )
     if any(v is None or v != v or v in (float("inf"), float("-inf")) for v in vector):
-        raise ValidationError("Vector values must all be finite numbers")
+        raise ValidationError("every value of a vector must be a finite number")
 
 
 def checked_queries(
@@ -110,9 +110,9 @@ def bounds_error(limit: Column, threshold: Column) -> Column:
     whole = (limit > 0) & (limit == F.floor(limit.cast("double")))
     inside = is_finite(threshold.cast("double")) & (threshold >= 0) & (threshold <= 1)
     return F.when(
-        ~F.coalesce(whole, F.lit(False)), F.lit("search limit must be a positive integer")
+        ~F.coalesce(whole, F.lit(False)), F.lit("limit must be a positive integer")
     ).when(
-        ~F.coalesce(inside, F.lit(False)), F.lit("search threshold must be between 0 and 1")
+        ~F.coalesce(inside, F.lit(False)), F.lit("threshold must be between 0 and 1")
     )
 
 

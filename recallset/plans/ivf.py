@@ -285,7 +285,7 @@ def search_index_hits(
         n_probes, rerank, top_n_scan = spec.n_probes, spec.rerank, spec.top_n_scan
     check_probe_options(n_probes, rerank, top_n_scan)
     if rerank and not index.spec.persist_full_vector:
-        raise ConfigurationError("persist_full_vector must remain enabled when searches use rerank")
+        raise ConfigurationError("rerank reads full vectors: persist_full_vector must remain enabled")
     n_probes = n_probes or index.spec.scan_n_probes or DEFAULT_N_PROBES
 
     own_threshold = queries if "threshold" in queries.columns else None

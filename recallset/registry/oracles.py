@@ -236,13 +236,13 @@ WITH {ITEMS} SELECT '{KEY}' || id || '@' || ord AS doc_key, '{TYPE}' AS document
     "document_key": f"SELECT doc_id, '{KEY}' || doc_id AS doc_key FROM documents",
     "validate_vectors": """
 SELECT vec_id, CASE label
-  WHEN 1 THEN 'Vector dimension mismatch: expected 64, received ' || (len(embedding) - 1)
-  WHEN 2 THEN 'Vector values must all be finite numbers'
-  WHEN 3 THEN 'Vector values must all be finite numbers'
-  WHEN 4 THEN 'Vector id must not be empty'
+  WHEN 1 THEN 'dimension mismatch: the vector has ' || (len(embedding) - 1) || ' values, the store 64'
+  WHEN 2 THEN 'every value of a vector must be a finite number'
+  WHEN 3 THEN 'every value of a vector must be a finite number'
+  WHEN 4 THEN 'the id must not be empty'
   ELSE 'ok' END AS reason FROM embeddings""",
     "validate_ids": """
-SELECT doc_id, CASE WHEN lang = 'de' OR length(source) = 0 THEN 'Vector id must not be empty' ELSE 'ok' END AS reason
+SELECT doc_id, CASE WHEN lang = 'de' OR length(source) = 0 THEN 'the id must not be empty' ELSE 'ok' END AS reason
 FROM documents""",
     "owned_rows": f"""
 WITH {SHARED} SELECT doc_key, coalesce(document_type = '{TYPE}' AND schema_version = 1
@@ -286,8 +286,8 @@ SELECT id, round(distance, 6) AS distance, round({SCORE}, 6) AS score FROM top""
     "topk_batch": TOPK,
     "topk_batch_shuffled": TOPK,
     "search_bounds": """
-SELECT event_id, CASE WHEN floor(value) - 5 <= 0 THEN 'search limit must be a positive integer'
-  WHEN value / 20 - 0.5 < 0 OR value / 20 - 0.5 > 1 THEN 'search threshold must be between 0 and 1'
+SELECT event_id, CASE WHEN floor(value) - 5 <= 0 THEN 'limit must be a positive integer'
+  WHEN value / 20 - 0.5 < 0 OR value / 20 - 0.5 > 1 THEN 'threshold must be between 0 and 1'
   ELSE 'ok' END AS reason FROM events""",
     "search_threshold": f"""
 WITH {STORE}, {MEANS},

@@ -48,10 +48,10 @@ def require_positive_int(name: str, value: Any) -> None:
 
 def check_search_bounds(limit: Any, threshold: Any) -> None:
     if not is_positive_int(limit):
-        raise ValidationError("search limit must be a positive integer")
+        raise ValidationError("limit must be a positive integer")
     number = isinstance(threshold, (int, float)) and not isinstance(threshold, bool)
     if not number or not math.isfinite(threshold) or not 0 <= threshold <= 1:
-        raise ValidationError("search threshold must be between 0 and 1")
+        raise ValidationError("threshold must be between 0 and 1")
 
 
 def scalar_class(value: Any) -> str | None:
@@ -72,7 +72,7 @@ def _filter_types(fields: Any) -> Mapping[str, str]:
         pairs = [(name, "string") for name in fields]
     names = [name for name, _ in pairs]
     if len(set(names)) != len(names) or any(not name for name in names):
-        raise ConfigurationError("filter_fields must contain unique, non-empty metadata keys")
+        raise ConfigurationError("filter_fields must be unique and not empty")
     for name, kind in pairs:
         if kind not in SCALAR_TYPES:
             raise ConfigurationError(
@@ -154,31 +154,29 @@ class StoreSpec:
             self.check_filter_field(name)
             if scalar_class(value) is None:
                 raise UnsupportedFilterError(
-                    f'Filter field "{name}" must use a string, finite number, or boolean equality value'
+                    f'filter field "{name}" needs a string, a boolean or a finite number'
                 )
             out[name] = value
         return out
 
     def check_filter_field(self, name: str) -> None:
         if name not in self.filter_types:
-            raise UnsupportedFilterError(
-                f'Filter field "{name}" is not configured. Add it to filter_fields and rebuild the index.'
-            )
+            raise UnsupportedFilterError(f'"{name}" is not among the filter_fields of this store')
 
 
 def check_index_name(name: Any) -> None:
     if not isinstance(name, str) or not re.fullmatch(INDEX_NAME_PATTERN, name):
         raise ConfigurationError(
-            "index_name must start with a letter and contain only letters, digits, #, or _"
+            "index_name needs a letter first, then letters, digits, # or _"
         )
 
 
 def check_probe_options(n_probes: Any, rerank: Any, top_n_scan: Any) -> None:
     """Reranking needs a probe count; a candidate cap needs both."""
     if rerank is not None and n_probes is None:
-        raise ConfigurationError("rerank requires n_probes")
+        raise ConfigurationError("rerank needs n_probes")
     if top_n_scan is not None and (n_probes is None or rerank is None):
-        raise ConfigurationError("top_n_scan requires n_probes and rerank")
+        raise ConfigurationError("top_n_scan needs n_probes and rerank")
     if n_probes is not None:
         require_positive_int("n_probes", n_probes)
     if top_n_scan is not None:
@@ -213,12 +211,12 @@ class IndexSpec:
         if self.train_list is not None:
             require_positive_int("train_list", self.train_list)
             if self.train_list > MAX_TRAIN_LIST:
-                raise ConfigurationError(f"train_list must not exceed {MAX_TRAIN_LIST}")
+                raise ConfigurationError(f"train_list must be at most {MAX_TRAIN_LIST}")
         if not isinstance(self.persist_full_vector, bool):
             raise ConfigurationError("persist_full_vector must be a boolean")
         if not self.persist_full_vector and self.store.rerank:
             raise ConfigurationError(
-                "persist_full_vector must remain enabled when searches use rerank"
+                "rerank reads full vectors: persist_full_vector must remain enabled"
             )
 
     @property

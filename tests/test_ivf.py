@@ -102,7 +102,7 @@ def test_only_probed_lists_are_read(world, capsys):
 
 def test_refused_options(spark, world, sf_dir):
     store, index, queries, _ = world
-    with pytest.raises(ConfigurationError, match="rerank requires"):
+    with pytest.raises(ConfigurationError, match="rerank needs"):
         ivf.search_index_hits(index, queries, rerank=True)
     codes_only = ivf.Index(
         IndexSpec(SPEC, persist_full_vector=False), index.centroids, index.low, index.high, index.entries

@@ -66,7 +66,7 @@ def test_foreign_rows_are_never_overwritten(spark):
     store = foreign(spark, SPEC.key_prefix + "x")
     change = mutate.upsert(store, items(spark, ("x", [1.0, 0.0], None, "mine", 0)), SPEC, T0)
     assert [r["content"] for r in change.rows.collect()] == ["theirs"]
-    with pytest.raises(CollisionError, match="not owned"):
+    with pytest.raises(CollisionError, match="another owner"):
         mutate.require_clean(change)
 
 
@@ -76,9 +76,9 @@ def test_one_bad_item_stops_the_batch(spark):
         empty_store(spark, SPEC), items(spark, ("a", [1.0, 0.0], None, None, 0), *bad), SPEC, T0
     )
     assert {r["reason"] for r in change.rejects.collect()} == {
-        "Vector dimension mismatch: expected 2, received 1",
-        "Vector values must all be finite numbers",
-        "Vector id must not be empty",
+        "dimension mismatch: the vector has 1 values, the store 2",
+        "every value of a vector must be a finite number",
+        "the id must not be empty",
     }
     with pytest.raises(ValidationError):
         mutate.require_clean(change)

@@ -75,7 +75,7 @@ def test_threshold_must_be_between_0_and_1(threshold):
 @pytest.mark.parametrize(
     "filters, message",
     [
-        ({"other": "x"}, "is not configured"),
+        ({"other": "x"}, "is not among"),
         ({"userId": ["x"]}, "finite number"),
         ({"userId": None}, "finite number"),
         ({"userId": float("nan")}, "finite number"),
