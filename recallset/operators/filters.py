@@ -17,6 +17,8 @@ from ..spec import SCHEMA_VERSION, StoreSpec, scalar_class
 
 OWNED_COLUMN = "is_owned"
 BUCKET_COLUMN = "key_bucket"
+MAX_SENT_KEYS = 1_000_000
+MAX_SENT_BYTES = 64 << 20
 
 
 def owned(spec: StoreSpec, rows: DataFrame | None = None) -> Column:
@@ -48,6 +50,16 @@ def on_keys(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> tuple[DataFra
     return keys.withColumn(BUCKET_COLUMN, key_bucket(spec)), ["doc_key", BUCKET_COLUMN]
 
 
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """Keys to join a store with; broadcast only once their number and bytes are known to be small.
+
+    Left to adaptive execution, the store would be shuffled before the keys turn out to be few.
+    """
+    some = keys.select("doc_key").limit(MAX_SENT_KEYS + 1)
+    n, size = some.agg(F.count(F.lit(1)), F.sum(F.octet_length("doc_key"))).first()
+    return F.broadcast(keys) if n <= MAX_SENT_KEYS and (size or 0) <= MAX_SENT_BYTES else keys
+
+
 def under_prefix(spec: StoreSpec) -> Column:
     return F.col("doc_key").startswith(spec.key_prefix)
 
@@ -63,6 +75,12 @@ def field(name: str) -> Column:
     return F.col("metadata").getField(name)
 
 
+def comparable(name: str, spec: StoreSpec) -> Column:
+    """A metadata field as queries are compared with it: numbers as doubles without a negative zero."""
+    number = spec.filter_types[name] == "number"
+    return field(name).cast("double") + F.lit(0.0) if number else field(name)
+
+
 def equality(spec: StoreSpec, filters: Mapping[str, Any] | None) -> Column | None:
     """AND of field = value; None without conditions. A value of another class matches nothing."""
     conditions = []
@@ -102,7 +120,7 @@ def query_conditions(queries: DataFrame, spec: StoreSpec) -> tuple[DataFrame, li
                 name, F.lit(None).cast(spec.metadata_type[name].dataType)
             )
         elif kind == "number":
-            value = quoted.cast("double")
+            value = quoted.cast("double") + F.lit(0.0)
             message = f'filter field "{name}" needs a string, a boolean or a finite number'
             queries = queries.withColumn(
                 name,

@@ -78,6 +78,7 @@ def make_documents(
     created_at: Column,
     updated_at: Column,
     keep: tuple[str, ...] = (),
+    key: Column | None = None,
 ) -> DataFrame:
     """Stored rows for items ``(id, vector[, metadata][, content])``; only columns to ``keep`` are added."""
     if "metadata" in items.columns:
@@ -88,7 +89,7 @@ def make_documents(
         metadata, raw = F.lit(None).cast(spec.metadata_type), F.lit(None).cast("string")
     content = F.col("content") if "content" in items.columns else F.lit(None).cast("string")
     return items.select(
-        document_key(spec, F.col("id")).alias("doc_key"),
+        (document_key(spec, F.col("id")) if key is None else key).alias("doc_key"),
         F.lit(spec.document_type).alias("document_type"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         "id",
@@ -118,28 +119,32 @@ def mirror_content(items: DataFrame) -> DataFrame:
     return items.withColumn("content", value)
 
 
-def latest_items(items: DataFrame) -> DataFrame:
+def latest_items(items: DataFrame, by: str = "id") -> DataFrame:
     """One item per id: the one with the highest ``ord``. Partial aggregation, so a hot id is no hot task."""
     if "ord" not in items.columns:
-        return items.dropDuplicates(["id"])
-    others = [c for c in items.columns if c != "id"]
+        return items.dropDuplicates([by])
+    others = [c for c in items.columns if c != by]
     return (
-        items.groupBy("id")
+        items.groupBy(by)
         .agg(F.max_by(F.struct(*others), F.col("ord")).alias("item"))
-        .select("id", "item.*")
+        .select(by, "item.*")
     )
 
 
+def change_keys(keys: DataFrame) -> DataFrame:
+    return flt.sent_if_few(keys.select("doc_key"))
+
+
 def occupied(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> DataFrame:
     """``(doc_key, owned, created_at)`` of the stored rows under the given keys."""
-    wanted, on = flt.on_keys(store, keys.select("doc_key"), spec)
+    wanted, on = flt.on_keys(store, keys, spec)
     held = store.select(*on, flt.owned(spec, store).alias("owned"), "created_at")
     return held.join(wanted, on, "left_semi").select("doc_key", "owned", "created_at")
 
 
 def without(store: DataFrame, keys: DataFrame, spec: StoreSpec) -> DataFrame:
     """The store less its owned rows under the given keys."""
-    gone = keys.select(F.col("doc_key").alias("gone_key"))
+    gone = keys.withColumnRenamed("doc_key", "gone_key")
     same = (F.col("doc_key") == F.col("gone_key")) & flt.owned(spec, store)
     return store.join(gone, same, "left_anti")
 
@@ -148,11 +153,15 @@ def upsert(store: DataFrame, items: DataFrame, spec: StoreSpec, as_of: dt.dateti
     """Insert items, or replace the owned rows under their keys as a whole.
 
     A replaced row keeps its ``created_at`` and nothing else. Items whose key is held by a foreign row are
-    left out of ``rows`` and listed in ``collisions``.
+    left out of ``rows`` and listed in ``collisions``. The items are read several times, so they should
+    be a table or be persisted.
     """
     checked = check_items(items, spec)
-    fresh = make_documents(latest_items(checked.valid), spec, instant(as_of), instant(as_of))
-    held = occupied(store, fresh, spec)
+    keyed = checked.valid.withColumn("doc_key", document_key(spec, F.col("id")))
+    keys, now = change_keys(keyed), instant(as_of)
+    # Grouped by the key itself, so that the join on it needs no further shuffle.
+    fresh = make_documents(latest_items(keyed, "doc_key"), spec, now, now, key=F.col("doc_key"))
+    held = occupied(store, keys, spec)
     written = (
         fresh.withColumnRenamed("created_at", "inserted_at")
         .join(held, "doc_key", "left")
@@ -163,7 +172,7 @@ def upsert(store: DataFrame, items: DataFrame, spec: StoreSpec, as_of: dt.dateti
         )
         .select(*fresh.columns)
     )
-    rows = without(store, fresh, spec).unionByName(_like(written, store, spec))
+    rows = without(store, keys, spec).unionByName(_like(written, store, spec))
     return Change(rows, held.filter(~F.col("owned")).select("doc_key"), checked.rejects)
 
 
@@ -186,7 +195,7 @@ def get(store: DataFrame, ids: DataFrame, spec: StoreSpec) -> DataFrame:
     ``collision`` marks ids whose key is held by a foreign row. The content is the stored one only.
     """
     keys = ids.select("id", document_key(spec, F.col("id")).alias("doc_key"))
-    wanted, on = flt.on_keys(store, keys.select("doc_key"), spec)
+    wanted, on = flt.on_keys(store, change_keys(keys), spec)
     stored = (
         store.select(
             *on,
@@ -211,7 +220,7 @@ def get(store: DataFrame, ids: DataFrame, spec: StoreSpec) -> DataFrame:
 def delete(store: DataFrame, ids: DataFrame, spec: StoreSpec) -> Change:
     """Remove owned rows by id; a missing id changes nothing, a foreign row stays and is reported."""
     checked = check_ids(ids)
-    keys = checked.valid.select(document_key(spec, F.col("id")).alias("doc_key"))
+    keys = change_keys(checked.valid.select(document_key(spec, F.col("id")).alias("doc_key")))
     collisions = occupied(store, keys, spec).filter(~F.col("owned")).select("doc_key")
     return Change(without(store, keys, spec), collisions, checked.rejects)
 

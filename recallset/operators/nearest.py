@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import ship_package
+from ..session import checkpointed, ship_package
 from .kernel import Queries, nearest_in_batches
 
 # What one task may hold. Beyond these bounds the queries are cut into blocks and shuffled.
@@ -180,7 +180,7 @@ def _met(
 
     corpus, queries = keyed(corpus), keyed(queries)
     shard_rows, block_rows = max(group_rows // 4, 1), max(group_queries // 4, 1)
-    sizes = (
+    sizes = checkpointed(
         corpus.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .join(queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_queries")), keys)
@@ -190,7 +190,6 @@ def _met(
                 "blocks": F.ceil(F.col("n_queries") / block_rows).cast("int"),
             }
         )
-        .checkpoint()
     )
     totals = sizes.agg(
         F.count(F.lit(1)).alias("n_keys"), F.sum("n_rows").alias("rows"), F.sum("n_queries").alias("queries")

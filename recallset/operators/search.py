@@ -135,7 +135,7 @@ def search_hits(
     queries = checked_queries(queries, spec, limit, threshold)
     asked, fields = flt.query_conditions(queries, spec)
     corpus = search_corpus(store, spec, filters).select(
-        "doc_key", "id", "vector", *[flt.field(f).alias(f) for f in fields]
+        "doc_key", "id", "vector", *[flt.comparable(f, spec).alias(f) for f in fields]
     )
     found = nearest(corpus, asked, spec.dimensions, fields, strict=strict, **how)
     return Hits(scored(found.rows, queries if own_threshold else None, threshold), found.bounded)

@@ -40,6 +40,7 @@ CENTROID_BYTES = 64 << 20
 ROWS_PER_LIST = 256
 DEFAULT_N_PROBES = 1
 MAX_PRUNED_LISTS = 10_000
+MAX_PARALLEL_INIT = 1024
 
 
 @dataclass(frozen=True)
@@ -84,13 +85,19 @@ def train_centroids(store: DataFrame, spec: IndexSpec, seed: int = 42) -> DataFr
     total = rows.count()
     if spec.train_list is not None and spec.train_list > total:
         raise ConfigurationError(f"train_list is {spec.train_list}, but there are {total} rows")
+    if not total:
+        raise ConfigurationError("there are no vectors to train an index with")
     lists = list_count(spec, total)
     wanted = spec.train_list or min(total, MAX_TRAIN_LIST, ROWS_PER_LIST * lists)
     size = 1 << 31
     cutoff = round(size * min(1.0, wanted / max(total, 1)))
     sample = rows.filter(F.pmod(F.xxhash64("doc_key"), F.lit(size)) < cutoff)
     points = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
-    model = KMeans(k=max(lists, 2), distanceMeasure="cosine", seed=seed, maxIter=20).fit(points)
+    # The parallel initialisation ends with a local pass over several points per list.
+    start = "k-means||" if lists <= MAX_PARALLEL_INIT else "random"
+    model = KMeans(
+        k=max(lists, 2), distanceMeasure="cosine", initMode=start, seed=seed, maxIter=20
+    ).fit(points)
     found = [[float(x) for x in c] for c in model.clusterCenters()][:lists]
     return store.sparkSession.createDataFrame(
         list(enumerate(found)), "centroid_id int, centroid array<double>"
@@ -304,7 +311,7 @@ def search_index_hits(
         "id",
         F.col("vector" if exact_scan else "code").alias("vector"),
         "centroid_id",
-        *[flt.field(f).alias(f) for f in fields],
+        *[flt.comparable(f, spec).alias(f) for f in fields],
     )
     if top_n_scan is not None:
         probes = probes.withColumn(

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .errors import ConfigurationError
 
@@ -26,8 +26,8 @@ def builder(app_name: str = "recallset") -> SparkSession.Builder:
     )
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder the cluster shares for checkpoints.
 
     Executors and a restarted driver must see the same files, so a machine-local folder is used
     only when Spark itself runs in one process.
@@ -38,7 +38,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ConfigurationError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="recallset-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the checkpoint folder."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """Rows written to the checkpoint folder and read back from there, so a lost executor costs nothing."""
+    spark = rows.sparkSession
+    root = checkpoint_root(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
+    return rows.checkpoint()
 
 
 _shipped: set[str] = set()

@@ -123,7 +123,8 @@ def current(base: DataFrame, log: DataFrame, spec: StoreSpec) -> DataFrame:
         .filter("n = 1")
         .select("doc_key", "op", "item", F.col("reset_at").isNull().alias("continues"), "first_at")
     )
-    changed, on = flt.on_keys(base, state.select("doc_key"), spec)
+    keys = flt.sent_if_few(log.select("doc_key").distinct())
+    changed, on = flt.on_keys(base, keys, spec)
     held = (
         base.select(
             *on, F.col("created_at").alias("base_created_at"), flt.owned(spec, base).alias("owned")
@@ -146,8 +147,9 @@ def current(base: DataFrame, log: DataFrame, spec: StoreSpec) -> DataFrame:
             for f in base.schema.fields
         ]
     )
-    kept = base.join(effective.select("doc_key"), "doc_key", "left_anti").select(*base.columns)
-    return kept.unionByName(written)
+    gone = keys.withColumnRenamed("doc_key", "gone_key")
+    same = (F.col("doc_key") == F.col("gone_key")) & flt.owned(spec, base)
+    return base.join(gone, same, "left_anti").select(*base.columns).unionByName(written)
 
 
 def compact(base: DataFrame, log: DataFrame, spec: StoreSpec, path: str) -> None:

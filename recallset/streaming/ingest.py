@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.vectors import id_error, vector_error
-from ..operators.mutate import instant, make_documents, occupied, require_no_collision
+from ..operators.mutate import change_keys, instant, make_documents, occupied, require_no_collision
 from ..operators.validate import require_valid
 from ..sources.store import UPSERT, fold_changes, write_batch
 from ..spec import StoreSpec
@@ -38,7 +38,8 @@ def log_batch(
         now = instant(as_of)
         rows = make_documents(items, spec, now, now, keep=("op", "ord"))
         if base is not None:
-            require_no_collision(occupied(base, rows, spec).filter(~F.col("owned")))
+            held = occupied(base, change_keys(rows), spec)
+            require_no_collision(held.filter(~F.col("owned")))
         changes = rows.select("op", "ord", "doc_key", F.struct(*spec.schema.names).alias("item"))
         write_batch(fold_changes(changes, now, batch_id), path)
     finally:

@@ -143,6 +143,11 @@ def test_unusable_vectors_stay_out(spark):
     assert {r["doc_key"] for r in index.entries.collect()} == {"k1", *[f"n{i}" for i in range(5)]}
 
 
+def test_nothing_to_train_on(spark):
+    with pytest.raises(ConfigurationError, match="no vectors"):
+        ivf.make_index(spark.createDataFrame([], SPEC.schema), INDEX)
+
+
 def test_list_count():
     assert ivf.list_count(IndexSpec(SPEC), 10_000) == 100
     assert ivf.list_count(IndexSpec(SPEC), 0) == 1

@@ -114,6 +114,10 @@ def test_values_of_another_class_match_nothing(spark):
     assert search_hits(store, typed, spec).rows.count() == 0
     right = queries(spark, (1, [1.0, 0.0], 1, "1"), extra=", n int, s string")
     assert search_hits(store, right, spec).rows.count() == 1
+    zero = store.withColumn("metadata", F.col("metadata").withField("n", F.lit(-0.0)))
+    for method in ("broadcast", "shuffle"):
+        q = queries(spark, (1, [1.0, 0.0], 0.0), extra=", n double")
+        assert search_hits(zero, q, spec, method=method).rows.count() == 1
     nan = queries(spark, (1, [1.0, 0.0], float("nan")), extra=", n double")
     with pytest.raises(Exception, match="finite number"):
         search_hits(store, nan, spec).rows.collect()
