@@ -21,6 +21,8 @@ from .kernel import Queries, nearest_in_batches
 BLOCK_BYTES = 64 << 20
 BLOCK_HITS = 1 << 20
 BROADCAST_KEYS = 100_000
+MERGE_ROWS = 1 << 20
+MAX_SHARES = 1024
 GROUP_BATCH_ROWS = 16_384
 
 
@@ -84,8 +86,11 @@ def nearest(
             if table.num_rows > most:
                 raise ValueError(f"more than {most} queries cannot be broadcast")
             found = _broadcast(corpus, queries.schema, table, task)
-            return Hits(_ranked(found, before), wanted <= block_hits)
-    return Hits(_ranked(_shuffled(corpus, queries, task, block_bytes, block_hits), before), False)
+            largest = max(table.column("limit").to_pylist(), default=0)
+            fan = math.ceil(largest * _scan_tasks(corpus) / MERGE_ROWS)
+            return Hits(_ranked(found, before, fan), wanted <= block_hits)
+    found, fan = _shuffled(corpus, queries, task, block_bytes, block_hits)
+    return Hits(_ranked(found, before, fan), False)
 
 
 def _quoted(name: str) -> str:
@@ -105,14 +110,37 @@ def _found_schema(queries: T.StructType) -> T.StructType:
     )
 
 
-def _ranked(found: DataFrame, before: str | None) -> DataFrame:
+def _scan_tasks(corpus: DataFrame) -> int:
+    """About how many tasks a scan of the corpus takes; decides the shape of the merge, no result."""
+    size = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per_task = corpus.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128MB")
+    return max(size // _bytes(per_task), 1)
+
+
+def _bytes(text: str) -> int:
+    number = text.lower().rstrip("bkmgt")
+    unit = text.lower().removeprefix(number).removesuffix("b")
+    return max(int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit], 1)
+
+
+def _ranked(found: DataFrame, before: str | None, fan: int = 1) -> DataFrame:
+    """The first ``limit`` of each query.
+
+    What the tasks found for one query grows with the corpus. Where it would be more than ``MERGE_ROWS``
+    for one task, ``fan`` tasks rank a share each, and the rest is ranked again.
+    """
     ties = ["ord", "id", "doc_key"] if before else ["id", "doc_key"]
-    order = Window.partitionBy("q_id").orderBy("distance", *ties)
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= F.col("limit"))
-        .select("q_id", "rank", "doc_key", "id", "distance")
-    )
+
+    def first(rows: DataFrame, *by: str) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy("distance", *ties)
+        ranked = rows.withColumn("rank", F.row_number().over(order))
+        return ranked.filter(F.col("rank") <= F.col("limit"))
+
+    fan = min(fan, MAX_SHARES)
+    if fan > 1:
+        share = F.pmod(F.xxhash64("doc_key"), F.lit(fan))
+        found = first(found.withColumn("share", share), "q_id", "share").drop("rank", "share")
+    return first(found, "q_id").select("q_id", "rank", "doc_key", "id", "distance")
 
 
 def _broadcast(corpus: DataFrame, schema: T.StructType, table: pa.Table, task: Task) -> DataFrame:
@@ -130,7 +158,7 @@ def _broadcast(corpus: DataFrame, schema: T.StructType, table: pa.Table, task: T
 
 def _shuffled(
     corpus: DataFrame, queries: DataFrame, task: Task, block_bytes: int, block_hits: int
-) -> DataFrame:
+) -> tuple[DataFrame, int]:
     shape = reduce(
         lambda total, pair: total + F.col(_quoted(pair[1])).isNotNull().cast("int") * (1 << pair[0]),
         enumerate(task.fields),
@@ -138,10 +166,10 @@ def _shuffled(
     )
     shapes = queries.groupBy(shape.alias("shape")).agg(F.max("limit").alias("most")).collect()
     schema = _found_schema(queries.schema)
-    parts = []
+    parts, fan = [], 1
     for row in sorted(shapes):
         on = tuple(f for i, f in enumerate(task.fields) if row["shape"] >> i & 1)
-        piece = _met(
+        piece, shards = _met(
             corpus,
             queries.filter(shape == row["shape"]),
             task._replace(fields=on),
@@ -151,9 +179,10 @@ def _shuffled(
             max(min(block_bytes // (8 * task.dimensions), block_hits // row["most"], 4096), 1),
         )
         parts.append(piece)
+        fan = max(fan, math.ceil(shards * row["most"] / MERGE_ROWS))
     if not parts:
-        return corpus.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+        return corpus.sparkSession.createDataFrame([], schema), 1
+    return reduce(DataFrame.unionByName, parts), fan
 
 
 def _met(
@@ -164,8 +193,8 @@ def _met(
     schema: T.StructType,
     group_rows: int,
     group_queries: int,
-) -> DataFrame:
-    """Let every piece of rows meet every piece of queries under the same key.
+) -> tuple[DataFrame, int]:
+    """Let every piece of rows meet every piece of queries under the same key; also the most shards of a key.
 
     Keys share hash buckets of about ``group_rows`` rows. A key with more rows, or more queries, than
     a quarter of that is cut into shards, or blocks; each shard then meets each block.
@@ -192,10 +221,13 @@ def _met(
         )
     )
     totals = sizes.agg(
-        F.count(F.lit(1)).alias("n_keys"), F.sum("n_rows").alias("rows"), F.sum("n_queries").alias("queries")
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum("n_rows").alias("rows"),
+        F.sum("n_queries").alias("queries"),
+        F.max("shards").alias("shards"),
     ).first()
     if not totals["n_keys"]:
-        return corpus.sparkSession.createDataFrame([], schema)
+        return corpus.sparkSession.createDataFrame([], schema), 1
     buckets = max(math.ceil(totals["rows"] / group_rows), math.ceil(totals["queries"] / group_queries))
     cut = sizes.select(*keys, "shards", "blocks")
     how = "inner"
@@ -236,5 +268,5 @@ def _met(
             return pa.table(empty, schema=arrow_schema)
         return pa.Table.from_batches(found).cast(arrow_schema)
 
-    return left.cogroup(right).applyInArrow(run, schema)
+    return left.cogroup(right).applyInArrow(run, schema), totals["shards"]
 

@@ -17,7 +17,7 @@ from ..functions.vectors import (
 )
 from ..spec import DEFAULT_LIMIT, DEFAULT_THRESHOLD, StoreSpec, check_search_bounds
 from . import filters as flt
-from .nearest import Hits, nearest
+from .nearest import BLOCK_HITS, Hits, nearest
 
 PAYLOAD = ("vector", "metadata", "metadata_json", "content")
 
@@ -46,12 +46,14 @@ def search_one(
     threshold: float = DEFAULT_THRESHOLD,
     filters: Mapping[str, Any] | None = None,
     strict: bool = True,
+    columns: Sequence[str] = PAYLOAD,
 ) -> DataFrame:
     """Hits of one vector, best first: filter, order by distance, limit, and only then the threshold.
 
     The threshold cannot fill up from further rows, so fewer than ``limit`` hits may come back. Stays
-    in the JVM as one scan and a top-k; ``strict`` fails on a hit whose distance is undefined, else
-    such rows are no candidates.
+    in the JVM: a scan with a top-k of keys, then a scan for the ``columns`` of the hits, so that no task
+    passes on the payload of rows that lose. ``strict`` fails on a hit whose distance is undefined,
+    else such rows are no candidates.
     """
     check_vector(vector, spec)
     check_search_bounds(limit, threshold)
@@ -59,21 +61,10 @@ def search_one(
     rows = search_corpus(store, spec, filters).withColumn("distance", distance)
     if not strict:
         rows = rows.filter(is_finite(F.col("distance")))
-    top = rows.orderBy("distance", "id", "doc_key").limit(limit)
-    return (
-        top.select(
-            "doc_key",
-            "id",
-            "vector",
-            "metadata",
-            "metadata_json",
-            resolved_content(F.col("content"), F.col("metadata")).alias("content"),
-            "distance",
-            distance_to_score(F.col("distance")).alias("score"),
-        )
-        .filter(F.col("score") >= F.lit(float(threshold)))
-        .orderBy("distance", "id", "doc_key")
-    )
+    best = ("distance", "id", "doc_key")
+    top = rows.select(*best).orderBy(*best).limit(limit)
+    found = Hits(scored(top, None, threshold), limit <= BLOCK_HITS)
+    return with_payload(found, store, spec, columns).orderBy(*best).limit(limit)
 
 
 def check_vector(vector: Sequence[float], spec: StoreSpec) -> None:
@@ -162,8 +153,9 @@ def with_payload(found: Hits, store: DataFrame, spec: StoreSpec, columns: Sequen
         stored = stored.withColumn(
             "content", resolved_content(F.col("content"), F.col("metadata"))
         )
+    lead = [c for c in ("q_id", "rank") if c in rows.columns]
     return stored.select(*on, *columns).join(rows, on).select(
-        "q_id", "rank", "doc_key", "id", *columns, "distance", "score"
+        *lead, "doc_key", "id", *columns, "distance", "score"
     )
 
 

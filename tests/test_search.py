@@ -202,11 +202,37 @@ def test_a_hot_key_is_cut_and_nothing_is_lost(spark, sf_dir):
         assert all(v == got["broadcast"] for v in got.values())
 
 
+def test_merging_in_shares_changes_nothing(spark, monkeypatch):
+    from recallset.operators import nearest as module
+
+    rows = spark.range(500).select(
+        F.col("id").cast("string").alias("doc_key"),
+        F.col("id").cast("string").alias("id"),
+        F.array(F.lit(1.0), (F.col("id") % 50).cast("double")).alias("vector"),
+    )
+    asked = rows.limit(20).select(F.col("id").alias("q_id"), F.col("vector").alias("qv"), F.lit(7).alias("limit"))
+    small = {"broadcast": {}, "shuffle": {"block_bytes": 64 * 16}}
+    plain = {m: sorted(map(tuple, nearest(rows, asked, 2, method=m, **o).rows.collect())) for m, o in small.items()}
+    monkeypatch.setattr(module, "MERGE_ROWS", 2)
+    for m, o in small.items():
+        hits = nearest(rows, asked, 2, method=m, **o).rows
+        assert hits._jdf.queryExecution().analyzed().toString().count("row_number()") == 2
+        assert sorted(map(tuple, hits.collect())) == plain[m] == plain["broadcast"]
+
+
+@pytest.mark.parametrize("text, size", [("128MB", 128 << 20), ("134217728b", 128 << 20), ("1g", 1 << 30), ("7", 7)])
+def test_sizes(text, size):
+    from recallset.operators.nearest import _bytes
+
+    assert _bytes(text) == size
+
+
 def test_plans(spark, store, folder, capsys):
     store.write.parquet(f"{folder}/s")
     read = spark.read.parquet(f"{folder}/s")
-    search_one(read, [1.0, 0.0], SPEC, filters={"userId": "u1"}).explain("formatted")
+    search_one(read, [1.0, 0.0], SPEC, filters={"userId": "u1"}, columns=["content"]).explain("formatted")
     plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "rangepartitioning" not in plan
     assert "TakeOrderedAndProject" in plan
     assert "EqualTo(metadata.userId,u1)" in plan and "EqualTo(document_type" in plan
     search(read, queries(spark, (1, [1.0, 0.0])), SPEC, columns=["content"]).explain("formatted")
