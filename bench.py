@@ -66,6 +66,7 @@ def main() -> None:
     timed("upsert_batch", lambda: mutate.upsert(store, items, spec, fx.WRITTEN).rows)
     timed("clear_owned", lambda: mutate.clear(store, spec))
     timed("topk_single", lambda: search_one(store, mean, spec))
+    timed("topk_single_builtin", lambda: search_one(store, mean, spec, builtin=True))
     for n in (20, 200, 2000):
         some = queries.filter(F.col("q_id") < n)
         timed(f"exact_{n}", lambda some=some: search_hits(store, some, spec).rows)

@@ -15,18 +15,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PAIRS_PER_STEP = 1 << 21
-BUFFERED_HITS = 1 << 18
+BUFFERED_HITS = 1 << 12
+CROWD = 1 << 12
 WILDCARD = -2
 NO_MATCH = -1
 
 
 def matrix(column: pa.Array, dimensions: int) -> np.ndarray:
-    """A list column as a double matrix; every list must have the given length."""
+    """A list column as a matrix of its own precision; every list must have the given length."""
     flat = column.flatten()
     if len(flat) != len(column) * dimensions:
         raise ValueError("every vector must have the declared number of dimensions")
-    values = flat.to_numpy(zero_copy_only=False)
-    return values.astype(np.float64, copy=False).reshape(len(column), dimensions)
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), dimensions)
 
 
 def code_matrix(column: pa.Array, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -39,11 +39,22 @@ def code_matrix(column: pa.Array, low: np.ndarray, high: np.ndarray) -> np.ndarr
 
 
 def sum_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise dot products, added left to right."""
-    total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total = total + a[:, j] * b[:, j]
-    return total
+    """Row-wise dot products in double precision, added left to right as a running sum is."""
+    products = a.astype(np.float64, copy=False) * b.astype(np.float64, copy=False)
+    return np.cumsum(products, axis=1, out=products)[:, -1]
+
+
+def unit_singles(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors at about unit length in single precision, and which of them have a direction."""
+    square = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
+    usable = np.isfinite(square) & (square > 0)
+    norm = np.sqrt(np.where(usable, square, 1.0))
+    if norm.min(initial=1.0) < 1e-30 or norm.max(initial=1.0) > 1e30:
+        vectors = vectors.astype(np.float64)
+    else:
+        norm = norm.astype(vectors.dtype)
+    with np.errstate(all="ignore"):
+        return (vectors / norm[:, None]).astype(np.float32, copy=False), usable
 
 
 def cosine_distances(dot: np.ndarray, a_square: np.ndarray, b_square: np.ndarray) -> np.ndarray:
@@ -75,7 +86,7 @@ class Queries:
 
         return Queries(
             q_id=column("q_id"),
-            vectors=matrix(column("qv"), dimensions),
+            vectors=matrix(column("qv"), dimensions).astype(np.float64, copy=False),
             limits=column("limit").to_numpy(zero_copy_only=False).astype(np.int64),
             keys=[column(name) for name in fields],
             before=None if before is None else column(before).to_numpy(zero_copy_only=False),
@@ -124,11 +135,9 @@ class LocalNearest:
         self.digits = digits
         self.margin = rounding_margin(self.dimensions) + (0.0 if digits is None else 2 * 10.0**-digits)
         self.q_square = sum_products(queries.vectors, queries.vectors)
-        usable = np.isfinite(self.q_square) & (self.q_square > 0)
+        self.q_unit, usable = unit_singles(queries.vectors)
         if strict and not usable.all():
             raise ValueError("the vector distance is not a finite number: a query vector has no direction")
-        with np.errstate(all="ignore"):
-            self.q_unit = (queries.vectors / np.sqrt(self.q_square)[:, None]).astype(np.float32)
         self.bound = np.full(len(queries.limits), np.inf)
         self.hits: list[tuple] = []
         self.buffered = 0
@@ -149,11 +158,7 @@ class LocalNearest:
     def add(self, batch: pa.RecordBatch, vectors: np.ndarray, keys: Sequence[pa.Array], order: np.ndarray | None) -> None:
         if not len(vectors):
             return
-        square = sum_products(vectors, vectors)
-        usable = np.isfinite(square) & (square > 0)
-        with np.errstate(all="ignore"):
-            unit = (vectors / np.sqrt(square)[:, None]).astype(np.float32)
-        copies = _copy_groups(vectors)
+        unit, usable = unit_singles(vectors)
         for condition in self.conditions:
             code = condition.row_codes(keys, len(vectors))
             if self.strict and not usable[code >= 0].all():
@@ -163,13 +168,9 @@ class LocalNearest:
             cuts = np.flatnonzero(np.diff(code[rows])) + 1
             for part in np.split(rows, cuts):
                 if len(part):
-                    self._match(batch, vectors, unit, square, order, copies, part, condition.groups[code[part[0]]])
-        if self.buffered > BUFFERED_HITS + 2 * int(self.q.limits.sum()):
-            self._compact()
+                    self._match(batch, vectors, unit, order, part, condition.groups[code[part[0]]])
 
-    def _match(self, batch, vectors, unit, square, order, copies, rows, asked) -> None:
-        most = int(self.q.limits[asked].max())
-        rows = self._first_copies(batch, order, copies, rows, most)
+    def _match(self, batch, vectors, unit, order, rows, asked) -> None:
         width = min(len(asked), 4096)
         height = max(PAIRS_PER_STEP // width, 1)
         for a in range(0, len(asked), width):
@@ -182,17 +183,26 @@ class LocalNearest:
                     approx[order[rs][None, :] >= self.q.before[qs][:, None]] = np.inf
                 limit = self.bound[qs]
                 if len(rs) > k:
-                    limit = np.minimum(limit, np.partition(approx, k - 1, axis=1)[:, k - 1] + self.margin)
+                    kth = np.partition(approx, k - 1, axis=1)[:, k - 1].astype(np.float64)
+                    limit = self.bound[qs] = np.minimum(limit, kth + self.margin)
                 reach = (limit + self.margin).astype(np.float32)
-                qi, ri = np.nonzero((approx <= reach[:, None]) & (approx < np.inf))
-                self._measure(batch, vectors, square, order, qs[qi], rs[ri])
-
-    def _measure(self, batch, vectors, square, order, qi, ri) -> None:
+                near = (approx <= reach[:, None]) & (approx < np.inf)
+                if np.count_nonzero(near) > CROWD + 4 * int(self.q.limits[qs].sum()):
+                    some = np.flatnonzero(near.any(axis=0))
+                    near[:, some[self._late_copies(batch, vectors, order, rs[some], k)]] = False
+                qi, ri = np.nonzero(near)
+                self._measure(batch, vectors, order, qs[qi], rs[ri])
+                if self.buffered > BUFFERED_HITS + 4 * int(self.q.limits.sum()):
+                    self._compact()
+
+    def _measure(self, batch, vectors, order, qi, ri) -> None:
         step = max(PAIRS_PER_STEP // self.dimensions, 1)
         for a in range(0, len(qi), step):
             q, r = qi[a : a + step], ri[a : a + step]
+            rows, back = np.unique(r, return_inverse=True)
+            square = sum_products(vectors[rows], vectors[rows])[back]
             dot = sum_products(vectors[r], self.q.vectors[q])
-            distance = cosine_distances(dot, square[r], self.q_square[q])
+            distance = cosine_distances(dot, square, self.q_square[q])
             if self.digits is not None:
                 distance = np.round(distance, self.digits)
             keep = distance <= self.bound[q]
@@ -211,23 +221,16 @@ class LocalNearest:
             )
             self.buffered += len(q)
 
-    def _first_copies(self, batch, order, copies, rows, most) -> np.ndarray:
-        """Of rows with equal vectors only the first ``most`` can ever be a hit."""
-        if copies is None:
-            return rows
-        groups = copies[rows]
-        values, counts = np.unique(groups[groups >= 0], return_counts=True)
-        crowded = values[counts > most]
-        if not len(crowded):
-            return rows
-        member = np.isin(groups, crowded)
-        some = rows[member]
-        rank = _tie_rank(batch, order if self.tie_by_order else None, some)
-        by = np.lexsort((rank, copies[some]))
-        ordered = copies[some][by]
-        start = np.searchsorted(ordered, ordered)
-        first = some[by[np.arange(len(by)) - start < most]]
-        return np.sort(np.concatenate([rows[~member], first]))
+    def _late_copies(self, batch, vectors, order, rows, most) -> np.ndarray:
+        """Which rows have at least ``most`` equal rows before them in tie order; they can never be a hit."""
+        group = _copy_groups(vectors[rows])
+        rank = _tie_rank(batch, order if self.tie_by_order else None, rows)
+        by = np.lexsort((rank, group))
+        ordered = group[by]
+        place = np.arange(len(by)) - np.searchsorted(ordered, ordered)
+        late = np.zeros(len(rows), dtype=bool)
+        late[by[(place >= most) & (ordered >= 0)]] = True
+        return late
 
     def _compact(self) -> pa.Table | None:
         if not self.hits:
@@ -246,7 +249,7 @@ class LocalNearest:
         keep = place < limits
         at = by.to_numpy()[keep]
         last = by.to_numpy()[place == limits - 1]
-        self.bound[q[last]] = distance[last]
+        self.bound[q[last]] = np.minimum(self.bound[q[last]], distance[last])
         took = pa.array(at)
         self.hits = [(q[at], distance[at], doc_key.take(took), id_.take(took), order[at])]
         self.buffered = len(at)
@@ -256,15 +259,13 @@ class LocalNearest:
         return self._compact()
 
 
-def _copy_groups(vectors: np.ndarray) -> np.ndarray | None:
-    """A group number for every row that has an equal row in the batch, -1 for the others."""
-    bits = np.ascontiguousarray(vectors).view(np.uint64)
+def _copy_groups(vectors: np.ndarray) -> np.ndarray:
+    """A group number for every row that has an equal row among these, -1 for the others."""
+    bits = np.ascontiguousarray(vectors).view(f"u{vectors.itemsize}").astype(np.uint64)
     weights = np.random.default_rng(7).integers(1, 2**63, bits.shape[1], dtype=np.uint64) * 2 + 1
     with np.errstate(over="ignore"):
         mixed = ((bits ^ (bits >> np.uint64(29))) * weights).sum(axis=1, dtype=np.uint64)
     _, first, group, counts = np.unique(mixed, return_index=True, return_inverse=True, return_counts=True)
-    if counts.max() == 1:
-        return None
     several = counts[group] > 1
     same = several.copy()
     same[several] = (bits[several] == bits[first[group[several]]]).all(axis=1)

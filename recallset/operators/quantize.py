@@ -11,14 +11,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .kernel import PAIRS_PER_STEP, cosine_distances, matrix, rounding_margin, sum_products
+from .kernel import (
+    PAIRS_PER_STEP,
+    cosine_distances,
+    matrix,
+    rounding_margin,
+    sum_products,
+    unit_singles,
+)
 
 LEVELS = 255.0
 
 
 def unit_rows(column: pa.Array, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors, and which rows have a direction at all."""
-    vectors = matrix(column, dimensions)
+    vectors = matrix(column, dimensions).astype(np.float64, copy=False)
     square = sum_products(vectors, vectors)
     usable = np.isfinite(square) & (square > 0)
     with np.errstate(all="ignore"):
@@ -29,12 +36,10 @@ def closest_lists(column: pa.Array, centroids: np.ndarray, n: int) -> tuple[np.n
     """Per row the ``n`` lists with the nearest centroids, ties to the lower number; and usable rows."""
     dimensions = centroids.shape[1]
     vectors = matrix(column, dimensions)
+    unit, usable = unit_singles(vectors)
     square = sum_products(vectors, vectors)
-    usable = np.isfinite(square) & (square > 0)
     c_square = sum_products(centroids, centroids)
-    with np.errstate(all="ignore"):
-        unit = (vectors / np.sqrt(square)[:, None]).astype(np.float32)
-        c_unit = (centroids / np.sqrt(c_square)[:, None]).astype(np.float32)
+    c_unit, _ = unit_singles(centroids)
     margin = rounding_margin(dimensions)
     out = np.full((len(vectors), n), -1, dtype=np.int32)
     rows = np.flatnonzero(usable)

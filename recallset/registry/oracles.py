@@ -107,6 +107,17 @@ WITH pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, id) AS rank FROM pairs)
 SELECT q_id, rank, id, round(distance, 6) AS distance FROM ranked WHERE rank <= 10"""
 
+TOPK_SINGLE = f"""
+WITH {STORE}, overall AS (
+  SELECT list(m ORDER BY i) AS mean FROM (
+    SELECT i, avg(x) AS m
+    FROM (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
+    GROUP BY i)),
+top AS (
+  SELECT id, {DISTANCE.format(a="vector", b="mean")} AS distance FROM store, overall
+  ORDER BY distance, id LIMIT 10)
+SELECT id, round(distance, 6) AS distance, round({SCORE}, 6) AS score FROM top"""
+
 # The index: unit vectors, ranges per dimension, codes, decoded vectors, nearest label mean per vector.
 INDEXED = f"""
 unit AS (
@@ -273,16 +284,8 @@ WITH {MEANS} SELECT vec_id, round({DISTANCE.format(a="CAST(embedding AS DOUBLE[]
 FROM embeddings JOIN means USING (label)""",
     "distance_scores": """
 SELECT event_id, round(least(1.0, greatest(0.0, 1 - (value / 10 - 1) / 2)), 6) AS score FROM events""",
-    "topk_single": f"""
-WITH {STORE}, overall AS (
-  SELECT list(m ORDER BY i) AS mean FROM (
-    SELECT i, avg(x) AS m
-    FROM (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
-    GROUP BY i)),
-top AS (
-  SELECT id, {DISTANCE.format(a="vector", b="mean")} AS distance FROM store, overall
-  ORDER BY distance, id LIMIT 10)
-SELECT id, round(distance, 6) AS distance, round({SCORE}, 6) AS score FROM top""",
+    "topk_single": TOPK_SINGLE,
+    "topk_single_builtin": TOPK_SINGLE,
     "topk_batch": TOPK,
     "topk_batch_shuffled": TOPK,
     "search_bounds": """

@@ -198,6 +198,11 @@ def topk_single(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("id", _six("distance"), _six("score"))
 
 
+def topk_single_builtin(spark: SparkSession, sf: str) -> DataFrame:
+    hits = search_one(fx.shared_store(spark, sf), fx.mean_vector(spark, sf), SPEC, limit=10, builtin=True)
+    return hits.select("id", _six("distance"), _six("score"))
+
+
 def topk_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _ranked(search_hits(fx.store(spark, sf), fx.vector_queries(spark, sf), SPEC, limit=10).rows)
 
@@ -509,6 +514,7 @@ QUERIES: dict[str, Query] = {
         cosine_distances,
         distance_scores,
         topk_single,
+        topk_single_builtin,
         topk_batch,
         topk_batch_shuffled,
         search_bounds,

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from recallset.operators import kernel
 from recallset.operators.kernel import Queries, code_matrix, nearest_in_batches
 from recallset.operators.quantize import closest_lists, encode, unit_rows
 
@@ -29,7 +30,7 @@ def brute(rows, queries, before):
     return out
 
 
-def run(rows, queries, before, batch_rows, strict=True):
+def run(rows, queries, before, batch_rows, strict=True, kind=pa.float64()):
     d = len(rows[0][2])
     block = Queries(
         pa.array([q[0] for q in queries]),
@@ -42,7 +43,7 @@ def run(rows, queries, before, batch_rows, strict=True):
         {
             "doc_key": [r[0] for r in rows],
             "id": [r[1] for r in rows],
-            "vector": pa.array([r[2] for r in rows], pa.list_(pa.float64())),
+            "vector": pa.array([r[2] for r in rows], pa.list_(kind)),
             "key": pa.array([r[3] for r in rows], pa.string()),
             "ord": [r[4] for r in rows],
         }
@@ -71,14 +72,26 @@ key = st.sampled_from(["a", "b", "c", None])
     st.lists(st.tuples(vector, st.integers(1, 5), key, st.integers(0, 9)), min_size=1, max_size=6),
     st.booleans(),
     st.integers(1, 70),
+    st.sampled_from([kernel.CROWD, -1000]),
 )
-def test_equals_brute_force(rows, queries, before, batch_rows):
-    """Few distinct vectors, so most distances are ties and most rows copies."""
+def test_equals_brute_force(rows, queries, before, batch_rows, crowd):
+    """Few distinct vectors, so most distances are ties and most rows copies, which are thinned or not."""
+    kernel.CROWD = crowd
     rows = [(f"k{i}", f"id{i % 7}", v, k, o) for i, (v, k, o) in enumerate(rows)]
     queries = [(i, v, n, k, o) for i, (v, n, k, o) in enumerate(queries)]
     assert run(rows, queries, before, batch_rows) == sorted(brute(rows, queries, before))
 
 
+@pytest.mark.parametrize("kind", [pa.float32(), pa.float64()])
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e30])
+def test_any_magnitude(kind, scale):
+    rng = np.random.default_rng(5)
+    vectors = (rng.normal(size=(300, 8)) * scale).astype(kind.to_pandas_dtype())
+    rows = [(f"k{i:03d}", f"id{i:03d}", [float(x) for x in v], "a", i) for i, v in enumerate(vectors)]
+    queries = [(j, rows[j * 7][2], 6, "a", 0) for j in range(9)]
+    assert run(rows, queries, False, 64, kind=kind) == sorted(brute(rows, queries, False))
+
+
 def test_many_batches_and_near_ties():
     rng = np.random.default_rng(1)
     base = rng.normal(size=(5, 16))

@@ -58,8 +58,9 @@ def test_cosine_distance(spark):
 def test_filtered_search(spark, store):
     filters = {"userId": "u1", "conversationId": "c1"}
     one = search_one(store, [1.0, 0.0], SPEC, 2, 0.5, filters).collect()
+    builtin = search_one(store, [1.0, 0.0], SPEC, 2, 0.5, filters, builtin=True).collect()
     many = search(store, queries(spark, (1, [1.0, 0.0])), SPEC, 2, 0.5, filters).orderBy("rank").collect()
-    for hits in (one, many):
+    for hits in (one, builtin, many):
         assert [h["id"] for h in hits] == ["same", "close"]
         assert hits[0]["score"] == 1 and round(hits[1]["score"], 6) == 0.996942
         assert [h["content"] for h in hits] == ["own text", "text in metadata"]
@@ -163,11 +164,12 @@ def test_no_queries_no_hits(spark, store):
 def test_a_stored_vector_without_direction(spark, store):
     zero = store.limit(1).withColumn("vector", F.array(F.lit(0.0), F.lit(0.0))).withColumn("id", F.lit("zero"))
     rows = store.unionByName(zero.withColumn("doc_key", F.lit("zero")))
-    with pytest.raises(Exception, match="not a finite number"):
-        search_one(rows, [1.0, 0.0], SPEC).collect()
+    for builtin in (True, False):
+        with pytest.raises(Exception, match="not a finite number"):
+            search_one(rows, [1.0, 0.0], SPEC, builtin=builtin).collect()
+        assert search_one(rows, [1.0, 0.0], SPEC, strict=False, builtin=builtin).count() == 3
     with pytest.raises(Exception, match="not a finite number"):
         search_hits(rows, queries(spark, (1, [1.0, 0.0])), SPEC).rows.collect()
-    assert search_one(rows, [1.0, 0.0], SPEC, strict=False).count() == 3
     assert search_hits(rows, queries(spark, (1, [1.0, 0.0])), SPEC, strict=False).rows.count() == 3
 
 
@@ -230,10 +232,11 @@ def test_sizes(text, size):
 def test_plans(spark, store, folder, capsys):
     store.write.parquet(f"{folder}/s")
     read = spark.read.parquet(f"{folder}/s")
+    search_one(read, [1.0, 0.0], SPEC, columns=["content"], builtin=True).explain("formatted")
+    assert capsys.readouterr().out.count(") TakeOrderedAndProject") == 2
     search_one(read, [1.0, 0.0], SPEC, filters={"userId": "u1"}, columns=["content"]).explain("formatted")
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "rangepartitioning" not in plan
-    assert "TakeOrderedAndProject" in plan
     assert "EqualTo(metadata.userId,u1)" in plan and "EqualTo(document_type" in plan
     search(read, queries(spark, (1, [1.0, 0.0])), SPEC, columns=["content"]).explain("formatted")
     many = capsys.readouterr().out
