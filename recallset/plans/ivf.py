@@ -104,10 +104,18 @@ def train_centroids(store: DataFrame, spec: IndexSpec, seed: int = 42) -> DataFr
     )
 
 
-def as_matrix(centroids: DataFrame) -> np.ndarray:
-    """Centroids in the order of their numbers, which must be 0, 1, 2, …"""
-    table = centroids.orderBy("centroid_id").toArrow()
-    return np.array(table.column("centroid").to_pylist(), dtype=np.float64)
+def as_matrix(centroids: DataFrame, dimensions: int) -> np.ndarray:
+    """Centroids in the order of their numbers, which must be 0, 1, 2, …; refused beyond the size bound."""
+    most = CENTROID_BYTES // (8 * dimensions)
+    table = centroids.orderBy("centroid_id").limit(most + 1).toArrow()
+    if table.num_rows > most:
+        raise ConfigurationError(f"centroids take more than {CENTROID_BYTES} bytes")
+    if table.column("centroid_id").to_pylist() != list(range(table.num_rows)):
+        raise ConfigurationError("centroid_id must count from 0 without gaps")
+    points = np.array(table.column("centroid").to_pylist(), dtype=np.float64)
+    if points.shape != (table.num_rows, dimensions):
+        raise ConfigurationError(f"every centroid must have {dimensions} values")
+    return points
 
 
 def code_ranges(store: DataFrame, spec: StoreSpec) -> DataFrame:
@@ -154,9 +162,9 @@ def make_index(
     """Train unless centroids are given, measure the ranges, and plan the entries. Writes nothing."""
     spark = store.sparkSession
     dimensions = spec.store.dimensions
-    points = as_matrix(centroids if centroids is not None else train_centroids(store, spec, seed))
-    if points.nbytes > CENTROID_BYTES:
-        raise ConfigurationError(f"centroids take more than {CENTROID_BYTES} bytes")
+    if centroids is None:
+        centroids = train_centroids(store, spec, seed)
+    points = as_matrix(centroids, dimensions)
     table = code_ranges(store, spec.store).orderBy("i").toArrow()
     low = np.array(table.column("low").to_pylist() or [0.0] * dimensions)
     high = np.array(table.column("high").to_pylist() or [0.0] * dimensions)

@@ -148,6 +148,13 @@ def test_nothing_to_train_on(spark):
         ivf.make_index(spark.createDataFrame([], SPEC.schema), INDEX)
 
 
+def test_given_centroids_are_checked(spark):
+    schema = "centroid_id int, centroid array<double>"
+    for rows, message in (([(1, [1.0, 0.0])], "count from 0"), ([(0, [1.0])], "must have 2 values")):
+        with pytest.raises(ConfigurationError, match=message):
+            ivf.as_matrix(spark.createDataFrame(rows, schema), 2)
+
+
 def test_list_count():
     assert ivf.list_count(IndexSpec(SPEC), 10_000) == 100
     assert ivf.list_count(IndexSpec(SPEC), 0) == 1
