@@ -85,16 +85,16 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
                 out.append((at, after, kind))
     after = 0
     for m in _SPARSE_HEX.finditer(text[_STRIDE - 1 :: _STRIDE]):
-        at = m.start() * _STRIDE + _STRIDE - 1
-        if at < after:
-            continue
-        begin = at
-        while begin > after and text[begin - 1] in "0123456789abcdef":
-            begin -= 1
-        run = HEX.match(text, begin)
-        after = run.end()
-        if after - begin >= MIN_HEX:
-            out.append((begin, after, "hex"))
+        for k in range(m.start(), m.end()):  # the hits may belong to several runs
+            at = k * _STRIDE + _STRIDE - 1
+            if at < after:
+                continue
+            begin = at
+            while begin > after and text[begin - 1] in "0123456789abcdef":
+                begin -= 1
+            after = HEX.match(text, begin).end()
+            if after - begin >= MIN_HEX:
+                out.append((begin, after, "hex"))
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
