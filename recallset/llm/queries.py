@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, secrets, shingle_join, toxicity, warc
+from . import bpe, decontaminate, fingerprint, line_dedup, secrets, shingle_join, toxicity, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
@@ -42,7 +46,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.linked(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op4_toxicity, op5_warc, op6_decontaminate, op7_line_dedup, op8_bpe, op10_shingle_join)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_fingerprint, op4_toxicity, op5_warc, op6_decontaminate, op7_line_dedup, op8_bpe, op10_shingle_join)}
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
