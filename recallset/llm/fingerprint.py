@@ -88,7 +88,8 @@ def report(docs: DataFrame, bits: int = BITS) -> DataFrame:
     Likeness is the share of equal bits. NULL texts are empty; repeated rows each have a row; other columns are ignored.
     """
     rows = edited(docs)
-    texts = F.concat(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1), "edited")), F.when(F.col("head").isNotNull(), F.array(F.struct(F.lit(2), "head"))).otherwise(F.array()))
+    one = lambda which, text: F.struct(F.lit(which).alias("which"), F.col(text).alias("t"))
+    texts = F.filter(F.array(one(0, "text"), one(1, "edited"), one(2, "head")), lambda x: x["t"].isNotNull())
     keys = ["bucket", "place", "doc_id", "n_chars", "edited_sha256"]
     long = rows.select("bucket", "place", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.explode(texts).alias("_x"))
     long = long.select(*keys, F.col("_x.which").alias("which"), F.col("_x.t").alias("text"))

@@ -6,8 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, line_dedup, secrets, shingle_join, toxicity, warc
-from .common import table
+from . import bpe, decontaminate, fingerprint, line_dedup, quality, secrets, shingle_join, token_files, toxicity, warc
+from .common import stored, table
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    stats = stored(quality.measured(docs), "quality-statistics")
+    model = quality.fit(stats, table(spark, sf_dir, "labels"), "quality", usable=~held_out)
+    return quality.score(stats, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,11 +50,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.linked(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_fingerprint, op4_toxicity, op5_warc, op6_decontaminate, op7_line_dedup, op8_bpe, op10_shingle_join)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_fingerprint, op4_toxicity, op5_warc, op6_decontaminate, op7_line_dedup, op8_bpe, op9_token_files, op10_shingle_join)}
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
