@@ -38,7 +38,7 @@ class Threshold:
 
     def edges(self, size: int) -> list[int]:
         """Lower ends of the bands up to the one of `size`, and the next; the first is the least size that can differ at all."""
-        out = [next(n for n in range(1, 101) if self.most(n) >= 1)]
+        out = [next((n for n in range(1, 101) if self.most(n) >= 1), 1 << 62)]
         while out[-1] <= size:
             out.append(out[-1] * 100 // self.percent + 1)
         return out

@@ -109,12 +109,16 @@ class Coder:
             symbol = self.slot[low]
             x = self.freq[symbol] * (x >> shift) + low - self.start[symbol]
             short = np.flatnonzero(x < LOW)
+            if place + len(short) > length:
+                raise ValueError("a block is damaged: its stream is too short")
             x[short] = (x[short] << np.uint64(32)) | stream[place : place + len(short)]
             place += len(short)
             state[:n] = x
             to = step * lanes - begin
             out[to : to + n] = symbol[: len(out) - to]
             step += 1
+        if stop == count and (place != length or (state != LOW).any()):  # the coder began with these states
+            raise ValueError("a block is damaged: its states don't end where they began")
         return out[first - begin :]
 
 
