@@ -6,14 +6,16 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.vectors import id_error
 from .operators import mutate
 from .operators.search import search, search_one
+from .operators.validate import require_valid
 from .plans import ivf
 from .plans.retrieve import Retrieved, retrieve
+from .session import checkpointed
 from .sources import store as src
 from .spec import DEFAULT_LIMIT, DEFAULT_THRESHOLD, IndexSpec, StoreSpec
 from .streaming.ingest import log_batch
@@ -47,9 +49,7 @@ class VectorStore:
         return f"{self.path}/log"
 
     def log(self) -> DataFrame | None:
-        try:
-            self.spark.read.parquet(self._log)
-        except AnalysisException:
+        if src.batches(self.spark, self._log, self.spec) is None:
             return None
         return src.read_log(self.spark, self._log, self.spec)
 
@@ -61,11 +61,9 @@ class VectorStore:
         return self.base() if log is None else src.current(self.base(), log, self.spec)
 
     def _append(self, changes: DataFrame, as_of: dt.datetime | str) -> None:
-        log = self.log()
-        last = None if log is None else log.agg(F.max("batch_id")).first()[0]
-        log_batch(
-            changes, self.spec, as_of, 0 if last is None else last + 1, self._log, self.base()
-        )
+        known = src.batches(self.spark, self._log, self.spec)
+        own = None if known is None else known.filter(F.col("writer") == "direct").agg(F.max("batch_id")).first()[0]
+        log_batch(changes, self.spec, as_of, 0 if own is None else own + 1, self._log, self.base())
 
     def store_batch(self, items: DataFrame, as_of: dt.datetime | str) -> None:
         """Insert or replace items; all are checked before any is written."""
@@ -89,7 +87,11 @@ class VectorStore:
         )
 
     def get(self, ids: DataFrame) -> DataFrame:
-        return mutate.get(self.rows(), ids, self.spec)
+        """One row per id; an empty id, or one whose key a foreign row holds, is an error."""
+        require_valid(ids.select("id", id_error(F.col("id")).alias("reason")).filter(F.col("reason").isNotNull()))
+        found = checkpointed(mutate.get(self.rows(), ids, self.spec))
+        mutate.require_no_collision(found.filter("collision").select(mutate.document_key(self.spec, F.col("id")).alias("doc_key")))
+        return found
 
     def count(self) -> int:
         return mutate.count(self.rows(), self.spec).first()["n"]

@@ -80,11 +80,17 @@ def nearest(
     task = Task(dimensions, tuple(fields), before, strict, ranges, digits)
     if method in ("auto", "broadcast"):
         most = max(block_bytes // (8 * dimensions + 64), 1)
-        table = queries.limit(most + 1).toArrow()
-        wanted = sum(table.column("limit").to_pylist())
-        if method == "broadcast" or (table.num_rows <= most and wanted <= block_hits):
-            if table.num_rows > most:
-                raise ValueError(f"more than {most} queries cannot be broadcast")
+        # every task sums its own queries and sends one row; they are fetched only once they are known to be few
+        n, wanted, named = queries.agg(
+            F.count(F.lit(1)),
+            F.coalesce(F.sum(F.col("limit").cast("bigint")), F.lit(0)),
+            F.coalesce(F.sum(reduce(lambda a, b: a + b, [_octets(c) for c in queries.columns if c not in ("qv", "limit")])), F.lit(0)),
+        ).first()
+        few = n <= most and named <= block_bytes
+        if method == "broadcast" and not few:
+            raise ValueError(f"more than {most} queries, or more than {block_bytes} bytes of their names and filters, cannot be broadcast")
+        if method == "broadcast" or (few and wanted <= block_hits):
+            table = queries.toArrow()
             found = _broadcast(corpus, queries.schema, table, task)
             largest = max(table.column("limit").to_pylist(), default=0)
             fan = math.ceil(largest * _scan_tasks(corpus) / MERGE_ROWS)
@@ -93,6 +99,10 @@ def nearest(
     return Hits(_ranked(found, before, fan), False)
 
 
+def _octets(name: str) -> Column:
+    return F.coalesce(F.octet_length(F.col(_quoted(name)).cast("string")), F.lit(0))
+
+
 def _quoted(name: str) -> str:
     return f"`{name}`"
 
@@ -232,8 +242,11 @@ def _met(
     cut = sizes.select(*keys, "shards", "blocks")
     how = "inner"
     if totals["n_keys"] > BROADCAST_KEYS:
+        # rows under keys that no query asks for go first: they have no shards, and would meet in one task
+        asked = sizes.select(*keys)
+        corpus, queries = (side.join(asked, keys, "left_semi") for side in (corpus, queries))
         cut, how = cut.filter((F.col("shards") > 1) | (F.col("blocks") > 1)), "left"
-        small = cut.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        small = cut.count() <= BROADCAST_KEYS
     else:
         small = True
     cut = F.broadcast(cut) if small else cut

@@ -13,7 +13,6 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -27,6 +26,7 @@ from ..operators.nearest import Hits, nearest
 from ..operators.quantize import closest_lists, encode, value_ranges
 from ..operators.search import PAYLOAD, checked_queries, scored, with_payload
 from ..session import ship_package
+from ..sources.store import not_there
 from ..spec import (
     DEFAULT_LIMIT,
     DEFAULT_THRESHOLD,
@@ -214,9 +214,12 @@ def build_index(store: DataFrame, spec: IndexSpec, path: str, seed: int = 42) ->
 def load_index(spark: SparkSession, path: str, store_spec: StoreSpec) -> Index | None:
     """The index under ``path``, or None. The head is written last, so a broken build does not count."""
     try:
-        head = spark.read.parquet(f"{path}/head").first()
-    except (AnalysisException, Py4JJavaError):
-        return None
+        heads = spark.read.parquet(f"{path}/head")
+    except AnalysisException as error:
+        if not_there(error):
+            return None
+        raise
+    head = heads.first()
     if head is None:
         return None
     return Index(

@@ -19,6 +19,7 @@ from ..functions.text import (
 )
 from ..operators.nearest import Hits
 from ..operators.search import search_hits, with_payload
+from ..session import checkpointed
 from ..spec import DEFAULT_THRESHOLD, DEFAULT_TOP_K, StoreSpec
 
 DEFAULT_SOURCE = "Vector store"
@@ -110,9 +111,10 @@ def retrieve(
     common = filters
     if callable(filters):
         queries, common = filters(queries), None
+    queries = checkpointed(queries)  # texts are embedded once, whatever the search reads its queries for
     find = search or (lambda q, **kw: search_hits(store, q, spec, **kw))
     found = find(queries, limit=top_k, threshold=threshold, filters=common, **how)
-    hits = with_payload(found, store, spec, ("metadata", "metadata_json", "content"))
+    hits = checkpointed(with_payload(found, store, spec, ("metadata", "metadata_json", "content")))
     context = inputs.select("q_id").join(contexts(hits), "q_id", "left")
     return Retrieved(
         context.select("q_id", F.coalesce("context", F.lit(empty_message)).alias("context")),

@@ -34,7 +34,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
             raise ConfigurationError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="recallset-")
         spark.sparkContext.setCheckpointDir(root)

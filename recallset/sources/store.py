@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,17 +58,24 @@ def log_schema(spec: StoreSpec) -> T.StructType:
     return (
         T.StructType([T.StructField("op", T.StringType()), T.StructField("reset", T.BooleanType())])
         .add("as_of", T.TimestampType())
-        .add("batch_id", T.LongType())
         .add("item", spec.schema)
         .add("doc_key", T.StringType())
+        .add("seq", T.LongType())
+        .add("writer", T.StringType())
+        .add("batch_id", T.LongType())
     )
 
 
+def not_there(error: AnalysisException) -> bool:
+    """Whether a path is missing; any other trouble with reading it is not the same as nothing being there."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def empty_store(spark: SparkSession, spec: StoreSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)
 
 
-def fold_changes(changes: DataFrame, as_of: Column, batch_id: int) -> DataFrame:
+def fold_changes(changes: DataFrame, as_of: Column) -> DataFrame:
     """One log row per key of a batch of ``(op, ord, doc_key, item)``: the last change wins.
 
     ``reset`` says that the key was removed on the way, so what is stored now is a new row.
@@ -82,17 +90,36 @@ def fold_changes(changes: DataFrame, as_of: Column, batch_id: int) -> DataFrame:
             F.col("last.op").alias("op"),
             "reset",
             as_of.alias("as_of"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
             F.col("last.item").alias("item"),
             "doc_key",
         )
     )
 
 
-def write_batch(log: DataFrame, path: str) -> None:
-    """Append a batch; writing the same batch again replaces it, so a replayed batch counts once."""
-    log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "batch_id"
+def batches(spark: SparkSession, path: str, spec: StoreSpec) -> DataFrame | None:
+    """``(seq, writer, batch_id)`` of each logged batch, or None if there is no log. Only folder names are read."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if not_there(error):
+            return None
+        raise
+    return read_log(spark, path, spec).select("seq", "writer", "batch_id").distinct()
+
+
+def write_batch(log: DataFrame, path: str, spec: StoreSpec, writer: str, batch_id: int) -> None:
+    """Append a batch of a writer; the same writer's same batch again replaces itself, so a replay counts once.
+
+    A batch is addressed by writer and number, so writers never touch each other's. Its place in the order of all
+    writers' batches is ``seq``: one more than the largest so far, or for a replay the one it has.
+    """
+    known = batches(log.sparkSession, path, spec)
+    own = F.when((F.col("writer") == writer) & (F.col("batch_id") == batch_id), F.col("seq"))
+    held, last = (None, None) if known is None else known.agg(F.min(own), F.max("seq")).first()
+    seq = held if held is not None else 0 if last is None else last + 1
+    place = {"seq": F.lit(seq).cast("bigint"), "writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")}
+    log.withColumns(place).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *place
     ).parquet(path)
 
 
@@ -103,26 +130,20 @@ def read_log(spark: SparkSession, path: str, spec: StoreSpec) -> DataFrame:
 def current(base: DataFrame, log: DataFrame, spec: StoreSpec) -> DataFrame:
     """The rows after all logged batches.
 
-    A key has at most one log row per batch, so its window holds no more rows than there are batches
-    since the snapshot. Base rows are only filtered by the keys that changed.
+    The newest item of a key is taken by an aggregate, so a key that changes in every batch carries no
+    history of vectors; only its instants are ordered. Base rows are only filtered by the keys that changed.
     """
     by_key = Window.partitionBy("doc_key")
-    newest = Window.partitionBy("doc_key").orderBy(F.desc("batch_id"))
-    state = (
-        log.withColumn("reset_at", F.max(F.when(F.col("reset"), F.col("batch_id"))).over(by_key))
-        .withColumn(
-            "first_at",
-            F.min(
-                F.when(
-                    (F.col("op") == UPSERT) & (F.col("batch_id") >= F.coalesce("reset_at", F.lit(-1))),
-                    F.col("as_of"),
-                )
-            ).over(by_key),
-        )
-        .withColumn("n", F.row_number().over(newest))
-        .filter("n = 1")
-        .select("doc_key", "op", "item", F.col("reset_at").isNull().alias("continues"), "first_at")
+    times = log.select("doc_key", "op", "reset", "as_of", "seq").withColumn(
+        "reset_at", F.max(F.when(F.col("reset"), F.col("seq"))).over(by_key)
+    )
+    since = (F.col("op") == UPSERT) & (F.col("seq") >= F.coalesce("reset_at", F.lit(-1)))
+    times = times.groupBy("doc_key").agg(
+        F.bool_and(F.col("reset_at").isNull()).alias("continues"),
+        F.min(F.when(since, F.col("as_of"))).alias("first_at"),
     )
+    newest = log.groupBy("doc_key").agg(F.max_by(F.struct("op", "item"), "seq").alias("last"))
+    state = newest.join(times, "doc_key").select("doc_key", "last.op", "last.item", "continues", "first_at")
     keys = flt.sent_if_few(log.select("doc_key").distinct())
     changed, on = flt.on_keys(base, keys, spec)
     held = (

@@ -23,11 +23,12 @@ def log_batch(
     batch_id: int,
     path: str,
     base: DataFrame | None = None,
+    writer: str = "direct",
 ) -> None:
     """Log one batch of ``(id, vector[, metadata][, content], ord[, op])``, or raise and log nothing.
 
     ``op`` is ``upsert`` (the default) or ``delete``; of several changes to an id, the one with the highest
-    ``ord`` counts. With ``base``, a change to a key held by a foreign row is an error.
+    ``ord`` counts. ``writer`` and ``batch_id`` name the batch: again under the same names it replaces itself. With ``base``, a change to a key held by a foreign row is an error.
     """
     op = F.coalesce("op", F.lit(UPSERT)) if "op" in items.columns else F.lit(UPSERT)
     items = items.withColumn("op", op).persist()
@@ -41,7 +42,7 @@ def log_batch(
             held = occupied(base, change_keys(rows), spec)
             require_no_collision(held.filter(~F.col("owned")))
         changes = rows.select("op", "ord", "doc_key", F.struct(*spec.schema.names).alias("item"))
-        write_batch(fold_changes(changes, now, batch_id), path)
+        write_batch(fold_changes(changes, now), path, spec, writer, batch_id)
     finally:
         items.unpersist()
 
@@ -57,12 +58,14 @@ def ingest(
 ) -> StreamingQuery:
     """Start logging a stream of items. ``clock`` gives the instant of a batch, by default the current time.
 
-    A batch that runs again after a failure overwrites itself, so each counts once.
+    A batch that runs again after a failure overwrites itself, so each counts once. Batches are logged under the query's
+    id, which Spark keeps in the checkpoint: a stream with another checkpoint is another writer.
     """
     now = clock or (lambda batch_id: dt.datetime.now(dt.timezone.utc))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log_batch(batch, spec, now(batch_id), batch_id, log_path, base)
+        query = batch.sparkSession.read.json(f"{checkpoint_path.rstrip('/')}/metadata").first()["id"]
+        log_batch(batch, spec, now(batch_id), batch_id, log_path, base, f"stream-{query}")
 
     return (
         items.writeStream.foreachBatch(write)

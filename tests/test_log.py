@@ -126,3 +126,38 @@ def test_store_object(spark, folder):
     assert store.count() == compacted.count() == 1 and compacted.log() is None
     assert compacted.rows().first()["created_at"] == day(0)
     assert compacted.clear(f"{folder}/c").count() == 0
+
+
+def test_writers_do_not_replace_each_other(spark, folder):
+    base, log = start(spark), f"{folder}/log"
+    log_batch(batch(spark, [("kept", [1.0, 0.0], "direct", 0, UP), ("a", [1.0, 0.0], "first", 0, UP)]), SPEC, day(0), 0, log, base)
+    for n in range(2):  # each stream has a fresh checkpoint, so both number their batches from 0
+        rows = [(f"s{n}", [1.0, 0.0], "stream", 0, UP), ("a", [1.0, 0.0], f"stream {n}", 0, UP)]
+        batch(spark, rows).coalesce(1).write.json(f"{folder}/in{n}")
+        stream = spark.readStream.schema(T.StructType.fromDDL(ITEM)).json(f"{folder}/in{n}")
+        ingest(stream, SPEC, log, f"{folder}/checkpoint{n}", base, clock=lambda _, n=n: day(n + 1)).awaitTermination()
+    rows = src.current(base, src.read_log(spark, log, SPEC), SPEC)
+    want = {"base": "old", "kept": "direct", "s0": "stream", "s1": "stream", "a": "stream 1"}
+    assert {r["id"]: r["content"] for r in rows.collect()} == want
+    log_batch(batch(spark, [("kept", [1.0, 0.0], "direct", 0, UP), ("a", [1.0, 0.0], "first", 0, UP)]), SPEC, day(0), 0, log, base)
+    again = src.current(base, src.read_log(spark, log, SPEC), SPEC)
+    assert {r["id"]: r["content"] for r in again.collect()} == want
+
+
+def test_unreadable_log_and_head_are_errors(spark, folder):
+    store = VectorStore.create(spark, f"{folder}/a", SPEC)
+    spark.createDataFrame([("x",)], "v string").write.text(f"{folder}/a/log")
+    with pytest.raises(Exception):
+        store.log().count()
+    spark.createDataFrame([("x",)], "v string").write.text(f"{folder}/index/head")
+    with pytest.raises(Exception):
+        store.index_status(f"{folder}/index")
+
+
+def test_get_refuses_empty_ids_and_foreign_rows(spark, folder):
+    foreign = spark.createDataFrame([(SPEC.key_prefix + "x", "invoice", *[None] * 9)], SPEC.schema)
+    store = VectorStore.create(spark, f"{folder}/a", SPEC, foreign)
+    with pytest.raises(ValidationError):
+        store.get(spark.createDataFrame([("",)], "id string"))
+    with pytest.raises(CollisionError):
+        store.get(spark.createDataFrame([("x",)], "id string"))
