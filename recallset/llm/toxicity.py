@@ -63,11 +63,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, most
     return picked.select("label", "text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None, max_labelled: int = 20_000, min_docs: int = 5, min_z: float = 3.0) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None, max_labelled: int = 20_000, min_docs: int = 5, min_z: float = 3.0, min_ratio: float = 0.7) -> ToxicityModel:
     """Learn from at most about `max_labelled` labelled documents.
 
     Counts of documents with a cell, by class, are made by Spark. Cells in fewer than `min_docs` documents, or whose log-count
-    ratio is within `min_z` standard errors of 0, get no weight. A regularised logistic regression over the others, scaled by their
+    ratio is within `min_z` standard errors of 0 or within `min_ratio` of it, get no weight. A regularised logistic regression over the others, scaled by their
     ratios, runs on the driver: its input is bounded by `max_labelled`. With no label, or one class only, the
     score is that class's smoothed share for every text.
     """
@@ -93,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None, m
     cell, n, p = (found.column(c).to_numpy().astype(np.float64) for c in ("cell", "n", "p"))
     ratio = np.log((p + 0.5) / (positive + 1)) - np.log((n - p + 0.5) / (negative + 1))
     error = np.sqrt(1 / (p + 0.5) + 1 / (n - p + 0.5))
-    kept = np.abs(ratio) >= min_z * error
+    kept = (np.abs(ratio) >= min_z * error) & (np.abs(ratio) >= min_ratio)
     if not kept.any():
         return flat
     column = np.full(1 << BITS, -1, np.int32)
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None, m
 def _logistic(row: np.ndarray, col: np.ndarray, y: np.ndarray, ratio: np.ndarray, prior: float, ridge: float = 1.0, steps: int = 200) -> tuple[np.ndarray, float]:
     """Mean log loss plus `ridge` / n times half the squared weights, minimised by limited-memory BFGS."""
     n, m = len(y), len(ratio)
-    value = ratio[col]
+    row, value = row.astype(np.int32), ratio[col].astype(np.float32)
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         margin = np.bincount(row, value * x[col], n) + x[m]
