@@ -142,8 +142,9 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 3) -> Dat
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
     first = lines.groupBy("set_id").agg(F.min(place).alias("first"))
     named = first.join(clusters.withColumnRenamed("node", "set_id"), "set_id").select("root", F.col("set_id").alias("id"), "first.doc_id", "first.text_hash", F.col("first.line").alias("line"))
-    members = texts_of(docs, stored(named, "cluster-lines")).select("root", "id", F.col("_doc").alias("doc_id"), "text_hash", "line", "text")
-    members = stored(in_python(members, _member_tokens, "root binary, id binary, last boolean, doc_id long, text_hash long, line int, tokens binary").dropDuplicates(["id"]), "cluster-line-sets")
+    named = stored(named, "cluster-lines")
+    members = texts_of(docs, named).select("root", "id", F.col("_doc").alias("doc_id"), "text_hash", "line", "text")
+    members = in_python(members, _member_tokens, "root binary, id binary, last boolean, doc_id long, text_hash long, line int, tokens binary")
 
     def later(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = later_members(group, percent)
@@ -151,7 +152,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 3) -> Dat
             yield pa.RecordBatch.from_arrays([group.column(4).take(pa.array(found))], ["set_id"])
 
     columns = ["own", "id", "last", "doc_id", "text_hash", "line", "tokens"]
-    matched = groups_of(spread(members), ["root", "p", "q"], columns, later, "set_id binary").distinct().withColumn("matched", F.lit(True))
+    matched = groups_of(spread(members, named), ["root", "p", "q"], columns, later, "set_id binary").distinct().withColumn("matched", F.lit(True))
     repeated = lines.groupBy("set_id").agg(F.min(place).alias("first"), F.count("*").alias("lines")).join(matched, "set_id", "left").filter("lines > 1 OR matched")
     found = lines.join(repeated, "set_id").filter(F.coalesce("matched", F.lit(False)) | (place != F.col("first")))
     return found.select("doc_id", "text_hash", "line").distinct()
@@ -171,7 +172,8 @@ def later_members(group: pa.RecordBatch, percent: int) -> list[int]:
     cross = group.column(1)[0].as_py() != group.column(2)[0].as_py()
     keys = list(zip(*(group.column(c).to_pylist() for c in (5, 6, 7, 8)), strict=True))
     order = sorted(range(len(keys)), key=lambda i: (keys[i][0], keys[i][1] or 0, *keys[i][2:]))
-    tokens = group.column(9).to_pylist()
+    tokens, names = group.column(9).to_pylist(), group.column(4).to_pylist()
+    same = np.unique([names[i] for i in order], return_inverse=True)[1]
     sets = [np.frombuffer(tokens[i], np.uint64) for i in order]
     own, sizes, bits = own[order], np.array([len(s) for s in sets]), sketches(sets)
     found = []
@@ -180,7 +182,7 @@ def later_members(group: pa.RecordBatch, percent: int) -> list[int]:
         fits = np.minimum(sizes[:i], sizes[i]) >= needed
         if cross:
             fits &= own[:i] != own[i]
-        before = np.flatnonzero(fits)
+        before = np.flatnonzero(fits & (same[:i] != same[i]))
         apart = np.bitwise_count(bits[before] ^ bits[i]).sum(1)
         for j in before[apart <= sizes[before] + sizes[i] - 2 * needed[before]].tolist():
             shared = shared_tokens(sets[i], sets[j])

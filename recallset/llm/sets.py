@@ -116,13 +116,15 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def spread(members: DataFrame) -> DataFrame:
+def spread(members: DataFrame, named: DataFrame) -> DataFrame:
     """Members (root, id, …) of clusters as rows of groups (root, p, q): all within block p, or of the blocks p and q.
 
+    `named` is (root, id), once for each member: clusters are counted there, so the wide rows are made once.
+
     Clusters of up to BLOCK members are one group. A larger one is cut into blocks by a hash of the id, and each member is
     sent to the groups of its block with every other, so no task holds more than two blocks.
     """
-    sizes = members.groupBy("root").agg(F.count("*").alias("members")).filter("members > 1")
+    sizes = named.groupBy("root").agg(F.count("*").alias("members")).filter("members > 1")
     blocks = sizes.select("root", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     placed = members.join(blocks, "root").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -127,12 +127,12 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     clusters = stored(components(candidates), "clusters")
     first = rows.filter("set_id IS NOT NULL").select(F.col("set_id").alias("node"), "doc_id", "text_hash").join(clusters, "node")
     first = stored(first.groupBy("node", "root").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("root", F.col("node").alias("id"), "at.*"), "cluster-members")
-    members = stored(texts_of(docs, first).select("root", "id", "text").transform(lambda d: _tokens(d, width)), "cluster-sets")
+    members = texts_of(docs, first).select("root", "id", "text").transform(lambda d: _tokens(d, width))
 
     def verified(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield from tree(group, rule)
 
-    links = groups_of(spread(members), ["root", "p", "q"], ["own", "id", "tokens"], verified, "a binary, b binary")
+    links = groups_of(spread(members, first), ["root", "p", "q"], ["own", "id", "tokens"], verified, "a binary, b binary")
     joined = stored(components(links), "linked-sets")
     sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     sets = sets.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
@@ -163,14 +163,19 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _tokens(members: DataFrame, width: int) -> DataFrame:
+    """Repeated documents name a member more often; a task passes it on once, and in a group equal members do no harm."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for part in text_parts(batches, 2):
-            sets = shingle_sets(part.column(2), width)
-            right = np.array([set_id(s) == i for s, i in zip(sets, part.column(1).to_pylist(), strict=True)], bool)
+            sets, ids = shingle_sets(part.column(2), width), part.column(1).to_pylist()
+            right = np.array([set_id(s) == i and i not in seen and not seen.add(i) for s, i in zip(sets, ids, strict=True)], bool)
+            if len(seen) > SEEN_SETS:
+                seen.clear()
             out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([s.tobytes() for s in sets], pa.binary())], ["root", "id", "tokens"])
             yield out.filter(pa.array(right))
 
-    return in_python(members, run, "root binary, id binary, tokens binary").dropDuplicates(["id"])
+    return in_python(members, run, "root binary, id binary, tokens binary")
 
 
 def _binary(ids: np.ndarray) -> pa.Array:
