@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,18 @@ class Threshold:
     def links(self, a: int, b: int, shared: int) -> bool:
         return 100 * shared >= self.percent * (a + b - shared)
 
+    def cut(self, low: int, high: int) -> tuple[int, int]:
+        """Segments for the join of sets of `low` tokens and more whose smaller one has up to `high`; and how many of a set's may be
+        empty for it to leave those out.
+
+        Two linked sets agree in one segment more than that number at least, so in one with tokens, unless more are empty in
+        both. Empty segments agree in unlike sets as well; a set with so many is rare, and then offers the empty ones too.
+        """
+        least, spare = self.most(high) + 1, 0
+        while spare < (empty := (least + spare) * math.exp(-low / (least + spare))) + 4 * math.sqrt(empty):
+            spare += 1
+        return least + spare, spare
+
     def edges(self, size: int) -> list[int]:
         """Lower ends of the bands up to the one of `size`, and the next; the first is the least size that can differ at all."""
         out = [next((n for n in range(1, 101) if self.most(n) >= 1), 1 << 62)]
@@ -48,8 +61,8 @@ def buckets(tokens: np.ndarray, rule: Threshold, edges: list[int]) -> list[np.nd
     """The keys under which a set looks for partners; linked sets that are not equal share at least one.
 
     A set is in the join of its own band and in that of the band below. The join of band k cuts the space of tokens
-    into one segment more than a linked pair can differ in tokens, so that two linked sets agree in one. A segment's sketch is the
-    exclusive or of the tokens in it. Where a pair can differ by one token only, a set offers itself and
+    into more segments than a linked pair can differ in tokens, so that two linked sets agree in one (see `cut`). A segment's sketch
+    is the exclusive or of the tokens in it. Where a pair can differ by one token only, a set offers itself and
     itself without each of its tokens.
     """
     n, out = len(tokens), []
@@ -59,16 +72,19 @@ def buckets(tokens: np.ndarray, rule: Threshold, edges: list[int]) -> list[np.nd
     for k in (band, band - 1):
         if k < 0:
             continue
-        segments = rule.most(edges[k + 1] - 1) + 1
-        if segments == 2:
+        if rule.most(edges[k + 1] - 1) == 1:
             whole = np.bitwise_xor.reduce(tokens)
             out.append(mixed(np.append(tokens ^ whole, whole)))
             continue
+        segments, spare = rule.cut(edges[k], edges[k + 1] - 1)
         at = ((tokens >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
         first = np.flatnonzero(np.diff(at, prepend=np.uint64(segments)))
-        parity = np.zeros(segments, np.uint64)
-        parity[at[first].astype(np.int64)] = np.bitwise_xor.reduceat(tokens, first)
-        out.append(mixed(parity ^ mixed((np.arange(segments, dtype=np.uint64) + np.uint64(1)) * np.uint64(1_000_003) + np.uint64(k))))
+        filled = at[first]
+        parity = np.bitwise_xor.reduceat(tokens, first)
+        if segments - len(filled) > spare:
+            empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), filled)
+            filled, parity = np.concatenate([filled, empty]), np.concatenate([parity, np.zeros(len(empty), np.uint64)])
+        out.append(mixed(parity ^ mixed((filled + np.uint64(1)) * np.uint64(1_000_003) + np.uint64(k))))
     return out
 
 

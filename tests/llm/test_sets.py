@@ -41,10 +41,11 @@ def test_linked(docs, texts, width, percent):
     assert got == brute_components(texts, width, percent)
 
 
-def test_linked_sets_share_a_bucket():
+@pytest.mark.parametrize("percent", [90, 80])
+def test_linked_sets_share_a_bucket(percent):
     draw = np.random.default_rng(5)
-    rule = shingle_join.Threshold(90)
-    edges = rule.edges(4000)
+    rule = shingle_join.Threshold(percent)
+    edges = rule.edges(6000)
     for n in [9, 10, 17, 18, 19, 27, 90, 91, 500, 3000]:
         for _ in range(20):
             whole = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
