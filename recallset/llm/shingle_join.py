@@ -29,6 +29,7 @@ class Threshold:
 
     def __init__(self, percent: int):
         self.percent = percent
+        self.cuts: dict[tuple[int, int], tuple[int, int]] = {}
 
     def most(self, smaller: int) -> int:
         """The largest symmetric difference of a link whose smaller set has so many tokens."""
@@ -44,10 +45,17 @@ class Threshold:
         Two linked sets agree in one segment more than that number at least, so in one with tokens, unless more are empty in
         both. Empty segments agree in unlike sets as well; a set with so many is rare, and then offers the empty ones too.
         """
-        least, spare = self.most(high) + 1, 0
-        while spare < (empty := (least + spare) * math.exp(-low / (least + spare))) + 4 * math.sqrt(empty):
-            spare += 1
-        return least + spare, spare
+        if (low, high) not in self.cuts:
+            least, spare = self.most(high) + 1, 0
+            while True:
+                segments, each = least + spare, low / (least + spare)
+                empty = segments * math.exp(-each)
+                # mean and four deviations of the empty segments; as segments grow this falls behind `spare`, as each token gets its own
+                if spare >= empty + 4 * math.sqrt(max(0.0, empty * (1 - (1 + each) * math.exp(-each)))):
+                    break
+                spare += 1
+            self.cuts[low, high] = segments, spare
+        return self.cuts[low, high]
 
     def edges(self, size: int) -> list[int]:
         """Lower ends of the bands up to the one of `size`, and the next; the first is the least size that can differ at all."""
