@@ -1,195 +1,159 @@
 """Line dedup: an exact set-similarity join of lines by prefix filtering; of similar lines the later ones are removed.
 
-A line's tokens are its five-word shingles (see `sets`); lines of fewer words than that are one token, and lines of fewer than
-`min_words` words are left alone. Lines are ordered by (doc_id, hash of the text, line number), NULL doc_ids last. A line is removed
-if the Jaccard similarity of its tokens to those of an earlier line, itself removed or not, is at least the threshold.
+A line's tokens are its five-word shingles; lines of fewer words than that are one token, and lines of fewer than `min_words` words
+are left alone. Words are runs of characters other than ASCII white space, with A-Z in lower case. Lines are ordered by (doc_id, hash
+of the text, line number), NULL doc_ids last. A line is removed if the Jaccard similarity of its tokens to those of an earlier
+line, itself removed or not, is at least the threshold. Only DataFrame functions are used.
+
+Lines of equal words are one line from the start. Tokens are numbers whose upper 16 bits are the rank of their rarity, so that the
+ascending order of a line's tokens is the order by rarity. Lines are told apart by 128 bits of hash, tokens by 64.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_python, stored
-from .sets import components, groups_of, ids_matrix, mixed, runs, set_id, shared_tokens, shingle_sets, sketches, spread, text_parts
-from .shingle_join import SEEN_SETS, _binary, keyed, texts_of
+from .common import ascii_lower, stored
 
 WIDTH = 5
 #: Token counts are kept in so many cells, each of the tokens with the same low bits; the rarity of a token is its cell's.
-CELLS = 1 << 16
+CELL_BITS = 16
+#: Letters outside ASCII that `lower` would change.
+OTHER_CAPITALS = r"[\P{ASCII}&&[\p{IsUppercase}\p{Lt}]]"
+LINE = ["h", "g"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is evaluated once, however often `use` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def with_words(rows: DataFrame) -> DataFrame:
+    """Column `line_text` as `words`: in lower case, one space between words and none around them."""
+    low = F.when(F.col("line_text").rlike(OTHER_CAPITALS), ascii_lower(F.col("line_text"))).otherwise(F.lower("line_text"))
+    spaced = F.when(F.col("_low").rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace("_low", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("_low"))
+    return rows.withColumn("_low", low).withColumn("words", F.trim(spaced)).drop("_low", "line_text")
+
+
+def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, text_hash, line, words) of each line with at least `min_words` words."""
+    lines = keyed(docs).select("doc_id", "text_hash", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "line_text"))
+    enough = F.size(F.split("words", " ", min_words)) >= min_words if min_words > 1 else F.lit(True)
+    return with_words(lines).filter((F.col("words") != "") & enough)
 
 
-def line_sets(texts: pa.Array, min_words: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Text, line number and tokens of each line with at least `min_words` words."""
-    lines = [(t or "").split("\n") for t in texts.to_pylist()]
-    flat = [x for own in lines for x in own]
-    text = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
-    number = np.concatenate([np.arange(len(x)) for x in lines]) if lines else np.zeros(0, np.int64)
-    enough = np.fromiter((x.count(" ") + x.count("\t") + 1 >= min_words for x in flat), bool, len(flat)) if min_words > 1 else np.ones(len(flat), bool)
-    kept = np.flatnonzero(enough)
-    sets = shingle_sets(pa.array([flat[i] for i in kept], pa.string()), WIDTH)
-    if min_words > 1:
-        words = np.array([len(flat[i].split()) if len(s) == 1 else WIDTH for i, s in zip(kept, sets, strict=True)], np.int64)
-    else:
-        words = np.full(len(kept), WIDTH)
-    some = np.array([len(s) > 0 for s in sets], bool) & (words >= min_words)
-    return text[kept[some]], number[kept[some]], [s for s, x in zip(sets, some, strict=True) if x]
+def tokens_of(words: Column) -> Column:
+    """The distinct hashes of a line's shingles."""
 
+    def shingles(w: Column) -> Column:
+        rolled = F.transform(F.sequence(F.lit(1), F.size(w) - (WIDTH - 1)), lambda i: F.xxhash64(F.slice(w, i, WIDTH)))
+        return F.when(F.size(w) < WIDTH, F.array(F.xxhash64(w))).otherwise(F.array_distinct(rolled))
 
-def token_counts(docs: DataFrame, min_words: int) -> np.ndarray:
-    """How many tokens of all lines fall into each cell: at most CELLS rows reach the driver."""
+    return let(F.split(words, " "), shingles)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
-        for part in text_parts(batches, 0):
-            sets = line_sets(part.column(0), min_words)[2]
-            if sets:
-                total += np.bincount(cell_of(np.concatenate(sets)), minlength=CELLS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
 
-    found = in_python(docs.select("text"), run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(CELLS, np.int64)
-    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return counts
+def cell_of(token: Column) -> Column:
+    return token.bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int")
 
 
-def cell_of(tokens: np.ndarray) -> np.ndarray:
-    return (tokens & np.uint64(CELLS - 1)).astype(np.int64)
+def rarity(docs: DataFrame, min_words: int) -> Column:
+    """A literal array of the rank of each cell, 1 for the rarest: at most 2 ** CELL_BITS rows reach the driver."""
+    tokens = lines_of(docs, min_words).select(F.explode(tokens_of(F.col("words"))).alias("token"))
+    counts = {r.cell: r.n for r in tokens.groupBy(cell_of(F.col("token")).alias("cell")).agg(F.count("*").alias("n")).collect()}
+    ranks = [0] * (1 << CELL_BITS)
+    for rank, cell in enumerate(sorted(range(1 << CELL_BITS), key=lambda c: counts.get(c, 0))):
+        ranks[cell] = rank
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
-def overlap(a, b, percent: int):
-    """The least number of shared tokens of similar sets of sizes a and b."""
-    return -(-percent * (a + b) // (100 + percent))
+def by_rarity(tokens: Column, ranks: Column) -> Column:
+    """Tokens with their cell's bits replaced by its rank, as the upper bits, in ascending order."""
+    rest = 64 - CELL_BITS
+    half = 1 << (CELL_BITS - 1)
+
+    def ranked(token: Column) -> Column:
+        rank = F.element_at(ranks, cell_of(token) + 1).cast("long") - half
+        return F.shiftleft(rank, rest).bitwiseOR(F.shiftrightunsigned(token, CELL_BITS))
+
+    return F.array_sort(F.transform(tokens, ranked))
+
+
+def place(doc_id: str = "doc_id") -> Column:
+    return F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("doc_id"), "text_hash", "line")
 
 
 def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 3) -> DataFrame:
     """(doc_id, text_hash, line) of each removed line, once for rows that repeat doc_id and text.
 
-    Lines with equal tokens are joined as one. The prefix of a line's tokens, by rarity, is dealt out by token; lines that meet
-    under a token and may be alike by size and position are put into one cluster, and each cluster's lines are compared.
+    The prefix of a line's tokens is dealt out by token. Lines under the same token are first compared with the first of
+    them; those without a similar earlier line after that, with all earlier ones that size and position allow.
     """
-    counts = docs.sparkSession.sparkContext.broadcast(token_counts(docs, min_words))
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_parts(batches, 2):
-            text, number, sets = line_sets(part.column(2), min_words)
-            where = pa.array(text)
-            columns = [part.column(0).take(where), part.column(1).take(where), pa.array(number.astype(np.int32)), pa.array([set_id(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "set_id"])
-
-    lines = stored(in_python(keyed(docs), numbered, "doc_id long, text_hash long, line int, set_id binary"), "lines")
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = counts.value
-        seen: set[bytes] = set()
-        for part in text_parts(batches, 0):
-            ids, tokens_, sizes, rests = [], [], [], []
-            for tokens in line_sets(part.column(0), min_words)[2]:
-                this = set_id(tokens)
-                if this in seen:
-                    continue
-                if len(seen) > SEEN_SETS:
-                    seen.clear()
-                seen.add(this)
-                n = len(tokens)
-                prefix = n - -(-percent * n // 100) + 1
-                if prefix < 2 and n == 1:
-                    continue  # only an equal line can be similar
-                order = np.lexsort((tokens, rarity[cell_of(tokens)]))[:prefix]
-                ids.append(this)
-                tokens_.append(tokens[order])
-                sizes.append(n)
-                rests.append(n - np.arange(len(order)))
-            if ids:
-                each = [len(t) for t in tokens_]
-                columns = [
-                    pa.array(np.concatenate(tokens_).view(np.int64)),
-                    pa.array(np.repeat(sizes, each).astype(np.int32)),
-                    pa.array(np.concatenate(rests).astype(np.int32)),
-                    _binary(np.repeat(np.frombuffer(b"".join(ids), "V16"), each)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "n", "rest", "set_id"])
-
-    dealt = in_python(docs.select("text"), prefixes, "token long, n int, rest int, set_id binary")
-    dealt = dealt.repartition("token").sortWithinPartitions("token", "n", "set_id")
-
-    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Neighbours by size under a token, unless their sizes or what is left after the token are too small for each other.
-
-        If two lines may be alike by size, so may all neighbours between them. What is left counts only where two lines are
-        alone under the token: alike lines pass at their first common token.
-        """
-        for batch in runs(batches, 1):
-            token, n, rest = (batch.column(c).to_numpy() for c in range(3))
-            ids = ids_matrix(batch.column(3))
-            fresh = np.append(True, (token[1:] != token[:-1]) | (ids[1:] != ids[:-1]).any(1))
-            at = np.flatnonzero(fresh)
-            token, n, rest, ids = token[at], n[at].astype(np.int64), rest[at], ids[at]
-            near = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            alone = np.append(True, token[1:] != token[:-1])[:-1] & np.append(token[2:] != token[1:-1], True)
-            near &= ~alone | (np.minimum(rest[:-1], rest[1:]) >= overlap(n[:-1], n[1:], percent))
-            pair = np.flatnonzero(near)
-            if len(pair):
-                column = batch.column(3)
-                yield pa.RecordBatch.from_arrays([column.take(pa.array(at[pair])), column.take(pa.array(at[pair + 1]))], ["a", "b"])
-
-    clusters = stored(components(in_python(dealt, chained, "a binary, b binary").distinct()), "line-clusters")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line")
-    first = lines.groupBy("set_id").agg(F.min(place).alias("first"))
-    named = first.join(clusters.withColumnRenamed("node", "set_id"), "set_id").select("root", F.col("set_id").alias("id"), "first.doc_id", "first.text_hash", F.col("first.line").alias("line"))
-    named = stored(named, "cluster-lines")
-    members = texts_of(docs, named).select("root", "id", F.col("_doc").alias("doc_id"), "text_hash", "line", "text")
-    members = in_python(members, _member_tokens, "root binary, id binary, last boolean, doc_id long, text_hash long, line int, tokens binary")
-
-    def later(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = later_members(group, percent)
-        if len(found):
-            yield pa.RecordBatch.from_arrays([group.column(4).take(pa.array(found))], ["set_id"])
-
-    columns = ["own", "id", "last", "doc_id", "text_hash", "line", "tokens"]
-    matched = groups_of(spread(members, named), ["root", "p", "q"], columns, later, "set_id binary").distinct().withColumn("matched", F.lit(True))
-    repeated = lines.groupBy("set_id").agg(F.min(place).alias("first"), F.count("*").alias("lines")).join(matched, "set_id", "left").filter("lines > 1 OR matched")
-    found = lines.join(repeated, "set_id").filter(F.coalesce("matched", F.lit(False)) | (place != F.col("first")))
+    ranks = rarity(docs, min_words)
+    size = F.size("tokens")
+    most = size - F.ceil(size * percent / F.lit(100)).cast("int") + 1
+    ids = [F.xxhash64("words").alias("h"), F.xxhash64(F.lit(1), "words").alias("g")]
+    lines = lines_of(docs, min_words).select("doc_id", "text_hash", "line", *ids, tokens_of(F.col("words")).alias("tokens"))
+    lines = lines.select("doc_id", "text_hash", "line", *LINE, size.alias("n"), F.when(size > 1, F.slice(by_rarity(F.col("tokens"), ranks), 1, most)).alias("prefix"))
+    lines = stored(lines, "lines")
+
+    # lines of one token are similar only if they are equal
+    sets = lines.filter("n > 1").groupBy(*LINE).agg(F.min(place()).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    at = F.coalesce("first.doc_id", F.lit((1 << 63) - 1))
+    dealt = sets.select("h", at.alias("at"), "n", F.posexplode("prefix").alias("pos", "token")).select("token", "at", "h", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    order = Window.partitionBy("token").orderBy("at", "h")
+    head = F.first(F.struct("h", "n", "rest")).over(order)
+    met = dealt.withColumn("head", head).withColumn("more", F.lead("h").over(order).isNotNull())
+    met = stored(met.filter(F.col("more") | (F.col("h") != F.col("head.h"))).drop("more"), "met")
+
+    narrow = lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines"))
+    wanted = met.select("h").distinct()
+    members = stored(_members(docs, narrow.join(wanted, "h", "left_semi")), "line-members")
+
+    fits = _fits(F.col("n"), F.col("rest"), F.col("head.n"), F.col("head.rest"), percent)
+    pairs = met.filter((F.col("h") != F.col("head.h")) & fits).select(F.col("h").alias("x"), F.col("head.h").alias("y")).distinct()
+    matched = stored(_later(pairs, members, percent), "matched-first")
+
+    open_ = met.join(matched.select("h").distinct(), "h", "left_anti").select("token", *(F.col(c).alias(f"x_{c}") for c in ("at", "h", "n", "rest")), F.col("head.h").alias("head"))
+    other = met.select("token", *(F.col(c).alias(f"y_{c}") for c in ("at", "h", "n", "rest")))
+    fits = _fits(F.col("x_n"), F.col("x_rest"), F.col("y_n"), F.col("y_rest"), percent)
+    earlier = (F.col("y_at") <= F.col("x_at")) & (F.col("y_h") != F.col("x_h")) & fits
+    pairs = open_.join(other, "token").filter(earlier).select(F.col("x_h").alias("x"), F.col("y_h").alias("y")).distinct()
+    matched = matched.unionByName(_later(pairs, members, percent)).distinct().withColumn("matched", F.lit(True))
+
+    repeated = narrow.join(matched, LINE, "left").filter("lines > 1 OR matched")
+    found = lines.select("doc_id", "text_hash", "line", *LINE).join(repeated, LINE)
+    found = found.filter(F.coalesce("matched", F.lit(False)) | (place() != F.col("first")))
     return found.select("doc_id", "text_hash", "line").distinct()
 
 
-def _member_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in text_parts(batches, 5):
-        own = [(t or "").split("\n")[k] for t, k in zip(part.column(5).to_pylist(), part.column(4).to_pylist(), strict=True)]
-        sets = shingle_sets(pa.array(own, pa.string()), WIDTH)
-        columns = [part.column(0), part.column(1), part.column(2).is_null(), *(part.column(c) for c in (2, 3, 4)), pa.array([s.tobytes() for s in sets], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["root", "id", "last", "doc_id", "text_hash", "line", "tokens"])
-
-
-def later_members(group: pa.RecordBatch, percent: int) -> list[int]:
-    """Rows of a group (root, p, q, own, id, last, doc_id, text_hash, line, tokens) with a similar earlier row."""
-    own = group.column(3).to_numpy()
-    cross = group.column(1)[0].as_py() != group.column(2)[0].as_py()
-    keys = list(zip(*(group.column(c).to_pylist() for c in (5, 6, 7, 8)), strict=True))
-    order = sorted(range(len(keys)), key=lambda i: (keys[i][0], keys[i][1] or 0, *keys[i][2:]))
-    tokens, names = group.column(9).to_pylist(), group.column(4).to_pylist()
-    same = np.unique([names[i] for i in order], return_inverse=True)[1]
-    sets = [np.frombuffer(tokens[i], np.uint64) for i in order]
-    own, sizes, bits = own[order], np.array([len(s) for s in sets]), sketches(sets)
-    found = []
-    for i in range(1, len(sets)):
-        needed = overlap(sizes[:i], sizes[i], percent)
-        fits = np.minimum(sizes[:i], sizes[i]) >= needed
-        if cross:
-            fits &= own[:i] != own[i]
-        before = np.flatnonzero(fits & (same[:i] != same[i]))
-        apart = np.bitwise_count(bits[before] ^ bits[i]).sum(1)
-        for j in before[apart <= sizes[before] + sizes[i] - 2 * needed[before]].tolist():
-            shared = shared_tokens(sets[i], sets[j])
-            if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
-                found.append(order[i])
-                break
-    return found
+def _fits(n: Column, rest: Column, other_n: Column, other_rest: Column, percent: int) -> Column:
+    """Whether lines of so many tokens, and so many from a common one on, can be similar if it is their first common token."""
+    return F.least(rest, other_rest).cast("long") * (100 + percent) >= (n + other_n).cast("long") * percent
+
+
+def _members(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """(h, g, first, tokens) of the lines that `named` places."""
+    wanted = named.select(*LINE, "first", F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash"))
+    found = keyed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
+    found = found.select(*LINE, "first", F.get(F.split("text", "\n"), F.col("first.line")).alias("line_text"))
+    return with_words(found.dropDuplicates(LINE)).select(*LINE, "first", tokens_of(F.col("words")).alias("tokens"))
+
+
+def _later(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(h, g) of the later line of each similar pair (x, y)."""
+    one = members.select(F.col("h").alias("x"), F.struct("first", *LINE).alias("one"), F.col("tokens").alias("one_tokens"))
+    two = members.select(F.col("h").alias("y"), F.struct("first", *LINE).alias("two"), F.col("tokens").alias("two_tokens"))
+    shared = F.size(F.array_intersect("one_tokens", "two_tokens")).cast("long")
+    both = F.size("one_tokens").cast("long") + F.size("two_tokens")
+    similar = pairs.join(two, "y").join(one, "x").filter(shared * (100 + percent) >= both * percent)
+    return similar.select(F.greatest("one", "two").alias("later")).select("later.h", "later.g").distinct()
 
 
 def report(docs: DataFrame, percent: int = 80, min_words: int = 3) -> DataFrame:
