@@ -49,12 +49,17 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     return with_words(lines).filter((F.col("words") != "") & enough)
 
 
+def shingle(w: Column, i: Column) -> Column:
+    """Hash of the words from number i on, counted from 0."""
+    return F.xxhash64(*(F.get(w, i + k) for k in range(WIDTH)))
+
+
 def tokens_of(words: Column) -> Column:
-    """The distinct hashes of a line's shingles."""
+    """The distinct hashes of a line's shingles; of a line of fewer words the hash of all."""
 
     def shingles(w: Column) -> Column:
-        rolled = F.transform(F.sequence(F.lit(1), F.size(w) - (WIDTH - 1)), lambda i: F.xxhash64(F.slice(w, i, WIDTH)))
-        return F.when(F.size(w) < WIDTH, F.array(F.xxhash64(w))).otherwise(F.array_distinct(rolled))
+        rolled = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - WIDTH, F.lit(0))), lambda i: shingle(w, i))
+        return F.array_distinct(rolled)
 
     return let(F.split(words, " "), shingles)
 
@@ -65,7 +70,9 @@ def cell_of(token: Column) -> Column:
 
 def rarity(docs: DataFrame, min_words: int) -> Column:
     """A literal array of the rank of each cell, 1 for the rarest: at most 2 ** CELL_BITS rows reach the driver."""
-    tokens = lines_of(docs, min_words).select(F.explode(tokens_of(F.col("words"))).alias("token"))
+    words = lines_of(docs, min_words).select(F.split("words", " ").alias("w"))
+    starts = words.select("w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - WIDTH, F.lit(0)))).alias("i"))
+    tokens = starts.select(shingle(F.col("w"), F.col("i")).alias("token"))
     counts = {r.cell: r.n for r in tokens.groupBy(cell_of(F.col("token")).alias("cell")).agg(F.count("*").alias("n")).collect()}
     ranks = [0] * (1 << CELL_BITS)
     for rank, cell in enumerate(sorted(range(1 << CELL_BITS), key=lambda c: counts.get(c, 0))):
@@ -82,7 +89,7 @@ def by_rarity(tokens: Column, ranks: Column) -> Column:
         rank = F.element_at(ranks, cell_of(token) + 1).cast("long") - half
         return F.shiftleft(rank, rest).bitwiseOR(F.shiftrightunsigned(token, CELL_BITS))
 
-    return F.array_sort(F.transform(tokens, ranked))
+    return F.sort_array(F.transform(tokens, ranked))
 
 
 def place(doc_id: str = "doc_id") -> Column:
