@@ -22,8 +22,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_later_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that are similar to earlier ones; a document of which no word is left goes."""
-    return line_dedup.without_later_lines(docs)
+    """Documents without lines that are similar to earlier ones, lines of one or two words too; a document of which no word is left goes."""
+    return line_dedup.without_later_lines(docs, min_words=1)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,6 +89,13 @@ def test_lines(docs, texts):
     assert rows == sorted(((i, len((t or "").split("\n")), ",".join(map(str, want.get((i, t), []))), kept(t, want.get((i, t), []))) for i, t in texts), key=str)
 
 
+def test_pipeline_looks_at_short_lines(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(1, "a line of its own here\nles."), (2, "Les.\nanother line that is unlike\nand ornd."), (3, "and  ornd.\n\nthe third one is different"), (4, "les."), (5, "")]
+    left = corpus_pipeline.without_later_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(map(tuple, left)) == [rows[0], (2, "another line that is unlike\nand ornd."), (3, "\nthe third one is different"), rows[4]]
+
+
 def test_filters_keep_columns(docs):
     lines = line_dedup.without_later_lines(docs)
     assert lines.columns == docs.columns
