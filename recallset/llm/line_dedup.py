@@ -5,7 +5,7 @@ are left alone. Words are runs of characters other than ASCII white space, with
 of the text, line number), NULL doc_ids last. A line is removed if the Jaccard similarity of its tokens to those of an earlier
 line, itself removed or not, is at least the threshold. Only DataFrame functions are used.
 
-Lines of equal words are one line from the start. Tokens are numbers whose upper 16 bits are the rank of their rarity, so that the
+Lines of equal words, and lines whose only token is the same, are one line from the start. Tokens are numbers whose upper 16 bits are the rank of their rarity, so that the
 ascending order of a line's tokens is the order by rarity. Lines are told apart by 128 bits of hash, tokens by 64.
 """
 
@@ -105,9 +105,11 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 3) -> Dat
     ranks = rarity(docs, min_words)
     size = F.size("tokens")
     most = size - F.ceil(size * percent / F.lit(100)).cast("int") + 1
-    ids = [F.xxhash64("words").alias("h"), F.xxhash64(F.lit(1), "words").alias("g")]
-    lines = lines_of(docs, min_words).select("doc_id", "text_hash", "line", *ids, tokens_of(F.col("words")).alias("tokens"))
-    lines = lines.select("doc_id", "text_hash", "line", *LINE, size.alias("n"), F.when(size > 1, F.slice(by_rarity(F.col("tokens"), ranks), 1, most)).alias("prefix"))
+    # a longer line of one token repeats one word, however often; its first words stand for it
+    told = F.when(size > 1, F.col("words")).otherwise(F.substring_index("words", " ", WIDTH))
+    ids = [F.xxhash64("told").alias("h"), F.xxhash64(F.lit(1), "told").alias("g")]
+    lines = lines_of(docs, min_words).select("doc_id", "text_hash", "line", "words", tokens_of(F.col("words")).alias("tokens"))
+    lines = lines.withColumn("told", told).select("doc_id", "text_hash", "line", *ids, size.alias("n"), F.when(size > 1, F.slice(by_rarity(F.col("tokens"), ranks), 1, most)).alias("prefix"))
     lines = stored(lines, "lines")
 
     # lines of one token are similar only if they are equal

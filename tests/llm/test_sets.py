@@ -89,6 +89,19 @@ def test_lines(docs, texts):
     assert rows == sorted(((i, len((t or "").split("\n")), ",".join(map(str, want.get((i, t), []))), kept(t, want.get((i, t), []))) for i, t in texts), key=str)
 
 
+REPEATED = [
+    (1, "go go go go go\n- - - - -\nother words"),
+    (2, "go go go go go go\nGO go\tgo go go go go go\n- - - - - - - - -\ngo go go go\na b a b a b\na b a b a b a b a b"),
+    (3, "go go go go go stop\n- - - - - - -"),
+]
+
+
+def test_lines_that_repeat_a_word(spark):
+    found = line_dedup.report(spark.createDataFrame(REPEATED, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.removed for r in found} == {1: "", 2: "0,1,2,5", 3: "1"}
+    assert brute_lines(REPEATED) == {REPEATED[1]: [0, 1, 2, 5], REPEATED[2]: [1]}
+
+
 def test_pipeline_looks_at_short_lines(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rows = [(1, "a line of its own here\nles."), (2, "Les.\nanother line that is unlike\nand ornd."), (3, "and  ornd.\n\nthe third one is different"), (4, "les."), (5, "")]
