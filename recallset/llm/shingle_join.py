@@ -113,11 +113,12 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id) per row of `docs`.
+    """(doc_id, text_hash, n_shingles, component_id, root) per row of `docs`.
 
     component_id is the smallest doc_id reachable over links, which join documents whose sets of shingles share at least `percent`
     per cent of their union. NULL and empty texts have no shingle and no link. Equal sets are joined once, whatever their number. Rows may
-    repeat a doc_id; NULL doc_ids take part, and their component_id is NULL if all of the component are. Other columns of
+    repeat a doc_id; NULL doc_ids take part, and their component_id is NULL if all of the component are. root is
+    the same for the rows of one component and for no others, whatever their doc_ids; it is NULL without shingles. Other columns of
     `docs` are ignored.
     """
     rule = Threshold(percent)
@@ -161,9 +162,9 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     sets = sets.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     whole = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = sets.join(whole, "root").select("set_id", "component_id")
+    named = sets.join(whole, "root").select("set_id", "component_id", "root")
     out = rows.join(named, "set_id", "left")
-    return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,8 +243,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     """
     found = linked(docs, width, percent)
     alone = F.when(F.col("n_shingles") == 0, F.struct("doc_id", "text_hash"))
-    group = F.struct("component_id", alone.alias("alone"), F.when(F.col("component_id").isNull(), F.col("text_hash")).alias("unnamed"))
-    kept = found.groupBy(group.alias("g")).agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("at.*")
+    kept = found.groupBy("root", alone.alias("alone")).agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("at.*")
     kept = kept.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
     there = hashed.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")

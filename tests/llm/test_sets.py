@@ -109,6 +109,17 @@ def test_pipeline_looks_at_short_lines(spark):
     assert sorted(map(tuple, left)) == [rows[0], (2, "another line that is unlike\nand ornd."), (3, "\nthe third one is different"), rows[4]]
 
 
+def test_components_are_told_apart_without_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(7, "one text under a number"), (7, "and quite another under the same one"), (8, base), (8, other), (9, base + " end"), (9, other + " end")]
+    rows += [(None, " ".join(f"n{i}" for i in range(60)) + more) for more in ("", " end")] + [(None, "unlike the others without an id"), (None, None), (7, "")]
+    left = shingle_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(map(tuple, left), key=str)
+    assert [r for r in got if r[0] is not None] == sorted([*rows[:4], rows[10]], key=str)
+    assert len(got) == 8 and (None, None) in got and rows[8] in got
+
+
 def test_filters_keep_columns(docs):
     lines = line_dedup.without_later_lines(docs)
     assert lines.columns == docs.columns
