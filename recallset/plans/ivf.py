@@ -30,17 +30,14 @@ from ..sources.store import not_there
 from ..spec import (
     DEFAULT_LIMIT,
     DEFAULT_THRESHOLD,
-    MAX_TRAIN_LIST,
     IndexSpec,
     StoreSpec,
     check_probe_options,
 )
 
 CENTROID_BYTES = 64 << 20
-ROWS_PER_LIST = 256
 DEFAULT_N_PROBES = 1
 MAX_PRUNED_LISTS = 10_000
-MAX_PARALLEL_INIT = 1024
 
 
 @dataclass(frozen=True)
@@ -68,19 +65,22 @@ def index_rows(store: DataFrame, spec: StoreSpec) -> DataFrame:
 
 
 def list_count(spec: IndexSpec, rows: int) -> int:
-    """Lists asked for, else about the square root of the rows, as far as training and memory reach."""
+    """Lists asked for, else about the square root of the rows, but no more than points to train with or CENTROID_BYTES hold."""
     most = CENTROID_BYTES // (8 * spec.store.dimensions)
     wanted = spec.requested_lists
     if wanted is not None:
         if wanted > most:
             raise ConfigurationError(f"description asks for more than {most} lists")
         return wanted
-    trained = min(spec.train_list or MAX_TRAIN_LIST, rows)
+    trained = min(spec.train_list or rows, rows)
     return max(1, min(round(rows**0.5), trained, most))
 
 
 def train_centroids(store: DataFrame, spec: IndexSpec, seed: int = 42) -> DataFrame:
-    """``(centroid_id, centroid)`` from cosine k-means over a sample picked by a hash of the key."""
+    """``(centroid_id, centroid)`` from cosine k-means over all rows, or about ``train_list`` picked by a hash of the key.
+
+    Fewer lists than the description asks for are refused.
+    """
     rows = index_rows(store, spec.store)
     total = rows.count()
     if spec.train_list is not None and spec.train_list > total:
@@ -88,17 +88,19 @@ def train_centroids(store: DataFrame, spec: IndexSpec, seed: int = 42) -> DataFr
     if not total:
         raise ConfigurationError("there are no vectors to train an index with")
     lists = list_count(spec, total)
-    wanted = spec.train_list or min(total, MAX_TRAIN_LIST, ROWS_PER_LIST * lists)
-    size = 1 << 31
-    cutoff = round(size * min(1.0, wanted / max(total, 1)))
-    sample = rows.filter(F.pmod(F.xxhash64("doc_key"), F.lit(size)) < cutoff)
+    sample = rows
+    if spec.train_list is not None:
+        size = 1 << 31
+        cutoff = round(size * spec.train_list / total)
+        sample = rows.filter(F.pmod(F.xxhash64("doc_key"), F.lit(size)) < cutoff)
     points = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
-    # The parallel initialisation ends with a local pass over several points per list.
-    start = "k-means||" if lists <= MAX_PARALLEL_INIT else "random"
+    # This initialisation ends with a local pass over several points per list.
     model = KMeans(
-        k=max(lists, 2), distanceMeasure="cosine", initMode=start, seed=seed, maxIter=20
+        k=max(lists, 2), distanceMeasure="cosine", initMode="k-means||", seed=seed, maxIter=20
     ).fit(points)
     found = [[float(x) for x in c] for c in model.clusterCenters()][:lists]
+    if spec.requested_lists is not None and len(found) < lists:
+        raise ConfigurationError(f"description asks for {lists} lists, but the vectors give {len(found)}")
     return store.sparkSession.createDataFrame(
         list(enumerate(found)), "centroid_id int, centroid array<double>"
     )

@@ -187,7 +187,8 @@ def check_probe_options(n_probes: Any, rerank: Any, top_n_scan: Any) -> None:
 class IndexSpec:
     """How to build an inverted-file index with 8-bit codes over one store.
 
-    ``description`` is ``IVF,SQ8`` (list count chosen from the data) or ``IVF<n>,SQ8``.
+    ``description`` is ``IVF,SQ8`` (list count chosen from the data) or ``IVF<n>,SQ8``. ``train_list`` is the number of
+    vectors sampled for training; without it training reads all.
     """
 
     store: StoreSpec

@@ -148,6 +148,50 @@ def test_nothing_to_train_on(spark):
         ivf.make_index(spark.createDataFrame([], SPEC.schema), INDEX)
 
 
+def two_wide(spark, rows):
+    spec = StoreSpec(2)
+    plain = spark.range(rows).select(
+        F.col("id").cast("string").alias("doc_key"),
+        F.lit(spec.document_type).alias("document_type"),
+        F.array(F.lit(1.0), F.col("id").cast("double")).alias("vector"),
+    )
+    return spec, plain.select(
+        *[
+            (F.col(f.name) if f.name in plain.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in spec.schema.fields
+        ]
+    )
+
+
+def test_training_reads_all_rows_and_starts_alike_at_every_size(spark, monkeypatch):
+    class Recorded:
+        def __init__(self, k, initMode, **_):
+            self.k = k
+            starts.append(initMode)
+
+        def fit(self, points):
+            counts.append(points.count())
+            return self
+
+        def clusterCenters(self):
+            return [[1.0, 0.0]] * self.k
+
+    starts, counts = [], []
+    monkeypatch.setattr(ivf, "KMeans", Recorded)
+    spec, store = two_wide(spark, 3000)
+    for lists in (2, 1025):
+        ivf.train_centroids(store, IndexSpec(spec, description=f"IVF{lists},SQ8"))
+    assert counts == [3000, 3000] and len(set(starts)) == 1
+    ivf.train_centroids(store, IndexSpec(spec, description="IVF2,SQ8", train_list=600))
+    assert 450 < counts[2] < 750
+
+
+def test_fewer_lists_than_asked_are_refused(spark):
+    spec, store = two_wide(spark, 2)
+    with pytest.raises(ConfigurationError, match="asks for 50 lists"):
+        ivf.train_centroids(store, IndexSpec(spec, description="IVF50,SQ8"))
+
+
 def test_given_centroids_are_checked(spark):
     schema = "centroid_id int, centroid array<double>"
     for rows, message in (([(1, [1.0, 0.0])], "count from 0"), ([(0, [1.0])], "must have 2 values")):
