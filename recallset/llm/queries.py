@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, line_dedup, quality, secrets, shingle_join, token_files, toxicity, warc
+from . import bpe, decontaminate, fingerprint, line_dedup, phrases, quality, resample, secrets, shingle_join, token_files, toxicity, vector_tree, warc
 from .common import stored, table
 
 
@@ -58,7 +58,21 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.linked(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_fingerprint, op4_toxicity, op5_warc, op6_decontaminate, op7_line_dedup, op8_bpe, op9_token_files, op10_shingle_join)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(table(spark, sf_dir, "documents"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return vector_tree.neighbours(rows)
+
+
+_ALL = (op1_quality, op2_secrets, op3_fingerprint, op4_toxicity, op5_warc, op6_decontaminate, op7_line_dedup, op8_bpe, op9_token_files, op10_shingle_join)
+QUERIES = {f.__name__: f for f in (*_ALL, op11_phrases, op12_resample, op13_neighbours)}
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -111,4 +125,27 @@ links AS (
   WHERE 100 * shared >= 90 * (nx + ny - shared)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM t UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id FROM t""",
+    "op11_phrases": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("text")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+grams AS (
+  SELECT lang, k, list_aggregate(w[i : i + k - 1], 'string_agg', ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, c, list_aggregate(w[: c], 'string_agg', ' ') AS first_part, list_aggregate(w[c + 1 :], 'string_agg', ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)),
+scored AS (
+  SELECT u.lang, u.phrase, u.a, x.f AS l, y.f AS r, (1000000::HUGEINT * u.a * u.a) // (x.f::HUGEINT * y.f) AS score,
+    row_number() OVER (PARTITION BY u.lang, u.phrase ORDER BY (1000000::HUGEINT * u.a * u.a) // (x.f::HUGEINT * y.f), c) AS best
+  FROM cuts u JOIN f x ON x.lang = u.lang AND x.phrase = u.first_part JOIN f y ON y.lang = u.lang AND y.phrase = u.rest),
+longer AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidates WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, n, CAST(score AS BIGINT) AS score
+  FROM scored s JOIN n ON n.lang = s.lang LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase
+  WHERE best = 1 AND (g.a IS NULL OR 100 * g.a < 50 * s.a))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000""",
 }
