@@ -392,10 +392,14 @@ def _index(rows: DataFrame, space: Space, trunk: Tree, k: int, recall: float, se
 
 
 def search(index: TreeIndex, queries: DataFrame, k: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each usable query (id, vector) the `k` best vectors met, without the one of its own id."""
+    """(query_id, rank, vec_id, score): for each usable query (id, vector) the `k` best vectors met, without the one of its own id.
+
+    The first cell of each query is visited first. Its k-th score is the bound for all further cells: these pass on only what reaches
+    it, so that what is ranked in the end does not grow with the number of cells.
+    """
     space, spark = index.space, queries.sparkSession
     trunk = spark.sparkContext.broadcast(index.trunk)
-    cells, leaves = index.cells, index.leaves
+    cells = index.cells
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,32 +409,52 @@ def search(index: TreeIndex, queries: DataFrame, k: int = 20) -> DataFrame:
             order = list(trunk.value.visits(space.placed(values, query=True), cells))
             n = np.array([len(o) for o in order])
             own = np.repeat(np.arange(len(at)), n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(order), pa.int32()), batch.column(0).take(pa.array(at[own])), packed(values[own])], ["cell", "id", "vector"])
+            visit = np.concatenate([np.arange(len(o)) for o in order])
+            columns = [pa.array(np.concatenate(order), pa.int32()), pa.array(visit, pa.int32()), batch.column(0).take(pa.array(at[own])), packed(values[own])]
+            yield pa.RecordBatch.from_arrays(columns, ["cell", "visit", "id", "vector"])
+
+    asked = stored(in_python(single(queries), routed, "cell int, visit int, id long, vector binary"), "routed")
+    first = stored(best(measured(index, asked.filter("visit = 0").withColumn("bound", F.lit(float("-inf"))), k), k), "first-cell")
+    bounds = first.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
+    further = asked.filter("visit > 0").join(bounds, "id", "left").fillna(float("-inf"), ["bound"])
+    return best(first.drop("rank").unionByName(measured(index, further, k)), k)
+
+
+def best(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
-    asked = stored(in_python(single(queries), routed, "cell int, id long, vector binary"), "routed")
-    many = asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("parts"))
+
+def measured(index: TreeIndex, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of the at most `k` best vectors of each shard for rows (cell, id, vector, bound), if they reach the bound.
+
+    Queries of a cell are bundled, at most about QUERY_ROWS together, and each bundle meets each shard of the cell.
+    """
+    space, leaves = index.space, index.leaves
+    many = asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("parts"))  # a row for each cell
     asked = asked.join(F.broadcast(many), "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
 
     def bundled(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, values = table.column("id").to_numpy(), b"".join(table.column("vector").to_pylist())
-        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([ids.tobytes()]), pa.array([values])], ["cell", "query_ids", "queries"])
+        ids, bounds = (table.column(c).to_numpy().tobytes() for c in ("id", "bound"))
+        values = b"".join(table.column("vector").to_pylist())
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), *(pa.array([x], pa.binary()) for x in (ids, bounds, values))], ["cell", "query_ids", "bounds", "queries"])
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 shard = Shard(row, space)
-                ids = np.frombuffer(row["query_ids"], np.int64)
+                ids, bounds = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["bounds"], np.float64)
                 values = np.frombuffer(row["queries"], space.kind).reshape(-1, space.size)
                 visits = list(shard.tree.visits(space.placed(values, query=True), leaves))
                 wide = values.astype(np.float64)
                 q, found, score, _ = shard.nearest(ids, wide, shard.scores(wide, visits), k)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
+                keep = score >= bounds[q]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q[keep]]), pa.array(found[keep]), pa.array(score[keep])], ["query_id", "vec_id", "score"])
 
-    ship_package(spark)
-    bundles = asked.select("cell", "block", "id", "vector").groupBy("cell", "block").applyInArrow(bundled, "cell int, query_ids binary, queries binary")
-    found = in_python(index.shards.join(bundles, "cell"), measured, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    ship_package(asked.sparkSession)
+    bundles = asked.select("cell", "block", "id", "bound", "vector").groupBy("cell", "block")
+    bundles = bundles.applyInArrow(bundled, "cell int, query_ids binary, bounds binary, queries binary")
+    return in_python(index.shards.join(bundles, "cell"), run, "query_id long, vec_id long, score double")
 
 
 def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.95) -> DataFrame:
