@@ -23,6 +23,39 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours under the checkpoint folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Tables stored for the length of a `with` block. What is needed after it must be stored by itself before it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stored(self, rows: DataFrame, name: str, *partitions: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        rows.write.partitionBy(*partitions).parquet(path)
+        found = self.spark.read.schema(rows.schema).parquet(path)
+        self.paths[id(found)] = found, path
+        return found
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a table that nothing reads any more."""
+        if id(table) in self.paths:
+            removed(self.spark, self.paths.pop(id(table))[1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for _, path in self.paths.values():
+            removed(self.spark, path)
+        self.paths.clear()
+
+
 def in_python(rows: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow with this package importable on the executors."""
     ship_package(rows.sparkSession)

@@ -16,6 +16,7 @@ texts of those that are frequent enough are found in a last scan.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,29 +26,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import ConfigurationError
-from ..session import scratch_path
-from .common import in_python, stored
+from .cells import bitmap, cell_of, held
+from .common import Scratch, in_python, stored
 from .sets import mixed, text_parts
 from .words import Words, byte_kinds, words_of
 
 MOST_WORDS = 3
 CELL_BITS = 24
 NEVER = 255
-#: Reached cells come to the driver as bitmaps of 2 to this power bits, whole bytes.
-SLICE_BITS = 20
-#: Distinct phrases of a task that are kept in memory before they are sent on.
-HELD = 2_000_000
+#: Phrases of a task that are kept in memory before they are counted and sent on.
+HELD = 8_000_000
+#: Texts of phrases are first looked for in one of so many shares of the documents, then in twice as many, and so on.
+SHARES = 16
 TEXT_BYTES = 2 << 20
 NO_LANG = "und"
 KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 _TWO, _THREE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def word_keys(distinct: list[bytes], index: np.ndarray, langs: list[bytes], lang: np.ndarray) -> np.ndarray:
-    """The key of each word occurrence; the same word of another language has another."""
-    words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct), np.uint64, len(distinct))
-    salts = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) for w in langs), np.uint64, len(langs))
-    return mixed(words[index] + salts[lang])
+def hashes(values: list[bytes], seed: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(v, seed) for v in values), np.uint64, len(values))
+
+
+def word_keys(words: list[bytes], langs: list[bytes]) -> np.ndarray:
+    """[lang, word]: the key of each word in each language."""
+    return mixed(hashes(words, 0)[None, :] + lang_keys(langs)[:, None])
+
+
+def lang_keys(langs: list[bytes]) -> np.ndarray:
+    return hashes(langs, 1)
 
 
 def two(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -58,19 +65,12 @@ def three(first_two: np.ndarray, third: np.ndarray) -> np.ndarray:
     return mixed(first_two * _THREE + third)
 
 
-def cell(keys: np.ndarray, cells: int) -> np.ndarray:
-    """The upper bits of a key: its place among `cells`, a power of 2."""
-    return (keys >> np.uint64(65 - cells.bit_length())).astype(np.int64)
-
-
-def in_shards(docs: DataFrame, shards: int) -> DataFrame:
+def in_shards(docs: DataFrame, shards: int, scratch: Scratch) -> DataFrame:
     """`lang`, `text` and `shard`, written once so that a step reads its shard only."""
     if not 0 < shards < NEVER // MOST_WORDS:
         raise ConfigurationError(f"shards must be 1 to {NEVER // MOST_WORDS - 1}")
-    path = scratch_path(docs.sparkSession, "phrase-shards")
     shard = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
-    docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text", shard.alias("shard")).write.partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.schema("lang string, text string, shard int").parquet(path)
+    return scratch.stored(docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text", shard.alias("shard")), "phrase-shards", "shard")
 
 
 class Batch:
@@ -80,166 +80,175 @@ class Batch:
         coded = part.column(0).dictionary_encode()
         self.langs = [x.encode() for x in coded.dictionary.to_pylist()]
         self.words: Words = words_of(part.column(1), KINDS)
-        self.lang = coded.indices.to_numpy()[self.words.row]
-        self.keys = word_keys(self.words.distinct, self.words.index, self.langs, self.lang)
+        lang = coded.indices.to_numpy()[self.words.row].astype(np.int64)
+        self.lang = lang
+        self.number = lang * len(self.words.distinct) + self.words.index  # of the word in its language
+        self.distinct_keys = word_keys(self.words.distinct, self.langs).ravel()
+        self.keys = self.distinct_keys[self.number]
 
-    def phrases(self, length: int, start: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
-        """(number of words, position of the first, keys, step that the cells promise) of all phrases up to `length` words.
+    def phrases(self, start: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+        """(number of words, position of the first, keys, step that the cells promise) of all phrases of two words, and of three.
 
         With `start`, those of which a part lies in a cell that is not active are left out.
         """
-        at = np.arange(len(self.keys))
-        yield 1, at, self.keys, np.zeros(len(at), np.int64)
-        joined = self.words.joined[1:]
-        at = np.flatnonzero(joined)
-        first, second = self.keys[at], self.keys[at + 1]
+        at = np.flatnonzero(self.words.joined[1:])
         since = None
         if start is not None:
-            since = np.maximum(start[cell(first, len(start))], start[cell(second, len(start))])
+            active = start[cell_of(self.distinct_keys, len(start))][self.number]
+            since = np.maximum(active[at], active[at + 1])
             keep = since < NEVER
-            at, first, second, since = at[keep], first[keep], second[keep], since[keep]
-        pairs = two(first, second)
+            at, since = at[keep], since[keep]
+        pairs = two(self.keys[at], self.keys[at + 1])
         yield 2, at, pairs, since
-        if length < 3 or not len(at):
+        if not len(at):
             return
         next_one = np.flatnonzero(at[1:] == at[:-1] + 1)  # a phrase of three is one of two, followed by one of two
         if start is not None:
-            since = np.maximum(start[cell(pairs[next_one], len(start))], start[cell(pairs[next_one + 1], len(start))])
+            active = start[cell_of(pairs, len(start))]
+            since = np.maximum(active[next_one], active[next_one + 1])
             keep = since < NEVER
             next_one, since = next_one[keep], since[keep]
         yield 3, at[next_one], three(pairs[next_one], self.keys[at[next_one] + 2]), since
 
 
 def counted(shard: DataFrame, known: Broadcast[np.ndarray], step: int, shards: int) -> DataFrame:
-    """(key, words, start, n) of the phrases of a shard that are in their cycle at `step`, summed for each task's texts."""
+    """(key, words, start, n) of the phrases of a shard that are in their cycle at `step`, summed for each task's texts.
+
+    `words` is 0 for the number of words in a language, under the language's key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = known.value
-        held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        keys_of: dict[tuple[int, int], list[np.ndarray]] = {}
+        languages: dict[int, int] = {}
+        waiting = 0
 
-        def folded() -> None:
-            for name, parts in held.items():
-                if len(parts) > 1:
-                    keys = np.concatenate([p[0] for p in parts])
-                    keys, place = np.unique(keys, return_inverse=True)
-                    n = np.bincount(place, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-                    held[name] = [(keys, n)]
+        def batch_of(words: int, since: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), words, np.int8)), pa.array(np.full(len(keys), since, np.int16)), pa.array(n.astype(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, ["key", "words", "start", "n"])
 
         def sent() -> Iterator[pa.RecordBatch]:
-            for (words, since), parts in held.items():
-                for keys, n in parts:
-                    columns = [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), words, np.int8)), pa.array(np.full(len(keys), since, np.int16)), pa.array(n.astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "words", "start", "n"])
-            held.clear()
+            for (words, since), parts in keys_of.items():
+                yield batch_of(words, since, *np.unique(np.concatenate(parts), return_counts=True))
+            keys_of.clear()
 
-        fresh = 0
         for part in text_parts(batches, 1, TEXT_BYTES):
-            for words, _, keys, since in Batch(part).phrases(MOST_WORDS, start):
+            batch = Batch(part)
+            if step < shards:
+                keys_of.setdefault((1, 0), []).append(batch.keys)
+                waiting += len(batch.keys)
+                for key, n in zip(lang_keys(batch.langs).tolist(), np.bincount(batch.lang, minlength=len(batch.langs)).tolist(), strict=True):
+                    languages[key] = languages.get(key, 0) + n
+            for words, _, keys, since in batch.phrases(start):
                 for value in np.unique(since).tolist():
                     if value <= step < value + shards:
-                        own, n = np.unique(keys[since == value], return_counts=True)
-                        held.setdefault((words, value), []).append((own, n))
-                        fresh += len(own)
-            if fresh > HELD:
-                folded()
-                fresh = 0
-                if sum(len(p[0]) for parts in held.values() for p in parts) > HELD:
-                    yield from sent()
-        folded()
+                        own = keys[since == value]
+                        keys_of.setdefault((words, value), []).append(own)
+                        waiting += len(own)
+            if waiting > HELD:
+                yield from sent()
+                waiting = 0
         yield from sent()
+        if languages:
+            yield batch_of(0, 0, np.array(list(languages), np.uint64), np.array(list(languages.values()), np.int64))
 
     return in_python(shard, run, "key long, words tinyint, start smallint, n long")
 
 
 def reached_cells(rows: DataFrame) -> np.ndarray:
-    """Numbers of the cells of the keys, by bitmaps of 2 ** CELL_BITS bits in all."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                maps.setdefault(part, np.zeros(1 << SLICE_BITS, bool))[found] = True
-        if maps:
-            yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int32()), pa.array([np.packbits(m).tobytes() for m in maps.values()], pa.binary())], ["part", "bits"])
+    """Numbers of the cells of the keys."""
+    return np.flatnonzero(np.unpackbits(bitmap(rows, CELL_BITS)))
 
-    at = F.shiftrightunsigned("key", 64 - CELL_BITS).cast("int")
-    cells = rows.select(at.alias("at")).distinct().select(F.shiftright("at", SLICE_BITS).alias("part"), F.col("at").bitwiseAND(F.lit((1 << SLICE_BITS) - 1)).alias("found"))
-    found = in_python(cells.repartition(1 << (CELL_BITS - SLICE_BITS), "part"), run, "part int, bits binary").collect()
-    return np.concatenate([np.zeros(0, np.int64), *((r.part << SLICE_BITS) + np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8))) for r in found)])
 
+def frequent(docs: DataFrame, shards: int, least: int, scratch: Scratch) -> DataFrame:
+    """(key, words, n) of the words and phrases with at least `least` occurrences, by cyclic scans of the shards of `docs`.
 
-def frequent(docs: DataFrame, shards: int, least: int) -> DataFrame:
-    """(key, words, n) of the words and phrases with at least `least` occurrences, by cyclic scans of the shards of `docs`."""
+    Languages with that many words are there too, with `words` 0.
+    """
     start = np.full(1 << CELL_BITS, NEVER, np.uint8)
     running, ended, step, last = None, [], 0, 0
     while step < max(shards, last + shards):
         known = docs.sparkSession.sparkContext.broadcast(start)
         now = counted(docs.filter(F.col("shard") == step % shards).select("lang", "text"), known, step, shards)
-        both = now if running is None else now.unionByName(running)
-        total = stored(both.groupBy("key", "words", "start").agg(F.sum("n").alias("n")), f"phrase-counts-{step}")
+        both = now if running is None else now.unionByName(running.filter(F.col("start") + shards > step))
+        total = scratch.stored(both.groupBy("key", "words", "start").agg(F.sum("n").alias("n")), f"phrase-counts-{step}")
         known.unpersist()
-        over = F.col("start") + shards - 1 <= step
-        ended.append(total.filter(over & (F.col("n") >= least)).select("key", "words", "n"))
-        running = total.filter(~over)
-        reached = reached_cells(total.filter((F.col("n") >= least) & (F.col("words") < MOST_WORDS)))
+        if running is not None:
+            scratch.drop(running)
+        running = total
+        enough = total.filter(F.col("n") >= least)
+        if step >= shards - 1:
+            ended.append(scratch.stored(enough.filter(F.col("start") + shards - 1 <= step).select("key", "words", "n"), f"phrases-{step}"))
+        reached = reached_cells(enough.filter(F.col("words").between(1, MOST_WORDS - 1)))
         reached = reached[start[reached] == NEVER]
         step += 1
         if len(reached):
             start[reached] = last = step
-    whole = ended[0]
-    for rows in ended[1:]:
-        whole = whole.unionByName(rows)
-    return stored(whole, "frequent-phrases")
+    return reduce(DataFrame.unionByName, ended)
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, lang, phrase, l1, r1, l2, r2) for the phrases `wanted` by key, and (lang, n_words).
+def named(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, lang, phrase) for the phrases `wanted` by key.
 
-    l and r are keys of what stands before and after a cut, after the first word and, with three words, after the second.
+    Growing shares of the documents are scanned for the phrases that have no text yet. Frequent phrases are found in the
+    first, small ones, so that few tasks send the same phrase.
     """
-    there = np.zeros(1 << CELL_BITS, bool)
-    there[reached_cells(wanted)] = True
-    known = docs.sparkSession.sparkContext.broadcast(np.packbits(there))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.unpackbits(known.value).view(bool)
-        seen = np.zeros(0, np.uint64)
-        total: dict[bytes, int] = {}
-        for part in text_parts(batches, 1, TEXT_BYTES):
-            batch = Batch(part)
-            for name, n in zip(batch.langs, np.bincount(batch.lang, minlength=len(batch.langs)).tolist(), strict=True):
-                total[name] = total.get(name, 0) + n
-            for words, at, keys, _ in batch.phrases(MOST_WORDS):
-                if words == 1:
-                    continue
-                own = np.flatnonzero(there[cell(keys, len(there))])
-                found, first = np.unique(keys[own], return_index=True)
-                first = first[~np.isin(found, seen, assume_unique=True)]
-                own = own[first]
-                if not len(own):
-                    continue
-                begin = at[own]
+    def run(known: Broadcast[np.ndarray]):
+        def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = np.zeros(0, np.uint64)
+            for part in text_parts(batches, 1, TEXT_BYTES):
+                batch = Batch(part)
                 index, distinct = batch.words.index, batch.words.distinct
-                text = [b" ".join([distinct[i] for i in index[b : b + words].tolist()]).decode() for b in begin.tolist()]
-                k1, k2 = batch.keys[begin], batch.keys[begin + 1]
-                if words == 2:
-                    cuts = [k1, k2, None, None]
-                else:
-                    k3 = batch.keys[begin + 2]
-                    cuts = [k1, two(k2, k3), two(k1, k2), k3]
-                none = pa.nulls(len(own), pa.int64())
-                columns = [pa.array(keys[own].view(np.int64)), pa.array([batch.langs[i].decode() for i in batch.lang[begin].tolist()]), pa.array(text)]
-                columns += [none if c is None else pa.array(c.view(np.int64)) for c in cuts]
-                yield pa.RecordBatch.from_arrays([*columns, none], ["key", "lang", "phrase", "l1", "r1", "l2", "r2", "n_words"])
-                seen = np.concatenate([seen, keys[own]]) if len(seen) < HELD else keys[own]
-        none = pa.nulls(len(total), pa.int64())
-        columns = [none, pa.array([x.decode() for x in total], pa.string()), pa.nulls(len(total), pa.string()), *[none] * 4, pa.array(list(total.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "lang", "phrase", "l1", "r1", "l2", "r2", "n_words"])
-
-    found = stored(in_python(docs.select("lang", "text"), run, "key long, lang string, phrase string, l1 long, r1 long, l2 long, r2 long, n_words long"), "phrase-texts")
-    named = found.filter("key IS NOT NULL").join(wanted.select("key"), "key", "left_semi")
-    named = named.groupBy("key").agg(F.min(F.struct("lang", "phrase", "l1", "r1", "l2", "r2")).alias("one")).select("key", "one.*")
-    return named, found.filter("n_words IS NOT NULL").groupBy("lang").agg(F.sum("n_words").alias("n"))
+                for words, at, keys, _ in batch.phrases():
+                    own = np.flatnonzero(held(known.value, keys))
+                    found, first = np.unique(keys[own], return_index=True)
+                    own = own[first[~np.isin(found, seen, assume_unique=True)]]
+                    if not len(own):
+                        continue
+                    begin = at[own]
+                    text = [b" ".join([distinct[i] for i in index[b : b + words].tolist()]).decode() for b in begin.tolist()]
+                    lang = [batch.langs[i].decode() for i in batch.lang[begin].tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(lang), pa.array(text)], ["key", "lang", "phrase"])
+                    seen = np.concatenate([seen, keys[own]]) if len(seen) < HELD else keys[own]
+
+        return texts
+
+    share = F.pmod(F.xxhash64("text"), F.lit(SHARES))
+    out, low, high = None, 0, 1
+    while True:
+        known = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, CELL_BITS))
+        part = in_python(docs.filter(F.coalesce(share, F.lit(0)).between(low, high - 1)).select("lang", "text"), run(known), "key long, lang string, phrase string")
+        part = part.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.min(F.struct("lang", "phrase")).alias("one")).select("key", "one.*")
+        part = scratch.stored(part, "phrase-texts")
+        known.unpersist()
+        out = part if out is None else out.unionByName(part)
+        wanted = wanted.join(part, "key", "left_anti")
+        low, high = high, min(2 * high, SHARES)
+        if low == SHARES:
+            return out
+        wanted = scratch.stored(wanted, "phrases-without-text")
+        if wanted.isEmpty():
+            return out
+
+
+def with_parts(phrases: DataFrame) -> DataFrame:
+    """Rows (key, lang, phrase, a) with keys of what stands before and after each cut (l1, r1, l2, r2; the last two of three words only) and of the language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, texts = ([x.encode() for x in batch.column(c).to_pylist()] for c in (1, 2))
+            tokens = [t.split(b" ") for t in texts]
+            salts = lang_keys(langs)
+            k1, k2, k3 = (mixed(hashes([t[i] if i < len(t) else b"" for t in tokens], 0) + salts) for i in range(3))
+            long = np.array([len(t) > 2 for t in tokens], bool)
+            right = np.where(long, two(k2, k3), k2)
+            optional = lambda keys: pa.array(keys.view(np.int64), mask=~long)
+            columns = [pa.array(k1.view(np.int64)), pa.array(right.view(np.int64)), optional(two(k1, k2)), optional(k3), pa.array(salts.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["key", "lang", "phrase", "a", "l1", "r1", "l2", "r2", "lang_key"])
+
+    schema = "key long, lang string, phrase string, a long, l1 long, r1 long, l2 long, r2 long, lang_key long"
+    return in_python(phrases.select("key", "lang", "phrase", "a"), run, schema)
 
 
 def collocations(docs: DataFrame, shards: int = 3, least: int = 10, inside_percent: int = 50) -> DataFrame:
@@ -250,21 +259,23 @@ def collocations(docs: DataFrame, shards: int = 3, least: int = 10, inside_perce
     it and occurs `inside_percent` per cent as often or more. NULL and empty texts have no words; repeated rows
     count as often as they are there; columns other than `lang` and `text` are ignored; without documents there are no rows.
     """
-    docs = in_shards(docs, shards)
-    counts = frequent(docs, shards, least)
-    phrases = counts.filter("words > 1")
-    named, languages = texts_of(docs, phrases)
-    named = stored(phrases.withColumnRenamed("n", "a").join(named, "key"), "named-phrases")
-    longer = named.filter("words = 3")
-    longer = longer.select(F.explode(F.array("l2", "r1")).alias("key"), F.col("a").alias("longer")).groupBy("key").agg(F.max("longer").alias("longer"))
-    kept = named.join(longer, "key", "left").filter(F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a")))
-    cuts = F.filter(F.array(F.struct(F.lit(1).alias("k"), F.col("l1").alias("left"), F.col("r1").alias("right")), F.struct(F.lit(2).alias("k"), F.col("l2").alias("left"), F.col("r2").alias("right"))), lambda c: c.left.isNotNull())
-    cut = kept.select("key", "lang", "phrase", "a", F.explode(cuts).alias("cut")).select("key", "lang", "phrase", "a", "cut.*")
-    cut = cut.join(counts.select(F.col("key").alias("left"), F.col("n").alias("l")), "left").join(counts.select(F.col("key").alias("right"), F.col("n").alias("r")), "right")
-    wide = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "l", "r")}
-    cut = cut.withColumns({f"wide_{c}": w for c, w in wide.items()}).withColumn("score", F.expr("(wide_a * wide_a * 1000000BD) div (wide_l * wide_r)"))
-    best = cut.groupBy("key", "lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("low"))
-    return best.join(languages, "lang").select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score")
+    with Scratch(docs.sparkSession) as scratch:
+        docs = in_shards(docs, shards, scratch)
+        counts = scratch.stored(frequent(docs, shards, least, scratch), "frequent-phrases")
+        phrases = counts.filter("words > 1").select("key", F.col("n").alias("a"))
+        found = scratch.stored(with_parts(phrases.join(named(docs, phrases.select("key"), scratch), "key")), "named-phrases")
+        longer = found.filter("l2 IS NOT NULL")
+        longer = longer.select(F.explode(F.array("l2", "r1")).alias("key"), F.col("a").alias("longer")).groupBy("key").agg(F.max("longer").alias("longer"))
+        kept = found.join(longer, "key", "left").filter(F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a")))
+        cuts = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"l{k}").alias("left"), F.col(f"r{k}").alias("right")) for k in (1, 2))), lambda c: c.left.isNotNull())
+        cut = kept.select("key", "lang", "lang_key", "phrase", "a", F.explode(cuts).alias("cut")).select("key", "lang", "lang_key", "phrase", "a", "cut.*")
+        parts = counts.filter("words > 0")
+        cut = cut.join(parts.select(F.col("key").alias("left"), F.col("n").alias("l")), "left").join(parts.select(F.col("key").alias("right"), F.col("n").alias("r")), "right")
+        cut = cut.withColumns({f"wide_{c}": F.col(c).cast("decimal(38,0)") for c in ("a", "l", "r")})
+        cut = cut.withColumn("score", F.expr("(wide_a * wide_a * 1000000BD) div (wide_l * wide_r)"))
+        best = cut.groupBy("key", "lang", "lang_key", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("low"))
+        languages = counts.filter("words = 0").select(F.col("key").alias("lang_key"), "n")
+        return stored(best.join(languages, "lang_key").select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score"), "collocations")
 
 
 def report(docs: DataFrame, most: int = 2000, shards: int = 3, least: int = 10) -> DataFrame:

@@ -24,11 +24,13 @@ def byte_kinds(ends_word: bytes, ends_piece: bytes = b"") -> np.ndarray:
 
 @dataclass
 class Words:
-    """The words of a batch of texts, in order: `index` into `distinct`, `row` of the text, `joined` with the word before (same piece)."""
+    """The words of a batch of texts, in order: `index` into `distinct`, `row` of the text, number of the `piece` in it, and whether
+    a word is `joined` with the one before (same piece)."""
 
     distinct: list[bytes]
     index: np.ndarray
     row: np.ndarray
+    piece: np.ndarray
     joined: np.ndarray
 
 
@@ -40,7 +42,7 @@ def words_of(texts: pa.Array, kinds: np.ndarray) -> Words:
     offsets = offsets - offsets[0]
     none = np.zeros(0, np.int64)
     if not len(data):
-        return Words([], none, none, none.astype(bool))
+        return Words([], none, none, none, none.astype(bool))
     kind = kinds[data]
     word = kind == IN_WORD
     starts, ends = word.copy(), word.copy()
@@ -51,12 +53,13 @@ def words_of(texts: pa.Array, kinds: np.ndarray) -> Words:
     starts[first], ends[last] = word[first], word[last]
     at, to = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     if not len(at):
-        return Words([], none, none, none.astype(bool))
+        return Words([], none, none, none, none.astype(bool))
     ends_at = np.concatenate([[0], np.cumsum(to - at)]).astype(np.int32)
     flat = LOWER[data[word]]
     coded = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends_at), pa.py_buffer(flat)]).dictionary_encode()
     row = np.searchsorted(offsets, at, side="right") - 1
-    piece = np.searchsorted(np.flatnonzero(kind == ENDS_PIECE), at)
+    breaks = np.flatnonzero(kind == ENDS_PIECE)
+    piece = np.searchsorted(breaks, at) - np.searchsorted(breaks, offsets[row])
     joined = np.zeros(len(at), bool)
     joined[1:] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
-    return Words(coded.dictionary.to_pylist(), coded.indices.to_numpy(), row, joined)
+    return Words(coded.dictionary.to_pylist(), coded.indices.to_numpy(), row, piece, joined)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from small import docs, texts  # noqa: F401
 
 from recallset.errors import ConfigurationError
-from recallset.llm import phrases, resample, vector_tree, words
+from recallset.llm import cells, phrases, resample, vector_tree, words
 
 
 def lower(text):
@@ -62,7 +62,7 @@ def test_phrases(spark, shards, least):
 
 def test_phrases_in_cells_that_collide(spark, monkeypatch):
     monkeypatch.setattr(phrases, "CELL_BITS", 5)
-    monkeypatch.setattr(phrases, "SLICE_BITS", 3)
+    monkeypatch.setattr(cells, "SLICE_BITS", 3)
     monkeypatch.setattr(phrases, "HELD", 3)
     monkeypatch.setattr(phrases, "TEXT_BYTES", 8)
     rows = spark.createDataFrame(PHRASES, "text string, lang string")
@@ -80,17 +80,17 @@ def test_phrase_limit_ties_and_empty(spark):
 
 def test_a_step_counts_what_is_active(spark):
     """Words in the first cycle; pairs only from the step after both words reached the threshold."""
-    cells = np.full(1 << phrases.CELL_BITS, phrases.NEVER, np.uint8)
+    start = np.full(1 << phrases.CELL_BITS, phrases.NEVER, np.uint8)
     table = spark.createDataFrame([("a b c a b", "en")], "text string, lang string").select("lang", "text")
 
     def kinds(step):
-        rows = phrases.counted(table, spark.sparkContext.broadcast(cells), step, 2).collect()
+        rows = phrases.counted(table, spark.sparkContext.broadcast(start), step, 2).collect()
         return sorted((r.words, r.start, r.n) for r in rows)
 
-    assert kinds(0) == [(1, 0, 1), (1, 0, 2), (1, 0, 2)]
-    keys = phrases.word_keys([b"a", b"b"], np.array([0, 1]), [b"en"], np.array([0, 0]))
-    cells[phrases.cell(keys, len(cells))] = 1
-    assert kinds(1) == [(1, 0, 1), (1, 0, 2), (1, 0, 2), (2, 1, 2)]
+    assert kinds(0) == [(0, 0, 5), (1, 0, 1), (1, 0, 2), (1, 0, 2)]
+    keys = phrases.word_keys([b"a", b"b"], [b"en"])[0]
+    start[cells.cell_of(keys, len(start))] = 1
+    assert kinds(1) == [(0, 0, 5), (1, 0, 1), (1, 0, 2), (1, 0, 2), (2, 1, 2)]
     assert kinds(2) == [(2, 1, 2)] and kinds(3) == []
 
 
@@ -255,3 +255,16 @@ def test_visits_go_best_bin_first():
     assert all(sorted(o) == list(range(tree.leaves)) for o in order)
     assert [o[0] for o in order] == tree.descend(points[:20]).tolist()
     assert [o[:3] for o in order] == list(tree.visits(points[:20], 3))
+
+
+def test_keys_in_cells_and_repeated_keys(spark):
+    draw = np.random.default_rng(6)
+    keys = draw.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    table = spark.createDataFrame([(int(k),) for k in keys.view(np.int64).tolist() + keys.view(np.int64).tolist()[:40] * 3], "key long").repartition(5)
+    bits = cells.bitmap(table, 21)
+    assert cells.held(bits, keys).all() and len(bits) == 1 << 18
+    other = draw.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    assert cells.held(bits, other).sum() < 100
+    assert sorted(r.key for r in cells.repeated(table).collect()) == sorted(set(keys.view(np.int64).tolist()[:40]))
+    none = table.filter("key IS NULL")
+    assert cells.repeated(none).count() == 0 and not cells.bitmap(none, 10).any()
