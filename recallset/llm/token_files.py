@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import boundaries, bucket_of, in_python, starts
+from .common import in_python, starts, stored
 from .sets import text_parts
 
 MAGIC = b"TIDS0001"
@@ -32,7 +33,7 @@ LOW = 1 << 31
 FILE_IDS, BLOCK_IDS, LANES, CHECKPOINT = 4 << 20, 1 << 18, 1024, 128
 BUCKET_ROWS = 4_000
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
-CACHE_PIECES = 200_000
+CACHE_PIECES = 400_000
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -162,34 +163,117 @@ def unpack(file: bytes) -> Iterator[tuple[list[tuple[int | None, int]], np.ndarr
         yield documents, ids
 
 
+def _kinds() -> np.ndarray:
+    """For each character that PLAIN has, whether it is white space, a letter, a number or another one."""
+    kind = {"L": LETTER, "N": NUMBER}
+    kinds = np.array([kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x250)], np.uint8)
+    kinds[[0x09, 0x0A, 0x0D, 0x20]] = SPACE
+    return kinds
+
+
+SPACE, LETTER, NUMBER, OTHER = range(4)
+KINDS = _kinds()
+
+
+def pieces_of(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the pieces begin into which the tokenizer cuts texts of PLAIN characters, given as UTF-8 one after the other.
+
+    A run of letters, of numbers or of other characters is a piece, with a blank before it. White space before a run is a piece
+    without its last character; that is the blank of the run, or else a piece too. After an apostrophe that is a piece by itself,
+    s, t, m, d, re, ve and ll are split off.
+    """
+    n = len(data)
+    code = data.astype(np.int32)
+    lead = np.flatnonzero(data >= 0xC0)
+    code[lead] = ((code[lead] & 0x1F) << 6) | (code[np.minimum(lead + 1, n - 1)] & 0x3F)
+    kind = KINDS[np.minimum(code, 0x24F)]
+    kind[lead + 1] = kind[lead]
+    text = np.zeros(n, bool)
+    text[begins] = True
+    change = text.copy()
+    change[1:] |= kind[1:] != kind[:-1]
+    runs = np.flatnonzero(change)
+    ends = np.append(runs[1:], n)
+    space = kind[runs] == SPACE
+    starts = np.zeros(n + 1, bool)
+    starts[runs[space]] = True
+    followed = space & (ends < n)
+    followed[followed] = ~text[ends[followed]]
+    starts[ends[followed] - 1] = True
+    solid = runs[~space]
+    blank = (solid > 0) & (data[np.maximum(solid - 1, 0)] == 0x20) & ~text[solid]
+    starts[solid[~blank]] = True
+    # an apostrophe that begins a piece and ends its run
+    quote = np.flatnonzero((data == 0x27) & starts[:n] & np.append(change[1:], True))
+    quote = quote[quote + 1 < n]
+    quote = quote[~text[quote + 1] & (kind[quote + 1] == LETTER)]
+    one, other = data[quote + 1], data[np.minimum(quote + 2, n - 1)]
+    two = np.isin(one.astype(np.int32) << 8 | other, [b[0] << 8 | b[1] for b in (b"re", b"ve", b"ll")]) & (quote + 2 < n)
+    two[two] = ~text[quote[two] + 2]
+    short = np.isin(one, list(b"stmd"))
+    quote, size = quote[short | two], np.where(short, 1, 2)[short | two]
+    starts[quote + 1] = False
+    starts[quote + 1 + size] = True  # a piece begins where this one ends
+    return np.flatnonzero(starts[:n])
+
+
 class ByteBpe:
-    """Ids of the byte-level tokenizer file by the library, which sees each distinct piece once while it stays in a cache."""
+    """Ids of the byte-level tokenizer file by the library, which sees each distinct piece once while it stays in a cache.
+
+    Pieces are cut for many texts at a time and given numbers; their ids are then gathered by number.
+    """
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cut = regex.compile(public_tokenizers.PATTERN)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.new: dict[bytes, np.ndarray] = {}
+        self.old: dict[bytes, np.ndarray] = {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Texts with special tokens, or characters on which tables may differ, go to the library whole."""
-        plain = [bool(PLAIN.fullmatch(t or "")) and not any(s in (t or "") for s in self.special) for t in texts]
-        cut = [self.cut.findall(t or "") if p else () for t, p in zip(texts, plain, strict=True)]
+        texts = [t or "" for t in texts]
+        plain = [bool(PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
+        found = iter(self._plain([t.encode() for t, p in zip(texts, plain, strict=True) if p]))
+        whole = iter(self.library.encode_batch([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        return [next(found) if p else np.array(next(whole).ids, np.uint32) for p in plain]
+
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        none = np.zeros(0, np.uint32)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        if not len(data):
+            return [none] * len(texts)
+        starts = pieces_of(data, begins[sizes > 0])
+        ends_at = np.append(starts, len(data)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends_at), pa.py_buffer(data)]).dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        index = coded.indices.to_numpy()
+        flat, n = np.concatenate(ids), np.array([len(i) for i in ids], np.int64)
+        first, own = np.cumsum(n) - n, n[index]
+        to = np.cumsum(own)
+        out = flat[np.repeat(first[index] - (to - own), own) + np.arange(to[-1])]
+        # a text's ids end with those of its last piece
+        pieces = np.searchsorted(starts, begins + sizes)
+        ends = np.concatenate([[0], to])[pieces]
+        return np.split(out, ends[:-1])
+
+    def _ids(self, pieces: list[bytes]) -> list[np.ndarray]:
         if len(self.new) > CACHE_PIECES:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        missing = list(set().union(*cut) - new.keys())
-        new.update({k: old[k] for k in missing if k in old})
-        missing = [k for k in missing if k not in new]
-        for k, e in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True):
-            new[k] = np.array(e.ids, np.uint32).tobytes()
-        whole = iter(self.library.encode_batch([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
-        return [np.frombuffer(b"".join([new[k] for k in c]), np.uint32) if p else np.array(next(whole).ids, np.uint32) for c, p in zip(cut, plain, strict=True)]
+        missing = []
+        for p in pieces:
+            if p not in new:
+                if p in old:
+                    new[p] = old[p]
+                else:
+                    missing.append(p)
+        for p, e in zip(missing, self.library.encode_batch([p.decode() for p in missing], add_special_tokens=False), strict=True):
+            new[p] = np.array(e.ids, np.uint32)
+        return [new[p] for p in pieces]
 
 
 @lru_cache(maxsize=2)
@@ -206,28 +290,31 @@ def byte_tokenizer(path: str) -> ByteBpe:
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bucket_rows: int = BUCKET_ROWS) -> None:
     """Encode each text, append `end_id`, and write files in ascending order of doc_id, NULL doc_ids last, ties by text.
 
-    Documents are shuffled once, by ranges of doc_id. NULL texts are empty. A task holds the ids of one file at a time.
+    Documents are shuffled once, by ranges of doc_id and of how the text begins, so that many rows of one doc_id are spread too. A task
+    turns a range into the files of a bucket and holds the ids of one file at a time. NULL texts are empty.
     """
-    cuts = boundaries(docs, "doc_id", max(1, docs.count() // bucket_rows))
-    rows = docs.select(bucket_of(F.col("doc_id"), cuts).cast("int").alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_last(), "text")
+    from pyspark import TaskContext
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    order = [F.col("doc_id").isNull(), F.col("doc_id")]
+    ranges = rows.repartitionByRange(max(1, docs.count() // bucket_rows), *order, F.substring("text", 1, 32))
+    rows = ranges.sortWithinPartitions(*order, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = byte_tokenizer(tokenizer)
         end = np.array([end_id], np.uint32)
-        bucket = part = total = 0
+        bucket, part, total = TaskContext.get().partitionId(), 0, 0
         held: list[tuple[int | None, np.ndarray]] = []
 
         def file() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([part], pa.int32()), pa.array([pack(held)], pa.binary())], ["bucket", "part", "file"])
 
-        for batch in text_parts(batches, 2):
-            ids = tok.encode(batch.column(2).to_pylist())
-            for own, doc, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ids, strict=True):
-                if held and (own != bucket or total >= FILE_IDS):
+        for batch in text_parts(batches, 1):
+            ids = tok.encode(batch.column(1).to_pylist())
+            for doc, found in zip(batch.column(0).to_pylist(), ids, strict=True):
+                if held and total >= FILE_IDS:
                     yield file()
-                    part, held, total = part + 1 if own == bucket else 0, [], 0
-                bucket = own
+                    part, held, total = part + 1, [], 0
                 held.append((doc, np.concatenate([found, end])))
                 total += len(found) + 1
         if held:
@@ -254,7 +341,7 @@ def read(spark, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["bucket", "part", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     files = spark.read.schema("bucket int, part int, file binary").parquet(path)
-    rows = in_python(files, run, "bucket int, part int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    rows = stored(in_python(files, run, "bucket int, part int, doc_id long, inside long, n_tokens long, ids_crc32 long"), "decoded")  # files are decoded once
     parts = rows.groupBy("bucket", "part").agg(F.sum("n_tokens").alias("n"))
     buckets = starts(parts.groupBy("bucket").agg(F.sum("n").alias("n")), "bucket", "n")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -161,3 +161,22 @@ def test_packages(spark):
         assert sorted((tuple(r) for r in warc.read(spark, path, through_spark).collect()), key=str) == sorted(want, key=str)
     assert warc.round_trip(frame.filter("page_id = 99")).count() == 0
     assert {r.record_type for r in warc.round_trip(frame, min_bytes=1000).collect()} == {"response"}
+
+
+def test_pieces_as_the_pattern_cuts_them():
+    import public_tokenizers
+    import regex
+
+    from recallset.llm import token_files
+
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    draw = np.random.default_rng(8)
+    letters = [*" \t\n\r'", "'s", "'re", "'ll", "'t", " ", "  ", *"stmdrevlabZ09!?-\"", "é", "ß", "²", "½", "×", "ª", "¡", "ɏ", "\xad"]
+    texts = ["".join(draw.choice(letters, int(draw.integers(0, 14)))) for _ in range(6000)]
+    texts += ["it's", "'s", "'sa'reb'", "a 's", " 's", "\n's", "''s", "!'s", "'l", "'", "x'", "'r\ne", "'ve's't", "  ", " a", "a ", "'S"]
+    for some in (texts[:50], texts):
+        data = [t.encode() for t in some]
+        sizes = np.array([len(d) for d in data])
+        begins = np.cumsum(sizes) - sizes
+        starts = token_files.pieces_of(np.frombuffer(b"".join(data), np.uint8), begins[sizes > 0])
+        assert starts.tolist() == [b + len(t[: m.start()].encode()) for t, b in zip(some, begins.tolist()) for m in pattern.finditer(t)]
