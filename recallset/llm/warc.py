@@ -237,7 +237,8 @@ def read(spark, path: str, through_spark: bool = False) -> DataFrame:
     hands each package's bytes to the same reader, and packages must then fit in memory.
     """
     files = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0)
-    files = files.select("path", "content" if through_spark else F.lit(None).cast("binary").alias("content")).repartition("path")
+    packages = files.select("path").count()
+    files = files.select("path", "content" if through_spark else F.lit(None).cast("binary").alias("content")).repartition(max(1, packages))  # a task for each package
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
