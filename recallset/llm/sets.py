@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_python, slices, stored
+from .common import Scratch, in_python, slices
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: More members than this are compared block against block, each pair of blocks in a group of its own.
@@ -96,13 +96,13 @@ def ids_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, 2) if len(column) else np.zeros((0, 2), ">u8")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for each node of undirected `edges` (a, b), root being the least node reachable.
 
     Large-star and small-star steps in turn, each one aggregation and one join, written to the shared folder, until
-    only stars are left. All state is in tables.
+    only stars are left. All state is in tables of `scratch`, of which the last one stays.
     """
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    edges = scratch.stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     while True:
         ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         if ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).filter("up > 1 OR up > 0 AND down > 0").isEmpty():
@@ -112,7 +112,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
+        before, edges = edges, scratch.stored(small.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
+        scratch.drop(before)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 

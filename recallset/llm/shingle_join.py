@@ -7,16 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_python, stored
+from .cells import bitmap, held, repeated
+from .common import Scratch, in_python, stored
 from .sets import components, groups_of, ids_matrix, mixed, runs, set_id, shared_tokens, shingle_sets, sketches, spread, text_parts
 
 #: Documents of a cluster are sent to the scan of texts by broadcast up to so many rows of 40 bytes, else by a shuffled join.
 BROADCAST_ROWS = 500_000
 #: Sets already seen by a Python worker's task: their copies need no buckets again.
 SEEN_SETS = 200_000
+#: Keys that several sets have are marked in a bitmap of 2 to this power bits, 16 MB, before ids are sent under them.
+KEY_BITS = 27
 
 
 class Threshold:
@@ -122,13 +126,38 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     `docs` are ignored.
     """
     rule = Threshold(percent)
+    spark = docs.sparkSession
     rows = stored(shingled(docs, width), "shingled")
+    with Scratch(spark) as scratch:
+        shared = spark.sparkContext.broadcast(bitmap(repeated(in_python(docs.select("text"), bucketed(rule, width, None), "key long, set_id binary")), KEY_BITS))
+        keys = in_python(docs.select("text"), bucketed(rule, width, shared), "key long, set_id binary")
+        keys = keys.repartition("key").sortWithinPartitions("key", "set_id")
+        clusters = components(in_python(keys, stars, "a binary, b binary"), scratch)
+        first = rows.filter("set_id IS NOT NULL").select(F.col("set_id").alias("node"), "doc_id", "text_hash").join(clusters, "node")
+        first = scratch.stored(first.groupBy("node", "root").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("root", F.col("node").alias("id"), "at.*"), "cluster-members")
+        members = texts_of(docs, first).select("root", "id", "text").transform(lambda d: _tokens(d, width))
+
+        def verified(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            yield from tree(group, rule)
+
+        links = groups_of(spread(members, first), ["root", "p", "q"], ["own", "id", "tokens"], verified, "a binary, b binary")
+        joined = components(links, scratch)
+        sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
+        sets = sets.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        whole = sets.groupBy("root").agg(F.min("least").alias("component_id"))
+        named = sets.join(whole, "root").select("set_id", "component_id", "root")
+        out = rows.join(named, "set_id", "left")
+        return stored(out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root"), "linked")
+
+
+def bucketed(rule: Threshold, width: int, shared: Broadcast[np.ndarray] | None):
+    """From texts rows (key, set_id), each set once while a task remembers it; only keys marked as `shared`, or without marks keys without ids."""
 
-    def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         edges = rule.edges(1 << 10)
         for part in text_parts(batches, 0):
-            keys, sets_, counts = [], [], []
+            keys, ids = [], []
             for tokens in shingle_sets(part.column(0), width):
                 if len(tokens) >= edges[-1]:
                     edges = rule.edges(len(tokens))
@@ -140,44 +169,38 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
                 seen.add(this)
                 own = buckets(tokens, rule, edges)
                 if own:
-                    keys += own
-                    sets_.append(this)
-                    counts.append(sum(map(len, own)))
-            if keys:
-                ids = np.repeat(np.frombuffer(b"".join(sets_), "V16"), counts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), _binary(ids)], ["key", "set_id"])
-
-    spread_keys = in_python(docs.select("text"), bucketed, "key long, set_id binary").repartition("key").sortWithinPartitions("key", "set_id")
-    candidates = in_python(spread_keys, stars, "a binary, b binary").distinct()
-    clusters = stored(components(candidates), "clusters")
-    first = rows.filter("set_id IS NOT NULL").select(F.col("set_id").alias("node"), "doc_id", "text_hash").join(clusters, "node")
-    first = stored(first.groupBy("node", "root").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("root", F.col("node").alias("id"), "at.*"), "cluster-members")
-    members = texts_of(docs, first).select("root", "id", "text").transform(lambda d: _tokens(d, width))
-
-    def verified(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield from tree(group, rule)
-
-    links = groups_of(spread(members, first), ["root", "p", "q"], ["own", "id", "tokens"], verified, "a binary, b binary")
-    joined = stored(components(links), "linked-sets")
-    sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    sets = sets.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    whole = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = sets.join(whole, "root").select("set_id", "component_id", "root")
-    out = rows.join(named, "set_id", "left")
-    return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
+                    keys.append(np.concatenate(own))
+                    ids.append(this)
+            if not keys:
+                continue
+            sizes, flat = [len(k) for k in keys], np.concatenate(keys)
+            if shared is None:
+                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.nulls(len(flat), pa.binary())], ["key", "set_id"])
+                continue
+            keep = held(shared.value, flat)
+            owners = np.repeat(np.frombuffer(b"".join(ids), "V16"), sizes)[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[keep].view(np.int64)), _binary(owners)], ["key", "set_id"])
+
+    return run
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (key, id) in order, an edge from each id of a key to the key's first id."""
-    for batch in runs(batches, 1):
+    """From rows (key, id) in order, an edge from each id of a key to the key's first id. Of a key that goes on in the next batch its first id is kept."""
+    last: tuple[int, np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
         key, ids = batch.column(0).to_numpy(), ids_matrix(batch.column(1))
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        head = np.repeat(start, np.diff(np.append(start, len(key))))
-        edge = np.flatnonzero((ids != ids[head]).any(1))
-        edge = edge[np.append(True, (ids[edge][1:] != ids[edge][:-1]).any(1) | (ids[head[edge]][1:] != ids[head[edge]][:-1]).any(1))] if len(edge) else edge
+        heads = ids[start]
+        if last is not None and last[0] == key[0]:
+            heads[0] = last[1]
+        last = int(key[-1]), heads[-1]
+        head = np.repeat(heads, np.diff(np.append(start, len(key))), axis=0)
+        edge = np.flatnonzero((ids != head).any(1))
+        edge = edge[np.append(True, (ids[edge][1:] != ids[edge][:-1]).any(1) | (head[edge][1:] != head[edge][:-1]).any(1))] if len(edge) else edge
         if len(edge):
-            column = batch.column(1)
-            yield pa.RecordBatch.from_arrays([column.take(pa.array(edge)), column.take(pa.array(head[edge]))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(edge)), _binary(np.ascontiguousarray(head[edge]).view("V16").ravel())], ["a", "b"])
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from small import docs, texts  # noqa: F401
 
 from recallset.llm import line_dedup, sets, shingle_join
+from recallset.llm.common import Scratch
 
 
 def words(text):
@@ -138,4 +139,4 @@ def test_empty_tables(docs):
 
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(7, 7), (3, 1)], "a long, b long")
-    assert {r.node: r.root for r in sets.components(edges).collect()} == {i: 0 if i <= 20 else 21 for i in range(41)}
+    assert {r.node: r.root for r in sets.components(edges, Scratch(spark)).collect()} == {i: 0 if i <= 20 else 21 for i in range(41)}
