@@ -117,11 +117,45 @@ class VectorStore:
     def retrieve(self, inputs: DataFrame, embed: Any, **options: Any) -> Retrieved:
         return retrieve(self.rows(), inputs, embed, self.spec, **options)
 
-    def build_index(self, path: str, **options: Any) -> ivf.Index:
-        return ivf.build_index(self.rows(), IndexSpec(self.spec, **options), path)
+    def _read_to(self) -> tuple[str, int | None]:
+        """The change log, and the number of its last batch (-1 without one): what was written up to now."""
+        known = src.batches(self.spark, self._log, self.spec)
+        last = None if known is None else known.agg(F.max("seq")).first()[0]
+        return self._log, -1 if last is None else last
+
+    def index_path(self, name: str | None = None) -> str:
+        """Where an index of this store lies unless another path is given."""
+        return f"{self.path}/indexes/{name or self.spec.index_name}"
+
+    def build_index(self, path: str | None = None, **options: Any) -> ivf.Index:
+        spec = IndexSpec(self.spec, **options)
+        read_to = self._read_to()
+        return ivf.build_index(self.rows(), spec, path or self.index_path(spec.index_name), log=read_to)
+
+    def index_status(self, path: str | None = None, compare: bool = False) -> dict[str, Any] | None:
+        """Name and state of an index; with ``compare`` also how many rows it has missed."""
+        return ivf.index_status(self.spark, path or self.index_path(), self.spec, self.rows() if compare else None)
+
+    def changes_since(self, index: ivf.Index) -> ivf.Changes | None:
+        """What was written after an index, by the log if that is the one it was built from; None if nothing was."""
+        log_path, seq = self._read_to()
+        known = index.manifest
+        if known is None or known.log_path != log_path or known.log_seq is None:
+            return ivf.changes(index, self.rows())
+        if seq <= known.log_seq:
+            return None
+        keys = self.log().filter(F.col("seq") > known.log_seq).select("doc_key").distinct()
+        return ivf.changed(self.rows(), keys, self.spec)
+
+    def refresh_index(self, index: ivf.Index) -> ivf.Index:
+        """Take what was written since into the index, as a segment beside its lists."""
+        read_to = self._read_to()
+        since = self.changes_since(index)
+        return index if since is None else ivf.refresh_index(index, since, read_to)
 
-    def index_status(self, path: str) -> dict[str, Any] | None:
-        return ivf.index_status(self.spark, path, self.spec)
+    def compact_index(self, index: ivf.Index) -> ivf.Index:
+        return ivf.compact_index(index)
 
     def search_index(self, index: ivf.Index, queries: DataFrame, **options: Any) -> DataFrame:
-        return ivf.search_index(index, self.rows(), queries, **options)
+        """Indexed search that sees all writes: rows written since the index are searched exactly beside it."""
+        return ivf.search_index(index, self.rows(), queries, since=self.changes_since(index), **options)

@@ -178,6 +178,28 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, id)
 SELECT q_id, rank, id, round(distance, 6) AS distance FROM ranked WHERE rank <= 5"""
 
 
+AFTER_WRITES = f"""
+WITH {SHARED}, {ITEMS}, {LATEST},
+written AS (
+  SELECT coalesce(l.id, s.id) AS id, CAST(CASE WHEN l.id IS NOT NULL THEN l.vector ELSE s.vector END AS DOUBLE[]) AS vector
+  FROM shared s FULL OUTER JOIN latest l ON s.doc_key = l.doc_key
+  WHERE s.document_type IS NULL OR s.document_type = '{TYPE}'),
+now AS (SELECT * FROM written WHERE id NOT IN (SELECT CAST(vec_id AS VARCHAR) FROM embeddings WHERE label = 0)),
+pairs AS (
+  SELECT q.vec_id AS q_id, id, {DISTANCE.format(a="vector", b="CAST(q.embedding AS DOUBLE[])")} AS distance
+  FROM embeddings q CROSS JOIN now),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, id) AS rank FROM pairs)
+SELECT q_id, rank, id, round(distance, 6) AS distance FROM ranked WHERE rank <= 10"""
+
+FILTERED_FULL = f"""
+WITH {STORE}, {SCOPED},
+matching AS (
+  SELECT q_id, count(s.id) AS n FROM queries q LEFT JOIN store s
+    ON (q_user IS NULL OR q_user = s.user_id) AND (q_conversation IS NULL OR q_conversation = s.conversation_id)
+  GROUP BY q_id)
+SELECT q_id, least(n, 5) AS n_hits, least(n, 5) AS last_rank FROM matching"""
+
+
 def _counts(column: str) -> str:
     groups = [
         " + ".join(f"CAST(contains(lower({column}), '{t}') AS DOUBLE)" for t in terms) for terms in fx.GROUPS
@@ -317,6 +339,10 @@ WITH {INDEXED} SELECT CAST(vec_id AS VARCHAR) AS id, i - 1 AS i, CAST(value AS B
     "ivf_rerank": _probed(3, 10, True, 30),
     "ivf_capped": _probed(2, 10, False, 7),
     "ivf_filtered": IVF_FILTERED,
+    "ivf_after_writes": AFTER_WRITES,
+    "ivf_written": _probed(3, 10, True, 30),
+    "ivf_refreshed": AFTER_WRITES,
+    "ivf_filtered_full": FILTERED_FULL,
     "index_stats": f"""
 SELECT '{fx.SPEC.index_name}' AS index_name, CAST(16 AS BIGINT) AS lists, count(*) AS indexed_rows,
   count(*) AS store_rows, CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS removed_rows,

@@ -16,7 +16,7 @@ from ..operators.search import bounds_error, search, search_corpus, search_hits,
 from ..operators.validate import check_items
 from ..plans import ivf, memory
 from ..plans import retrieve as rt
-from ..session import scratch_path
+from ..session import checkpointed, scratch_path
 from ..sources import store as src
 from ..spec import IndexSpec
 from ..streaming.ingest import ingest, log_batch
@@ -298,6 +298,52 @@ def ivf_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return _ranked(hits.rows)
 
 
+def _after_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """The store after upserts, and after the deletion of what carries label 0."""
+    rows = mutate.upsert(fx.shared_store(spark, sf), fx.items(spark, sf), SPEC, fx.WRITTEN).rows
+    ids = fx.table(spark, sf, "embeddings").filter("label = 0").select(F.col("vec_id").cast("string").alias("id"))
+    return checkpointed(mutate.delete(rows, ids, SPEC).rows)
+
+
+def ivf_after_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """An index of the store before the writes, searched together with what they changed."""
+    index = _label_index(spark, sf)
+    since = ivf.changes(index, _after_writes(spark, sf))
+    hits = ivf.search_index_hits(index, fx.vector_queries(spark, sf), limit=10, n_probes=10, rerank=True, since=since)
+    return _ranked(hits.rows)
+
+
+def _written_index(spark: SparkSession, sf: str) -> ivf.Index:
+    centroids = fx.label_means(spark, sf).select(F.col("label").alias("centroid_id"), F.col("mean").alias("centroid"))
+    return ivf.build_index(fx.shared_store(spark, sf), INDEX, scratch_path(spark, "index"), centroids=centroids)
+
+
+def ivf_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The search of ``ivf_rerank`` over an index that was written and loaded."""
+    hits = ivf.search_index_hits(
+        _written_index(spark, sf), fx.vector_queries(spark, sf), limit=10, n_probes=3, rerank=True, top_n_scan=30
+    )
+    return _ranked(hits.rows)
+
+
+def ivf_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """A written index that took the writes in as a segment, was compacted, and is searched by itself."""
+    index = _written_index(spark, sf)
+    index = ivf.compact_index(ivf.refresh_index(index, ivf.changes(index, _after_writes(spark, sf))))
+    return _ranked(ivf.search_index_hits(index, fx.vector_queries(spark, sf), limit=10, n_probes=10, rerank=True).rows)
+
+
+def ivf_filtered_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries with filters that go on to further lists until these hold enough matching rows: how many each finds."""
+    queries = fx.scoped_queries(spark, sf).drop("limit", "threshold")
+    index = _written_index(spark, sf)
+    hits = ivf.search_index_hits(index, queries, limit=5, n_probes=1, rerank=True, fill=True).rows
+    found = hits.groupBy("q_id").agg(F.count(F.lit(1)).alias("n_hits"), F.max("rank").cast("bigint").alias("last_rank"))
+    return queries.select("q_id").join(found, "q_id", "left").select(
+        "q_id", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("last_rank", F.lit(0)).alias("last_rank")
+    )
+
+
 def ivf_train(spark: SparkSession, sf: str) -> DataFrame:
     centroids = ivf.train_centroids(fx.store(spark, sf), IndexSpec(SPEC, description="IVF16,SQ8"))
     return centroids.select("centroid_id", F.size("centroid").alias("n_values"))
@@ -528,6 +574,10 @@ QUERIES: dict[str, Query] = {
         ivf_rerank,
         ivf_capped,
         ivf_filtered,
+        ivf_after_writes,
+        ivf_written,
+        ivf_refreshed,
+        ivf_filtered_full,
         ivf_train,
         ivf_recall,
         index_stats,

@@ -107,7 +107,7 @@ def test_refused_options(spark, world, sf_dir):
     codes_only = ivf.Index(
         IndexSpec(SPEC, persist_full_vector=False), index.centroids, index.low, index.high, index.entries
     )
-    with pytest.raises(ConfigurationError, match="must remain enabled"):
+    with pytest.raises(ConfigurationError, match="persist_full_vector=False"):
         ivf.search_index_hits(codes_only, queries, n_probes=1, rerank=True)
     with pytest.raises(ConfigurationError, match="train_list is"):
         ivf.train_centroids(store, IndexSpec(SPEC, train_list=1_000_000))
