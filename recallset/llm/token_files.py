@@ -33,7 +33,11 @@ LOW = 1 << 31
 FILE_IDS, BLOCK_IDS, LANES, CHECKPOINT = 4 << 20, 1 << 18, 1024, 128
 BUCKET_ROWS = 4_000
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
+#: New pieces that the library encodes together.
+LEARNED = 4_096
+#: Texts that are cut together.
+TEXT_BYTES = 4 << 20
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -228,8 +232,8 @@ class ByteBpe:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.new: dict[bytes, np.ndarray] = {}
-        self.old: dict[bytes, np.ndarray] = {}
+        self.new: dict[bytes, bytes] = {}  # plain strings cost the garbage collector nothing
+        self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Texts with special tokens, or characters on which tables may differ, go to the library whole."""
@@ -251,7 +255,7 @@ class ByteBpe:
         coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends_at), pa.py_buffer(data)]).dictionary_encode()
         ids = self._ids(coded.dictionary.to_pylist())
         index = coded.indices.to_numpy()
-        flat, n = np.concatenate(ids), np.array([len(i) for i in ids], np.int64)
+        flat, n = np.frombuffer(b"".join(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         first, own = np.cumsum(n) - n, n[index]
         to = np.cumsum(own)
         out = flat[np.repeat(first[index] - (to - own), own) + np.arange(to[-1])]
@@ -260,20 +264,33 @@ class ByteBpe:
         ends = np.concatenate([[0], to])[pieces]
         return np.split(out, ends[:-1])
 
-    def _ids(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as bytes."""
         if len(self.new) > CACHE_PIECES:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        missing = []
-        for p in pieces:
-            if p not in new:
-                if p in old:
-                    new[p] = old[p]
-                else:
-                    missing.append(p)
-        for p, e in zip(missing, self.library.encode_batch([p.decode() for p in missing], add_special_tokens=False), strict=True):
-            new[p] = np.array(e.ids, np.uint32)
-        return [new[p] for p in pieces]
+        found = list(map(new.get, pieces))
+        missing = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        if missing:
+            new |= {p: old[p] for p in missing if p in old}
+            self._learn([p for p in missing if p not in new])
+            found = list(map(new.__getitem__, pieces))
+        return found
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Pieces that are not white space are encoded as one text with line ends between them, which are pieces of their own."""
+        solid = [p for p in pieces if not p.isspace()]
+        for p, e in zip(blank := [p for p in pieces if p.isspace()], self.library.encode_batch([p.decode() for p in blank], add_special_tokens=False), strict=True):
+            self.new[p] = np.array(e.ids, np.uint32).tobytes()
+        for at in range(0, len(solid), LEARNED):
+            own = solid[at : at + LEARNED]
+            whole = self.library.encode(b"\n".join(own).decode(), add_special_tokens=False)
+            n = np.bincount(np.array(whole.word_ids, np.int64), minlength=2 * len(own) - 1)
+            if len(n) != 2 * len(own) - 1 or not n.all():
+                raise ValueError("the tokenizer cuts pieces again")
+            ends = 4 * np.cumsum(n)
+            ids = np.array(whole.ids, np.uint32).tobytes()
+            self.new.update(zip(own, (ids[a:b] for a, b in zip((ends - 4 * n)[::2].tolist(), ends[::2].tolist(), strict=True)), strict=True))
 
 
 @lru_cache(maxsize=2)
@@ -309,7 +326,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bucket_ro
         def file() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([part], pa.int32()), pa.array([pack(held)], pa.binary())], ["bucket", "part", "file"])
 
-        for batch in text_parts(batches, 1):
+        for batch in text_parts(batches, 1, TEXT_BYTES):
             ids = tok.encode(batch.column(1).to_pylist())
             for doc, found in zip(batch.column(0).to_pylist(), ids, strict=True):
                 if held and total >= FILE_IDS:
