@@ -100,7 +100,7 @@ WITH l AS (
 w AS (SELECT doc_id, no, line, regexp_extract_all({_LOWER.format("line")}, '[^\x20\x09-\x0D]+') AS w FROM l),
 t AS (
   SELECT doc_id, no, list_sort(list_distinct([list_aggregate(w[i : i + 4], 'string_agg', ' ') FOR i IN range(1, greatest(2, len(w) - 3))])) AS t
-  FROM w WHERE len(w) >= 3),
+  FROM w WHERE len(w) >= 1),
 sets AS (SELECT t, row_number() OVER (ORDER BY min(doc_id * 1000000 + no)) AS id, min(doc_id * 1000000 + no) AS first, len(t) AS n FROM t GROUP BY t),
 tokens AS (SELECT id, n, unnest(t) AS token FROM sets),
 near AS (

@@ -73,7 +73,7 @@ def brute_lines(texts):
     seen, out = [], {}
     for i, t in order:
         for no, line in enumerate(t.split("\n")):
-            if len(words(line)) < 3:
+            if not words(line):
                 continue
             own = shingles(line, 5)
             if any(100 * len(own & x) >= 80 * len(own | x) for x in seen):
