@@ -44,6 +44,8 @@ def cell_of(keys: np.ndarray, cells: int) -> np.ndarray:
 
 def held(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys lie in cells of the bitmap."""
+    if not len(keys):
+        return np.zeros(0, bool)
     cell = cell_of(keys, 8 * len(bits))
     return ((bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1).astype(bool)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,11 @@ class Scratch:
         if id(table) in self.paths:
             removed(self.spark, self.paths.pop(id(table))[1])
 
+    def free(self) -> None:
+        """Let Spark delete the shuffle files of finished steps: it does so when the driver's plans of them are collected as garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def __enter__(self) -> Scratch:
         return self
 

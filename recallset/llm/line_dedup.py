@@ -5,7 +5,7 @@ are left alone. Words are runs of characters other than ASCII white space, with
 of the text, line number), NULL doc_ids last. A line is removed if the Jaccard similarity of its tokens to those of an earlier
 line, itself removed or not, is at least the threshold.
 
-Lines are cut and hashed in Arrow batches, in three scans: for the rarity of tokens, for the sets and prefixes of lines, and for the whole sets
+Lines are cut and hashed in Arrow batches, in three scans of the texts: for the rarity of tokens, for the sets and prefixes of lines, and for the whole sets
 of lines that may have a partner. All joins are Spark's. Lines of equal token sets are one line from the start. Tokens are numbers
 whose upper 16 bits are the rank of their rarity, so that the ascending order of a line's tokens is the order by rarity. Lines are
 told apart by 128 bits of hash, tokens by 64.
@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from .cells import bitmap, held, repeated
 from .common import Scratch, in_python, stored
 from .sets import mixed, text_parts
-from .words import byte_kinds, words_of
+from .words import byte_kinds, hashed_words
 
 WIDTH = 5
 #: Token counts are kept in so many cells, each of the tokens with the same low bits; the rarity of a token is its cell's.
@@ -59,8 +58,8 @@ class Lines:
 
 def lines_of(texts: pa.Array, min_words: int) -> Lines:
     """The lines of at least `min_words` words, with a token for each shingle (repeats too), or one for all words of a shorter line."""
-    found = words_of(texts, KINDS)
-    word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in found.distinct), np.uint64, len(found.distinct))[found.index]
+    found = hashed_words(texts, KINDS)
+    word = found.keys
     begin = np.flatnonzero(~found.joined)
     words = np.diff(np.append(begin, len(word)))
     keep = words >= min_words
@@ -106,14 +105,19 @@ def by_rarity(lines: Lines, ranks: np.ndarray) -> Lines:
     """Each line's distinct tokens, rarest first: their cell's bits become its rank, as the upper bits."""
     tokens = (ranks[cells(lines.tokens)] << np.uint64(64 - CELL_BITS)) | (lines.tokens >> np.uint64(CELL_BITS))
     owner = lines.owner
-    tokens = tokens[np.lexsort((tokens, owner))]
+    bits = max(len(lines.size), 1).bit_length()
+    key = (owner.astype(np.uint64) << np.uint64(64 - bits)) | (tokens >> np.uint64(bits))
+    order = np.argsort(key)
+    if ((key[order][1:] == key[order][:-1]) & (tokens[order][1:] != tokens[order][:-1])).any():  # told apart by their last bits only
+        order = np.lexsort((tokens, owner))
+    tokens = tokens[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
     return Lines(lines.row, lines.number, np.bincount(owner[new], minlength=len(lines.size)), tokens[new])
 
 
 def names(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers that name each line's set of tokens."""
+    """Two numbers that name each line's tokens, whatever their order: their set, if each is there once."""
     if not len(lines.size):
         return lines.tokens, lines.tokens
     begin = np.cumsum(lines.size) - lines.size
@@ -125,37 +129,41 @@ def as_lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
 
 
 def prefixed(docs: DataFrame, known: Broadcast[np.ndarray], percent: int, min_words: int) -> DataFrame:
-    """(doc_id, text_hash, line, h, g, n, prefix) of each line; the prefix has the tokens of which similar lines share at least one."""
+    """(doc_id, text_hash, line, h, g, f, n, prefix) of each line: h and g name its set of tokens, f all its tokens with repeats. The prefix
+    has the tokens of which similar lines share at least one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_parts(batches, 2, TEXT_BYTES):
-            lines = by_rarity(lines_of(part.column(2), min_words), known.value)
+            lines = lines_of(part.column(2), min_words)
+            f, _ = names(lines)
+            lines = by_rarity(lines, known.value)
             h, g = names(lines)
             most = np.where(lines.size > 1, lines.size + (-lines.size * percent // 100) + 1, 0)  # n - ceil(n * percent / 100) + 1
             begin = np.cumsum(lines.size) - lines.size
             keep = np.arange(len(lines.tokens)) - np.repeat(begin, lines.size) < np.repeat(most, lines.size)
             rows = pa.array(lines.row)
-            columns = [part.column(0).take(rows), part.column(1).take(rows), pa.array(lines.number, pa.int32()), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(lines.size, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, as_lists(lines.tokens[keep], most)], ["doc_id", "text_hash", "line", *LINE, "n", "prefix"])
+            columns = [part.column(0).take(rows), part.column(1).take(rows), pa.array(lines.number, pa.int32()), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(f.view(np.int64)), pa.array(lines.size, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, as_lists(lines.tokens[keep], most)], ["doc_id", "text_hash", "line", *LINE, "f", "n", "prefix"])
 
-    return in_python(keyed(docs), run, "doc_id long, text_hash long, line int, h long, g long, n int, prefix array<long>")
+    return in_python(keyed(docs), run, "doc_id long, text_hash long, line int, h long, g long, f long, n int, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, known: Broadcast, min_words: int) -> DataFrame:
-    """(h, g, tokens) of lines whose h is marked, each once while a task remembers it."""
+    """(h, g, tokens) of lines whose f is marked, each once while a task remembers it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, marks = known.value
         seen: set[int] = set()
         for part in text_parts(batches, 0, TEXT_BYTES):
-            lines = by_rarity(lines_of(part.column(0), min_words), ranks)
-            h, g = names(lines)
-            keep = held(marks, h) & (lines.size > 1) if len(h) else np.zeros(0, bool)
-            keep[keep] = [x not in seen and not seen.add(x) for x in g[keep].tolist()]
+            lines = lines_of(part.column(0), min_words)
+            f, other = names(lines)
+            keep = held(marks, f)
+            keep[keep] = [x not in seen and not seen.add(x) for x in other[keep].tolist()]
             if len(seen) > 500_000:
                 seen.clear()
-            columns = [pa.array(h[keep].view(np.int64)), pa.array(g[keep].view(np.int64)), as_lists(lines.tokens[np.repeat(keep, lines.size)], lines.size[keep])]
-            yield pa.RecordBatch.from_arrays(columns, [*LINE, "tokens"])
+            own = by_rarity(Lines(lines.row[keep], lines.number[keep], lines.size[keep], lines.tokens[np.repeat(keep, lines.size)]), ranks)
+            h, g = names(own)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), as_lists(own.tokens, own.size)], [*LINE, "tokens"])
 
     return in_python(docs.select("text"), run, "h long, g long, tokens array<long>")
 
@@ -168,7 +176,7 @@ def dealt(sets: DataFrame, known: Broadcast[np.ndarray]) -> DataFrame:
             size = np.diff(batch.column(3).offsets.to_numpy())
             tokens = batch.column(3).flatten().to_numpy().view(np.uint64)
             begin = np.cumsum(size) - size
-            keep = held(known.value, tokens) if len(tokens) else np.zeros(0, bool)
+            keep = held(known.value, tokens)
             own = np.repeat(np.arange(batch.num_rows), size)[keep]
             rest = batch.column(2).to_numpy()[own] - (np.arange(len(tokens)) - np.repeat(begin, size))[keep]
             rows = pa.array(own)
@@ -194,20 +202,27 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
     with Scratch(spark) as scratch:
         ranks = rarity(docs, min_words)
         lines = scratch.stored(prefixed(docs, spark.sparkContext.broadcast(ranks), percent, min_words), "lines")
-        sets = lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        sets = lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         sets = scratch.stored(sets, "line-sets")
+        scratch.free()
         marks = bitmap(repeated(sets.select(F.explode("prefix").alias("key"))), KEY_BITS)
         cut = scratch.stored(dealt(sets.filter("n > 1"), spark.sparkContext.broadcast(marks)), "dealt")
         heads = cut.groupBy("token").agg(F.min(F.struct("at", "h", "n", "rest")).alias("head"), F.count("*").alias("several")).filter("several > 1").drop("several")
         met = scratch.stored(cut.join(heads, "token"), "met")
 
-        marks = bitmap(met.select(F.col("h").alias("key")), KEY_BITS)
+        scratch.free()
+
+        # f of one line of each set is enough: its first one is scanned too
+        wanted = sets.select(*LINE, "f", "first").join(met.select("h").distinct(), "h", "left_semi")
+        marks = bitmap(wanted.select(F.col("f").alias("key")), KEY_BITS)
         members = whole_sets(docs, spark.sparkContext.broadcast((ranks, marks)), min_words).groupBy(*LINE).agg(F.first("tokens").alias("tokens"))
-        members = scratch.stored(members.join(sets.select(*LINE, "first"), LINE), "line-members")
+        members = scratch.stored(members.join(wanted.drop("f"), LINE), "line-members")
+        scratch.free()
 
         fits = _fits(F.col("n"), F.col("rest"), F.col("head.n"), F.col("head.rest"), percent)
         pairs = met.filter((F.col("h") != F.col("head.h")) & fits).select(F.col("h").alias("x"), F.col("head.h").alias("y")).distinct()
         matched = scratch.stored(_later(pairs, members, percent), "matched-first")
+        scratch.free()
 
         open_ = met.join(matched.select("h").distinct(), "h", "left_anti").select("token", *(F.col(c).alias(f"x_{c}") for c in ("at", "h", "n", "rest")), F.col("head.h").alias("head"))
         other = met.select("token", *(F.col(c).alias(f"y_{c}") for c in ("at", "h", "n", "rest")))

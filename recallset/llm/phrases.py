@@ -29,7 +29,7 @@ from ..errors import ConfigurationError
 from .cells import bitmap, cell_of, held
 from .common import Scratch, in_python, stored
 from .sets import mixed, text_parts
-from .words import Words, byte_kinds, words_of
+from .words import LOWER, byte_kinds, hashed_words
 
 MOST_WORDS = 3
 CELL_BITS = 24
@@ -44,17 +44,8 @@ KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 _TWO, _THREE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def hashes(values: list[bytes], seed: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(v, seed) for v in values), np.uint64, len(values))
-
-
-def word_keys(words: list[bytes], langs: list[bytes]) -> np.ndarray:
-    """[lang, word]: the key of each word in each language."""
-    return mixed(hashes(words, 0)[None, :] + lang_keys(langs)[:, None])
-
-
 def lang_keys(langs: list[bytes]) -> np.ndarray:
-    return hashes(langs, 1)
+    return np.fromiter((xxhash.xxh3_64_intdigest(v) for v in langs), np.uint64, len(langs))
 
 
 def two(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -79,12 +70,9 @@ class Batch:
     def __init__(self, part: pa.RecordBatch):
         coded = part.column(0).dictionary_encode()
         self.langs = [x.encode() for x in coded.dictionary.to_pylist()]
-        self.words: Words = words_of(part.column(1), KINDS)
-        lang = coded.indices.to_numpy()[self.words.row].astype(np.int64)
-        self.lang = lang
-        self.number = lang * len(self.words.distinct) + self.words.index  # of the word in its language
-        self.distinct_keys = word_keys(self.words.distinct, self.langs).ravel()
-        self.keys = self.distinct_keys[self.number]
+        self.words = hashed_words(part.column(1), KINDS)
+        self.lang = coded.indices.to_numpy()[self.words.row]
+        self.keys = mixed(self.words.keys + lang_keys(self.langs)[self.lang])
 
     def phrases(self, start: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
         """(number of words, position of the first, keys, step that the cells promise) of all phrases of two words, and of three.
@@ -94,7 +82,7 @@ class Batch:
         at = np.flatnonzero(self.words.joined[1:])
         since = None
         if start is not None:
-            active = start[cell_of(self.distinct_keys, len(start))][self.number]
+            active = start[cell_of(self.keys, len(start))]
             since = np.maximum(active[at], active[at + 1])
             keep = since < NEVER
             at, since = at[keep], since[keep]
@@ -104,7 +92,8 @@ class Batch:
             return
         next_one = np.flatnonzero(at[1:] == at[:-1] + 1)  # a phrase of three is one of two, followed by one of two
         if start is not None:
-            active = start[cell_of(pairs, len(start))]
+            # a pair's cell may be another's too and older than its words'
+            active = np.maximum(start[cell_of(pairs, len(start))], since)
             since = np.maximum(active[next_one], active[next_one + 1])
             keep = since < NEVER
             next_one, since = next_one[keep], since[keep]
@@ -175,6 +164,7 @@ def frequent(docs: DataFrame, shards: int, least: int, scratch: Scratch) -> Data
         known.unpersist()
         if running is not None:
             scratch.drop(running)
+        scratch.free()
         running = total
         enough = total.filter(F.col("n") >= least)
         if step >= shards - 1:
@@ -199,7 +189,7 @@ def named(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
             seen = np.zeros(0, np.uint64)
             for part in text_parts(batches, 1, TEXT_BYTES):
                 batch = Batch(part)
-                index, distinct = batch.words.index, batch.words.distinct
+                low, starts, ends = LOWER[batch.words.data].tobytes(), batch.words.begin, batch.words.end
                 for words, at, keys, _ in batch.phrases():
                     own = np.flatnonzero(held(known.value, keys))
                     found, first = np.unique(keys[own], return_index=True)
@@ -207,7 +197,7 @@ def named(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
                     if not len(own):
                         continue
                     begin = at[own]
-                    text = [b" ".join([distinct[i] for i in index[b : b + words].tolist()]).decode() for b in begin.tolist()]
+                    text = [b" ".join([low[x:y] for x, y in zip(starts[b : b + words].tolist(), ends[b : b + words].tolist(), strict=True)]).decode() for b in begin.tolist()]
                     lang = [batch.langs[i].decode() for i in batch.lang[begin].tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(lang), pa.array(text)], ["key", "lang", "phrase"])
                     seen = np.concatenate([seen, keys[own]]) if len(seen) < HELD else keys[own]
@@ -237,11 +227,12 @@ def with_parts(phrases: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = ([x.encode() for x in batch.column(c).to_pylist()] for c in (1, 2))
-            tokens = [t.split(b" ") for t in texts]
-            salts = lang_keys(langs)
-            k1, k2, k3 = (mixed(hashes([t[i] if i < len(t) else b"" for t in tokens], 0) + salts) for i in range(3))
-            long = np.array([len(t) > 2 for t in tokens], bool)
+            found = hashed_words(batch.column(2), KINDS)
+            salts = lang_keys([x.encode() for x in batch.column(1).to_pylist()])
+            keys = mixed(found.keys + salts[found.row])
+            first = np.searchsorted(found.row, np.arange(batch.num_rows))
+            long = np.bincount(found.row, minlength=batch.num_rows) > 2
+            k1, k2, k3 = keys[first], keys[first + 1], keys[np.minimum(first + 2, max(len(keys) - 1, 0))] if len(keys) else keys
             right = np.where(long, two(k2, k3), k2)
             optional = lambda keys: pa.array(keys.view(np.int64), mask=~long)
             columns = [pa.array(k1.view(np.int64)), pa.array(right.view(np.int64)), optional(two(k1, k2)), optional(k3), pa.array(salts.view(np.int64))]

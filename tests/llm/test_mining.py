@@ -88,7 +88,7 @@ def test_a_step_counts_what_is_active(spark):
         return sorted((r.words, r.start, r.n) for r in rows)
 
     assert kinds(0) == [(0, 0, 5), (1, 0, 1), (1, 0, 2), (1, 0, 2)]
-    keys = phrases.word_keys([b"a", b"b"], [b"en"])[0]
+    keys = phrases.Batch(table.limit(1).toArrow().combine_chunks().to_batches()[0]).keys[:2]
     start[cells.cell_of(keys, len(start))] = 1
     assert kinds(1) == [(0, 0, 5), (1, 0, 1), (1, 0, 2), (1, 0, 2), (2, 1, 2)]
     assert kinds(2) == [(2, 1, 2)] and kinds(3) == []
@@ -99,6 +99,22 @@ def test_words_of_a_batch():
     got = words.words_of(texts, words.byte_kinds(b" ", b","))
     assert [got.distinct[i].decode() for i in got.index] == ["a", "bc", "dé", "f", "g"]
     assert got.row.tolist() == [0, 0, 3, 3, 4] and got.joined.tolist() == [False, True, False, False, False]
+    assert got.piece.tolist() == [0, 0, 0, 1, 0]
+
+
+def test_hashed_words_are_the_same_words():
+    draw = np.random.default_rng(12)
+    some = ["".join(draw.choice([*"aAbBé ,.\n"], int(draw.integers(0, 30)))) for _ in range(500)]
+    kinds = words.byte_kinds(b" ", b",\n")
+    key = {}
+    for texts in (pa.array([*some, None, ""]), pa.array(some)[200:210], pa.array(["x" * 500_000 + " a", "aB", "Ba"]), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        one, two = words.words_of(texts, kinds), words.hashed_words(texts, kinds)
+        for name in ("row", "piece", "joined"):
+            assert getattr(one, name).tolist() == getattr(two, name).tolist()
+        for i, k in zip(one.index.tolist(), two.keys.tolist(), strict=True):
+            assert key.setdefault(one.distinct[i], k) == k
+        assert [bytes(words.LOWER[two.data[a:b]]) for a, b in zip(two.begin, two.end)] == [one.distinct[i] for i in one.index]
+    assert len(set(key.values())) == len(key) > 300
 
 
 # resampling
