@@ -3,188 +3,86 @@
 A line's tokens are its five-word shingles; lines of fewer words than that are one token, and lines of fewer than `min_words` words
 are left alone. Words are runs of characters other than ASCII white space, with A-Z in lower case. Lines are ordered by (doc_id, hash
 of the text, line number), NULL doc_ids last. A line is removed if the Jaccard similarity of its tokens to those of an earlier
-line, itself removed or not, is at least the threshold.
+line, itself removed or not, is at least the threshold. Only DataFrame functions are used.
 
-Lines are cut and hashed in Arrow batches, in three scans of the texts: for the rarity of tokens, for the sets and prefixes of lines, and for the whole sets
-of lines that may have a partner. All joins are Spark's. Lines of equal token sets are one line from the start. Tokens are numbers
-whose upper 16 bits are the rank of their rarity, so that the ascending order of a line's tokens is the order by rarity. Lines are
-told apart by 128 bits of hash, tokens by 64.
+Lines of equal words, and lines whose only token is the same, are one line from the start. Tokens are numbers whose upper 16 bits are
+the rank of the rarest of their words, which no shingle can be more frequent than, so that the ascending order of a line's tokens
+is the order by rarity; the other 48 bits are a hash. Lines are told apart by 128 bits of hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cells import bitmap, held, repeated
-from .common import Scratch, in_python, stored
-from .sets import mixed, text_parts
-from .words import byte_kinds, hashed_words
+from .common import Scratch, ascii_lower, stored
 
 WIDTH = 5
-#: Token counts are kept in so many cells, each of the tokens with the same low bits; the rarity of a token is its cell's.
+#: Word counts are kept in 2 to this power cells, each of the words whose hashes have the same low bits; the rarity of a word is its cell's.
 CELL_BITS = 16
-#: Tokens and lines that may have a partner are marked in bitmaps of 2 to this power bits, 16 MB.
-KEY_BITS = 27
-TEXT_BYTES = 2 << 20
-KINDS = byte_kinds(b" \t\x0b\x0c\r", b"\n")
+#: Letters outside ASCII that `lower` would change.
+OTHER_CAPITALS = r"[\P{ASCII}&&[\p{IsUppercase}\p{Lt}]]"
 LINE = ["h", "g"]
-_CHAIN, _SET = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
-@dataclass
-class Lines:
-    """Lines with words of a batch of texts: row of the text, number of the line in it, and the tokens of all lines one after the other."""
-
-    row: np.ndarray
-    number: np.ndarray
-    size: np.ndarray
-    tokens: np.ndarray
-
-    @property
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.size)), self.size)
-
-
-def lines_of(texts: pa.Array, min_words: int) -> Lines:
-    """The lines of at least `min_words` words, with a token for each shingle (repeats too), or one for all words of a shorter line."""
-    found = hashed_words(texts, KINDS)
-    word = found.keys
-    begin = np.flatnonzero(~found.joined)
-    words = np.diff(np.append(begin, len(word)))
-    keep = words >= min_words
-    begin, words = begin[keep], words[keep]
-    rolled = word.copy()
-    for k in range(1, WIDTH):
-        rolled[:-k] = mixed(rolled[:-k] * _CHAIN + word[k:])
-    size = np.maximum(words - WIDTH + 1, 1)
-    first = np.cumsum(size) - size
-    tokens = rolled[np.repeat(begin - first, size) + np.arange(size.sum())]
-    for n in range(1, WIDTH):
-        own = words == n
-        whole = np.full(own.sum(), n, np.uint64)
-        for k in range(n):
-            whole = mixed(whole * _CHAIN + word[begin[own] + k])
-        tokens[first[own]] = whole
-    return Lines(found.row[begin], found.piece[begin], size, tokens)
-
-
-def cells(tokens: np.ndarray) -> np.ndarray:
-    return (tokens & np.uint64((1 << CELL_BITS) - 1)).astype(np.int64)
-
-
-def rarity(docs: DataFrame, min_words: int) -> np.ndarray:
-    """The rank of each cell, 0 for the rarest; tasks and driver hold 2 ** CELL_BITS numbers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int64)
-        for part in text_parts(batches, 0, TEXT_BYTES):
-            total += np.bincount(cells(lines_of(part.column(0), min_words).tokens), minlength=len(total))
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(total[there])], ["cell", "n"])
-
-    counts = np.zeros(1 << CELL_BITS, np.int64)
-    for row in in_python(docs.select("text"), run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        counts[row.cell] = row.n
-    ranks = np.empty(1 << CELL_BITS, np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << CELL_BITS)
-    return ranks
-
-
-def by_rarity(lines: Lines, ranks: np.ndarray) -> Lines:
-    """Each line's distinct tokens, rarest first: their cell's bits become its rank, as the upper bits."""
-    tokens = (ranks[cells(lines.tokens)] << np.uint64(64 - CELL_BITS)) | (lines.tokens >> np.uint64(CELL_BITS))
-    owner = lines.owner
-    bits = max(len(lines.size), 1).bit_length()
-    key = (owner.astype(np.uint64) << np.uint64(64 - bits)) | (tokens >> np.uint64(bits))
-    order = np.argsort(key)
-    if ((key[order][1:] == key[order][:-1]) & (tokens[order][1:] != tokens[order][:-1])).any():  # told apart by their last bits only
-        order = np.lexsort((tokens, owner))
-    tokens = tokens[order]
-    new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
-    return Lines(lines.row, lines.number, np.bincount(owner[new], minlength=len(lines.size)), tokens[new])
-
-
-def names(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers that name each line's tokens, whatever their order: their set, if each is there once."""
-    if not len(lines.size):
-        return lines.tokens, lines.tokens
-    begin = np.cumsum(lines.size) - lines.size
-    return tuple(mixed(np.add.reduceat(mixed(lines.tokens * salt + salt), begin)) for salt in (_CHAIN, _SET))
-
-
-def as_lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(values.view(np.int64)))
-
-
-def prefixed(docs: DataFrame, known: Broadcast[np.ndarray], percent: int, min_words: int) -> DataFrame:
-    """(doc_id, text_hash, line, h, g, f, n, prefix) of each line: h and g name its set of tokens, f all its tokens with repeats. The prefix
-    has the tokens of which similar lines share at least one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_parts(batches, 2, TEXT_BYTES):
-            lines = lines_of(part.column(2), min_words)
-            f, _ = names(lines)
-            lines = by_rarity(lines, known.value)
-            h, g = names(lines)
-            most = np.where(lines.size > 1, lines.size + (-lines.size * percent // 100) + 1, 0)  # n - ceil(n * percent / 100) + 1
-            begin = np.cumsum(lines.size) - lines.size
-            keep = np.arange(len(lines.tokens)) - np.repeat(begin, lines.size) < np.repeat(most, lines.size)
-            rows = pa.array(lines.row)
-            columns = [part.column(0).take(rows), part.column(1).take(rows), pa.array(lines.number, pa.int32()), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(f.view(np.int64)), pa.array(lines.size, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, as_lists(lines.tokens[keep], most)], ["doc_id", "text_hash", "line", *LINE, "f", "n", "prefix"])
-
-    return in_python(keyed(docs), run, "doc_id long, text_hash long, line int, h long, g long, f long, n int, prefix array<long>")
-
-
-def whole_sets(docs: DataFrame, known: Broadcast, min_words: int) -> DataFrame:
-    """(h, g, tokens) of lines whose f is marked, each once while a task remembers it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, marks = known.value
-        seen: set[int] = set()
-        for part in text_parts(batches, 0, TEXT_BYTES):
-            lines = lines_of(part.column(0), min_words)
-            f, other = names(lines)
-            keep = held(marks, f)
-            keep[keep] = [x not in seen and not seen.add(x) for x in other[keep].tolist()]
-            if len(seen) > 500_000:
-                seen.clear()
-            own = by_rarity(Lines(lines.row[keep], lines.number[keep], lines.size[keep], lines.tokens[np.repeat(keep, lines.size)]), ranks)
-            h, g = names(own)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), as_lists(own.tokens, own.size)], [*LINE, "tokens"])
-
-    return in_python(docs.select("text"), run, "h long, g long, tokens array<long>")
-
-
-def dealt(sets: DataFrame, known: Broadcast[np.ndarray]) -> DataFrame:
-    """(token, at, h, n, rest) for each token of a prefix that other sets may have too; `rest` counts the tokens from it on."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.diff(batch.column(3).offsets.to_numpy())
-            tokens = batch.column(3).flatten().to_numpy().view(np.uint64)
-            begin = np.cumsum(size) - size
-            keep = held(known.value, tokens)
-            own = np.repeat(np.arange(batch.num_rows), size)[keep]
-            rest = batch.column(2).to_numpy()[own] - (np.arange(len(tokens)) - np.repeat(begin, size))[keep]
-            rows = pa.array(own)
-            columns = [pa.array(tokens[keep].view(np.int64)), *(batch.column(c).take(rows) for c in (0, 1, 2)), pa.array(rest, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "at", "h", "n", "rest"])
-
-    at = F.coalesce("first.doc_id", F.lit((1 << 63) - 1))
-    return in_python(sets.select(at.alias("at"), "h", "n", "prefix"), run, "token long, at long, h long, n int, rest int")
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is evaluated once, however often `use` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def with_words(rows: DataFrame) -> DataFrame:
+    """Column `line_text` as `words`: in lower case, one space between words and none around them."""
+    low = F.when(F.col("line_text").rlike(OTHER_CAPITALS), ascii_lower(F.col("line_text"))).otherwise(F.lower("line_text"))
+    spaced = F.when(F.col("_low").rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace("_low", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("_low"))
+    return rows.withColumn("_low", low).withColumn("words", F.trim(spaced)).drop("_low", "line_text")
+
+
+def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, text_hash, line, words) of each line with at least `min_words` words."""
+    lines = keyed(docs).select("doc_id", "text_hash", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "line_text"))
+    enough = F.size(F.split("words", " ", min_words)) >= min_words if min_words > 1 else F.lit(True)
+    return with_words(lines).filter((F.col("words") != "") & enough)
+
+
+def cell_of(key: Column) -> Column:
+    return key.bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int")
+
+
+def rarity(docs: DataFrame, min_words: int) -> Column:
+    """A literal array of the rank of each cell of words, 0 for the rarest: at most 2 ** CELL_BITS rows reach the driver."""
+    words = lines_of(docs, min_words).select(F.explode(F.split("words", " ")).alias("word"))
+    counts = {r.cell: r.n for r in words.groupBy(cell_of(F.xxhash64("word")).alias("cell")).agg(F.count("*").alias("n")).collect()}
+    ranks = [0] * (1 << CELL_BITS)
+    for rank, cell in enumerate(sorted(range(1 << CELL_BITS), key=lambda c: counts.get(c, 0))):
+        ranks[cell] = rank
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+
+
+def tokens_of(words: Column, ranks: Column) -> Column:
+    """The distinct tokens of a line, rarest first; of a line of fewer words than a shingle the one token of all.
+
+    Each word becomes one number, its rank above a part of its hash; a shingle is the least rank of its words above a hash of their numbers.
+    """
+    rest, half = 64 - CELL_BITS, 1 << (CELL_BITS - 1)
+
+    def numbered(word: Column) -> Column:
+        return let(F.xxhash64(word), lambda h: F.shiftleft(F.element_at(ranks, cell_of(h) + 1).cast("long") - half, rest).bitwiseOR(F.shiftrightunsigned(h, CELL_BITS)))
+
+    def shingles(w: Column) -> Column:
+        def shingle(i: Column) -> Column:
+            own = [F.get(w, i + k) for k in range(WIDTH)]
+            rank = F.shiftleft(F.shiftright(F.least(*own), rest), rest)
+            return rank.bitwiseOR(F.shiftrightunsigned(F.xxhash64(*own), CELL_BITS))
+
+        return F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - WIDTH, F.lit(0))), shingle)))
+
+    return let(F.transform(F.split(words, " "), numbered), shingles)
 
 
 def place(doc_id: str = "doc_id") -> Column:
@@ -195,34 +93,37 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
     """(doc_id, text_hash, line) of each removed line, once for rows that repeat doc_id and text.
 
     The prefix of a line's tokens is dealt out by token. Lines under the same token are first compared with the first of
-    them; those without a similar earlier line after that, with all earlier ones that size and position allow. Lines of one token are
-    similar only if they are equal.
+    them; those without a similar earlier line after that, with all earlier ones that size and position allow.
     """
-    spark = docs.sparkSession
-    with Scratch(spark) as scratch:
+    with Scratch(docs.sparkSession) as scratch:
         ranks = rarity(docs, min_words)
-        lines = scratch.stored(prefixed(docs, spark.sparkContext.broadcast(ranks), percent, min_words), "lines")
-        sets = lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines"), F.first("f").alias("f"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        sets = scratch.stored(sets, "line-sets")
+        size = F.size("tokens")
+        most = size - F.ceil(size * percent / F.lit(100)).cast("int") + 1
+        # a longer line of one token repeats one word, however often; its first words stand for it
+        told = F.when(size > 1, F.col("words")).otherwise(F.substring_index("words", " ", WIDTH))
+        ids = [F.xxhash64("told").alias("h"), F.xxhash64(F.lit(1), "told").alias("g")]
+        lines = lines_of(docs, min_words).select("doc_id", "text_hash", "line", "words", tokens_of(F.col("words"), ranks).alias("tokens"))
+        lines = lines.withColumn("told", told).select("doc_id", "text_hash", "line", *ids, size.alias("n"), F.when(size > 1, F.slice("tokens", 1, most)).alias("prefix"))
+        lines = scratch.stored(lines, "lines")
+
+        # lines of one token are similar only if they are equal
+        sets = lines.filter("n > 1").groupBy(*LINE).agg(F.min(place()).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        at = F.coalesce("first.doc_id", F.lit((1 << 63) - 1))
+        dealt = sets.select("h", at.alias("at"), "n", F.posexplode("prefix").alias("pos", "token")).select("token", "at", "h", "n", (F.col("n") - F.col("pos")).alias("rest"))
+        order = Window.partitionBy("token").orderBy("at", "h")
+        head = F.first(F.struct("h", "n", "rest")).over(order)
+        met = dealt.withColumn("head", head).withColumn("more", F.lead("h").over(order).isNotNull())
+        met = scratch.stored(met.filter(F.col("more") | (F.col("h") != F.col("head.h"))).drop("more"), "met")
         scratch.free()
-        marks = bitmap(repeated(sets.select(F.explode("prefix").alias("key"))), KEY_BITS)
-        cut = scratch.stored(dealt(sets.filter("n > 1"), spark.sparkContext.broadcast(marks)), "dealt")
-        heads = cut.groupBy("token").agg(F.min(F.struct("at", "h", "n", "rest")).alias("head"), F.count("*").alias("several")).filter("several > 1").drop("several")
-        met = scratch.stored(cut.join(heads, "token"), "met")
 
-        scratch.free()
-
-        # f of one line of each set is enough: its first one is scanned too
-        wanted = sets.select(*LINE, "f", "first").join(met.select("h").distinct(), "h", "left_semi")
-        marks = bitmap(wanted.select(F.col("f").alias("key")), KEY_BITS)
-        members = whole_sets(docs, spark.sparkContext.broadcast((ranks, marks)), min_words).groupBy(*LINE).agg(F.first("tokens").alias("tokens"))
-        members = scratch.stored(members.join(wanted.drop("f"), LINE), "line-members")
+        narrow = scratch.stored(lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines")), "line-places")
+        wanted = met.select("h").distinct()
+        members = scratch.stored(_members(docs, narrow.join(wanted, "h", "left_semi"), ranks), "line-members")
         scratch.free()
 
         fits = _fits(F.col("n"), F.col("rest"), F.col("head.n"), F.col("head.rest"), percent)
         pairs = met.filter((F.col("h") != F.col("head.h")) & fits).select(F.col("h").alias("x"), F.col("head.h").alias("y")).distinct()
         matched = scratch.stored(_later(pairs, members, percent), "matched-first")
-        scratch.free()
 
         open_ = met.join(matched.select("h").distinct(), "h", "left_anti").select("token", *(F.col(c).alias(f"x_{c}") for c in ("at", "h", "n", "rest")), F.col("head.h").alias("head"))
         other = met.select("token", *(F.col(c).alias(f"y_{c}") for c in ("at", "h", "n", "rest")))
@@ -231,10 +132,12 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
         pairs = open_.join(other, "token").filter(earlier).select(F.col("x_h").alias("x"), F.col("y_h").alias("y")).distinct()
         matched = matched.unionByName(_later(pairs, members, percent)).distinct().withColumn("matched", F.lit(True))
 
-        again = sets.select(*LINE, "first", "lines").join(matched, LINE, "left").filter("lines > 1 OR matched")
-        found = lines.select("doc_id", "text_hash", "line", *LINE).join(again, LINE)
+        repeated = narrow.join(matched, LINE, "left").filter("lines > 1 OR matched")
+        found = lines.select("doc_id", "text_hash", "line", *LINE).join(repeated, LINE)
         found = found.filter(F.coalesce("matched", F.lit(False)) | (place() != F.col("first")))
-        return stored(found.select("doc_id", "text_hash", "line").distinct(), "removed-lines")
+        found = stored(found.select("doc_id", "text_hash", "line").distinct(), "removed-lines")
+        scratch.free()
+        return found
 
 
 def _fits(n: Column, rest: Column, other_n: Column, other_rest: Column, percent: int) -> Column:
@@ -242,6 +145,15 @@ def _fits(n: Column, rest: Column, other_n: Column, other_rest: Column, percent:
     return F.least(rest, other_rest).cast("long") * (100 + percent) >= (n + other_n).cast("long") * percent
 
 
+def _members(docs: DataFrame, named: DataFrame, ranks: Column) -> DataFrame:
+    """(h, g, first, tokens) of the lines that `named` places. Lines are met by document and number, so a long document costs no more than its lines."""
+    wanted = named.select(*LINE, "first", F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash"), F.col("first.line").alias("_line"))
+    lines = keyed(docs).select("doc_id", "text_hash", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "line_text"))
+    same = (F.col("text_hash") == F.col("_hash")) & (F.col("line") == F.col("_line")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    found = lines.join(wanted, same).select(*LINE, "first", "line_text").dropDuplicates(LINE)
+    return with_words(found).select(*LINE, "first", tokens_of(F.col("words"), ranks).alias("tokens"))
+
+
 def _later(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(h, g) of the later line of each similar pair (x, y)."""
     one = members.select(F.col("h").alias("x"), F.struct("first", *LINE).alias("one"), F.col("tokens").alias("one_tokens"))
