@@ -3,14 +3,13 @@
 Words are runs of ASCII digits, ASCII letters and characters beyond ASCII, with A-Z in lower case. A window is `size` consecutive
 words of an item, or all words of a shorter item. A document's word is hit if it lies in an occurrence of a window.
 
-Each window is looked for by one of its words, the rarest in the benchmark. Windows that follow one another mostly share that
-anchor, so a table of anchors, broadcast after a check of its size, meets each document's words once, and around a match both
-texts are compared word by word as far as a window reaches.
+The windows of all items are a broadcast hash set, after a check of its size: 64 bits of hash of a window's words name it. Each
+document's windows of the lengths that occur are hashed and looked up, and where a hash is met the words themselves are compared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, stored
@@ -19,7 +18,9 @@ from .common import ascii_lower, stored
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 SIZE = 10
-#: Anchors are broadcast in blocks of items whose texts come to at most about so many bytes.
+#: Letters outside ASCII that `lower` would change.
+OTHER_CAPITALS = r"[\P{ASCII}&&[\p{IsUppercase}\p{Lt}]]"
+#: Windows are broadcast in blocks of at most about so many bytes.
 BLOCK_BYTES = 16 << 20
 
 
@@ -27,28 +28,24 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
-def anchors(benchmark: DataFrame, size: int) -> DataFrame:
-    """(item_id, item, at, word, item_words): the positions by which the windows of each item are found. `item` tells items with equal ids apart."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(ascii_lower(F.col("text"))).alias("item_words")).filter(F.size("item_words") > 0).distinct()
-    items = items.withColumn("item", F.xxhash64("item_id", "item_words"))
-    placed = items.select("item", F.size("item_words").alias("n"), F.posexplode("item_words").alias("at", "word"))
-    often = placed.groupBy("word").agg(F.count("*").alias("often"))
-    placed = placed.join(often, "word").withColumn("rank", F.struct("often", -F.length("word"), "word", "at"))
-    around = Window.partitionBy("item").orderBy("at").rowsBetween(0, size - 1)
-    best = placed.withColumn("best", F.min("rank").over(around)).filter((F.col("at") <= F.col("n") - size) | (F.col("at") == 0))
-    best = best.select("item", F.col("best.at").alias("at"), F.col("best.word").alias("word")).distinct()
-    return best.join(items, "item")
+def lowered(text: Column) -> Column:
+    """A-Z to a-z and nothing else; the slower way only where `lower` would change other letters."""
+    return F.when(text.rlike(OTHER_CAPITALS), ascii_lower(text)).otherwise(F.lower(text))
 
 
-def _reach(doc: Column, at: Column, item: Column, item_at: Column, size: int, step: int) -> Column:
-    """How many words beyond the anchor agree, in steps of 1 or -1, up to a window's reach."""
-    steps = F.array(*[F.lit(i) for i in range(1, size)])
-    differs = F.filter(steps, lambda i: F.coalesce(ascii_lower(_get(doc, at + i * step)) != _get(item, item_at + i * step), F.lit(True)))
-    return F.coalesce(F.get(differs, F.lit(0)) - 1, F.lit(size - 1))
+def window_key(words: Column, at: Column, length: int) -> Column:
+    """The hash of so many words from number `at` on, counted from 0."""
+    return F.xxhash64(*(F.get(words, at + k) for k in range(length)))
 
 
-def _get(values: Column, at: Column) -> Column:
-    return F.when(at >= 0, F.get(values, at))
+def windows(benchmark: DataFrame, size: int) -> DataFrame:
+    """(key, length, window, item_ids): the distinct windows of all items, with the items that have them."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(lowered(F.col("text"))).alias("w")).filter(F.size("w") > 0).distinct()
+    items = items.withColumn("length", F.least(F.lit(size), F.size("w")))
+    placed = items.select("item_id", "length", "w", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("length"))).alias("at"))
+    key = F.coalesce(*(F.when(F.col("length") == n, window_key(F.col("w"), F.col("at"), n)) for n in range(1, size + 1)))
+    found = placed.select(key.alias("key"), "length", F.slice("w", F.col("at") + 1, F.col("length")).alias("window"), "item_id")
+    return found.groupBy("key", "length", "window").agg(F.collect_set("item_id").alias("item_ids"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
@@ -57,38 +54,41 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     NULL texts have no words. Items without words have no window; items of one id count once; an item whose id is
     NULL hits but isn't listed. All rows of `docs` are returned, repeated ones too.
     """
-    found = stored(anchors(benchmark, size), "anchors")
-    volume = found.agg(F.coalesce(F.sum(F.length(F.array_join("item_words", " ")) * 4 + 64), F.lit(0))).first()[0]
+    found = stored(windows(benchmark, size), "windows")
+    lengths = sorted(r[0] for r in found.select("length").distinct().collect())  # at most `size`
+    volume = found.agg(F.coalesce(F.sum(F.length(F.array_join("window", " ")) * 4 + F.length(F.array_join("item_ids", " ")) * 4 + 96), F.lit(0))).first()[0]
     blocks = max(1, -(-volume // BLOCK_BYTES))
-    cut = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("words"))
+    cut = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(lowered(F.col("text"))).alias("words"))
     cut = cut.withColumn("n_words", F.size("words").cast("long"))
     parts = None
     for block in range(blocks):
-        own = found if blocks == 1 else found.filter(F.pmod("item", F.lit(blocks)) == block)
-        part = _block_hits(cut, own, size, block == 0)
+        own = found if blocks == 1 else found.filter(F.pmod("key", F.lit(blocks)) == block)
+        part = _block_hits(cut, own, lengths, block == 0)
         parts = part if parts is None else parts.unionByName(part)
-    merged = parts.groupBy("row", "doc_id", "n_words").agg(F.collect_set("span").alias("spans"), F.collect_set("item_id").alias("item_ids"))
+    merged = parts.groupBy("row", "doc_id", "n_words").agg(F.collect_set("span").alias("spans"), F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("item_ids"))
     return merged.select("row", "doc_id", "n_words", _merged(F.array_sort("spans")).alias("spans"), F.array_sort("item_ids").alias("item_ids"))
 
 
-def _block_hits(cut: DataFrame, found: DataFrame, size: int, base: bool) -> DataFrame:
-    """Rows (row, doc_id, n_words, span, item_id), and with `base` one row without a span for each document."""
-    lower = found.select(F.lower("word").alias("key"), "word", "at", "item_id", "item_words")
-    start = cut.sparkSession.createDataFrame([("",)], "key string")
-    table = lower.unionByName(start, allowMissingColumns=True) if base else lower
-    # one empty word in front of each document's meets the empty key: the document's own row
-    placed = cut.select("row", "doc_id", "n_words", "words", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("pos", "found")).withColumn("key", F.lower("found"))
-    exact = F.col("word").isNull() | (ascii_lower(F.col("found")) == F.col("word"))
-    met = placed.join(F.broadcast(table), "key").filter(exact)  # at most about BLOCK_BYTES
+def _block_hits(cut: DataFrame, found: DataFrame, lengths: list[int], base: bool) -> DataFrame:
+    """Rows (row, doc_id, n_words, span, item_ids), and with `base` one row without a span for each document."""
+    start = cut.sparkSession.range(1).select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("length"))
+    table = found.unionByName(start, allowMissingColumns=True) if base else found
+    # one empty word in front of each document's meets the key 0 of length 0: the document's own row
+    placed = cut.select("row", "doc_id", "n_words", "words", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("pos", "word"))
     at = F.col("pos") - 1
-    before = _reach(F.col("words"), at, F.col("item_words"), F.col("at"), size, -1)
-    after = _reach(F.col("words"), at, F.col("item_words"), F.col("at"), size, 1)
-    span = F.struct((at - before).alias("first"), (at + after).alias("last"))
-    enough = before + after + 1 >= F.least(F.lit(size), F.size("item_words"))
+    keys = [F.when(F.col("pos") == 0, F.lit(0)).otherwise(window_key(F.col("words"), at, n)) for n in lengths or [1]]
+    if len(keys) == 1:
+        placed = placed.withColumn("key", keys[0])
+    else:  # of the first word only one key, for the document's own row
+        placed = placed.withColumn("key", F.explode(F.when(F.col("pos") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array(*keys))))
+    met = placed.join(F.broadcast(table), "key")  # at most about BLOCK_BYTES
+    span = F.struct(at.alias("first"), (at + F.col("length") - 1).alias("last"))
+    same = (F.col("pos") > 0) & (F.col("length") > 0) & F.coalesce(F.slice("words", F.greatest("pos", F.lit(1)), F.col("length")) == F.col("window"), F.lit(False))
+    none = F.lit(None).cast("struct<first:int,last:int>")
     # the comparison stands in a generator: as a filter it would move into the join, which then could not be compiled and would
     # copy the words of a document for each of them
-    spans = F.when(F.col("word").isNull(), F.array(F.lit(None).cast("struct<first:int,last:int>"))).when(enough, F.array(span)).otherwise(F.array())
-    return met.select("row", "doc_id", "n_words", F.explode(spans).alias("span"), "item_id")
+    spans = F.when(F.col("length") == 0, F.when(F.col("pos") == 0, F.array(none)).otherwise(F.array())).when(same, F.array(span)).otherwise(F.array())
+    return met.select("row", "doc_id", "n_words", F.explode(spans).alias("span"), "item_ids")
 
 
 def _merged(spans: Column) -> Column:

@@ -180,3 +180,16 @@ def test_pieces_as_the_pattern_cuts_them():
         begins = np.cumsum(sizes) - sizes
         starts = token_files.pieces_of(np.frombuffer(b"".join(data), np.uint8), begins[sizes > 0])
         assert starts.tolist() == [b + len(t[: m.start()].encode()) for t, b in zip(some, begins.tolist()) for m in pattern.finditer(t)]
+
+
+def test_decontamination_of_frequent_words(spark):
+    """A benchmark whose words are everywhere in the corpus, items of one word, copies of items, and capitals beyond ASCII."""
+    item = "the of and the of and the of and the of end"
+    bench = [(1, item), (2, item.upper()), (3, "the"), (4, "ÉTÉ the"), (5, ""), (6, None), (None, "zebra zebra")]
+    texts = [(1, "the " * 400), (2, "x " + item + " y"), (3, "été the ÉTÉ the"), (4, "of and of and"), (5, None), (6, "a Zebra zebra b"), (7, "the of and the of and the of and the")]
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert rows == {1: (400, 400, 1), 2: (14, 12, 3), 3: (4, 3, 2), 4: (4, 0, 0), 5: (0, 0, 0), 6: (4, 2, 0), 7: (10, 10, 3)}
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert {r.n_hit for r in decontaminate.report(spark.createDataFrame(texts, "doc_id long, text string"), none).collect()} == {0}
+    plan = decontaminate.report(spark.createDataFrame(texts, "doc_id long, text string"), none)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
