@@ -146,11 +146,14 @@ def _fits(n: Column, rest: Column, other_n: Column, other_rest: Column, percent:
 
 
 def _members(docs: DataFrame, named: DataFrame, ranks: Column) -> DataFrame:
-    """(h, g, first, tokens) of the lines that `named` places. Lines are met by document and number, so a long document costs no more than its lines."""
-    wanted = named.select(*LINE, "first", F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash"), F.col("first.line").alias("_line"))
-    lines = keyed(docs).select("doc_id", "text_hash", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "line_text"))
-    same = (F.col("text_hash") == F.col("_hash")) & (F.col("line") == F.col("_line")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    found = lines.join(wanted, same).select(*LINE, "first", "line_text").dropDuplicates(LINE)
+    """(h, g, first, tokens) of the lines that `named` places. A document meets all its lines at once and is cut once."""
+    wanted = named.groupBy(F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash")).agg(F.collect_list(F.struct(*LINE, "first")).alias("_lines"))
+    found = keyed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
+
+    def picked(lines: Column) -> Column:
+        return F.transform("_lines", lambda w: F.struct(w["h"].alias("h"), w["g"].alias("g"), w["first"].alias("first"), F.get(lines, w["first"]["line"]).alias("line_text")))
+
+    found = found.select(F.explode(let(F.split("text", "\n"), picked)).alias("own")).select("own.*").dropDuplicates(LINE)
     return with_words(found).select(*LINE, "first", tokens_of(F.col("words"), ranks).alias("tokens"))
 
 
