@@ -20,7 +20,7 @@ NEVER = 1 << 60
 #: In these texts the rules of both Unicode tables agree, so the words can be cut here; any other text is cut by the library.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
 #: Pieces kept with their ids, twice so many for each Python worker: a full cache becomes the old one.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 120_000
 #: Words up to so many bytes are merged many at once, longer ones singly.
 SHORT = 48
 
