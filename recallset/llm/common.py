@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,9 +51,12 @@ class Scratch:
             removed(self.spark, self.paths.pop(id(table))[1])
 
     def free(self) -> None:
-        """Let Spark delete the shuffle files of finished steps: it does so when the driver's plans of them are collected as garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark delete the shuffle files of finished steps: it does so when the driver's plans of them are collected as garbage,
+        which takes a second time where the first only finds what is to be finalised."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
     def __enter__(self) -> Scratch:
         return self

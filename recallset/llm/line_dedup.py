@@ -116,6 +116,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
         met = scratch.stored(met.filter(F.col("more") | (F.col("h") != F.col("head.h"))).drop("more"), "met")
         scratch.free()
 
+        del sets, dealt
         narrow = scratch.stored(lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines")), "line-places")
         wanted = met.select("h").distinct()
         members = scratch.stored(_members(docs, narrow.join(wanted, "h", "left_semi"), ranks), "line-members")
