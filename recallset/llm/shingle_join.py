@@ -130,9 +130,11 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     rows = stored(shingled(docs, width), "shingled")
     with Scratch(spark) as scratch:
         shared = spark.sparkContext.broadcast(bitmap(repeated(in_python(docs.select("text"), bucketed(rule, width, None), "key long, set_id binary")), KEY_BITS))
+        scratch.free()
         keys = in_python(docs.select("text"), bucketed(rule, width, shared), "key long, set_id binary")
         keys = keys.repartition("key").sortWithinPartitions("key", "set_id")
         clusters = components(in_python(keys, stars, "a binary, b binary"), scratch)
+        scratch.free()
         first = rows.filter("set_id IS NOT NULL").select(F.col("set_id").alias("node"), "doc_id", "text_hash").join(clusters, "node")
         first = scratch.stored(first.groupBy("node", "root").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("root", F.col("node").alias("id"), "at.*"), "cluster-members")
         members = texts_of(docs, first).select("root", "id", "text").transform(lambda d: _tokens(d, width))
@@ -142,6 +144,7 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 
         links = groups_of(spread(members, first), ["root", "p", "q"], ["own", "id", "tokens"], verified, "a binary, b binary")
         joined = components(links, scratch)
+        scratch.free()
         sets = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
         sets = sets.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
         whole = sets.groupBy("root").agg(F.min("least").alias("component_id"))
