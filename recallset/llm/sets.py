@@ -150,11 +150,11 @@ def groups_of(rows: DataFrame, keys: list[str], columns: list[str], function, sc
     return in_python(rows.select(*keys, *columns).repartition(*keys).sortWithinPartitions(*keys, *columns), run, schema)
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Parity sketches: each token flips one of SKETCH_BITS bits, so two sketches differ in no more bits than the sets in tokens."""
-    out = np.zeros((len(sets), SKETCH_BITS // 64), np.uint64)
+def sketches(sets: list[np.ndarray], bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity sketches: each token flips one of `bits` bits, so two sketches differ in no more bits than the sets in tokens."""
+    out = np.zeros((len(sets), bits // 64), np.uint64)
     for i, tokens in enumerate(sets):
-        parity = np.bincount((mixed(tokens) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+        parity = np.bincount((mixed(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
         out[i] = np.packbits(parity.astype(np.uint8)).view(np.uint64)
     return out
 

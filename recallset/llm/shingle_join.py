@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import bitmap, held, repeated
 from .common import Scratch, in_python, stored
-from .sets import components, groups_of, ids_matrix, mixed, runs, set_id, shared_tokens, shingle_sets, sketches, spread, text_parts
+from .sets import components, groups_of, ids_matrix, mixed, set_id, shared_tokens, shingle_sets, sketches, spread, text_parts
 
 #: Documents of a cluster are sent to the scan of texts by broadcast up to so many rows of 40 bytes, else by a shuffled join.
 BROADCAST_ROWS = 500_000
@@ -21,6 +22,8 @@ BROADCAST_ROWS = 500_000
 SEEN_SETS = 200_000
 #: Keys that several sets have are marked in a bitmap of 2 to this power bits, 16 MB, before ids are sent under them.
 KEY_BITS = 27
+#: The sets of a key are held against each other if it has no more than this.
+WINDOW = 1024
 
 
 class Threshold:
@@ -69,8 +72,8 @@ class Threshold:
         return out
 
 
-def buckets(tokens: np.ndarray, rule: Threshold, edges: list[int]) -> list[np.ndarray]:
-    """The keys under which a set looks for partners; linked sets that are not equal share at least one.
+def buckets(tokens: np.ndarray, rule: Threshold, edges: list[int]) -> list[tuple[int, np.ndarray]]:
+    """The keys under which a set looks for partners, by the least size of each join; linked sets that are not equal share at least one.
 
     A set is in the join of its own band and in that of the band below. The join of band k cuts the space of tokens
     into more segments than a linked pair can differ in tokens, so that two linked sets agree in one (see `cut`). A segment's sketch
@@ -86,7 +89,7 @@ def buckets(tokens: np.ndarray, rule: Threshold, edges: list[int]) -> list[np.nd
             continue
         if rule.most(edges[k + 1] - 1) == 1:
             whole = np.bitwise_xor.reduce(tokens)
-            out.append(mixed(np.append(tokens ^ whole, whole)))
+            out.append((edges[k], mixed(np.append(tokens ^ whole, whole) ^ np.uint64(k))))
             continue
         segments, spare = rule.cut(edges[k], edges[k + 1] - 1)
         at = ((tokens >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
@@ -96,7 +99,7 @@ def buckets(tokens: np.ndarray, rule: Threshold, edges: list[int]) -> list[np.nd
         if segments - len(filled) > spare:
             empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), filled)
             filled, parity = np.concatenate([filled, empty]), np.concatenate([parity, np.zeros(len(empty), np.uint64)])
-        out.append(mixed(parity ^ mixed((filled + np.uint64(1)) * np.uint64(1_000_003) + np.uint64(k))))
+        out.append((edges[k], mixed(parity ^ mixed((filled + np.uint64(1)) * np.uint64(1_000_003) + np.uint64(k)))))
     return out
 
 
@@ -129,11 +132,11 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     spark = docs.sparkSession
     rows = stored(shingled(docs, width), "shingled")
     with Scratch(spark) as scratch:
-        shared = spark.sparkContext.broadcast(bitmap(repeated(in_python(docs.select("text"), bucketed(rule, width, None), "key long, set_id binary")), KEY_BITS))
+        shared = spark.sparkContext.broadcast(bitmap(repeated(in_python(docs.select("text"), bucketed(rule, width, None), "key long")), KEY_BITS))
         scratch.free()
-        keys = in_python(docs.select("text"), bucketed(rule, width, shared), "key long, set_id binary")
+        keys = in_python(docs.select("text"), bucketed(rule, width, shared), "key long, set_id binary, n int, sketch binary")
         keys = keys.repartition("key").sortWithinPartitions("key", "set_id")
-        clusters = components(in_python(keys, stars, "a binary, b binary"), scratch)
+        clusters = components(in_python(keys, lambda batches: within(batches, rule), "a binary, b binary"), scratch)
         scratch.free()
         first = rows.filter("set_id IS NOT NULL").select(F.col("set_id").alias("node"), "doc_id", "text_hash").join(clusters, "node")
         first = scratch.stored(first.groupBy("node", "root").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).select("root", F.col("node").alias("id"), "at.*"), "cluster-members")
@@ -154,13 +157,14 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 
 
 def bucketed(rule: Threshold, width: int, shared: Broadcast[np.ndarray] | None):
-    """From texts rows (key, set_id), each set once while a task remembers it; only keys marked as `shared`, or without marks keys without ids."""
+    """From texts rows (key, set_id, n, sketch), each set once while a task remembers it; only keys marked as `shared`, or without
+    marks the keys alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         edges = rule.edges(1 << 10)
         for part in text_parts(batches, 0):
-            keys, ids = [], []
+            keys, owners = [], []
             for tokens in shingle_sets(part.column(0), width):
                 if len(tokens) >= edges[-1]:
                     edges = rule.edges(len(tokens))
@@ -170,40 +174,102 @@ def bucketed(rule: Threshold, width: int, shared: Broadcast[np.ndarray] | None):
                 if len(seen) > SEEN_SETS:
                     seen.clear()
                 seen.add(this)
-                own = buckets(tokens, rule, edges)
-                if own:
-                    keys.append(np.concatenate(own))
-                    ids.append(this)
+                for low, own in buckets(tokens, rule, edges):
+                    if shared is not None:
+                        own = own[held(shared.value, own)]
+                    if len(own):
+                        keys.append(own)
+                        if shared is not None:
+                            owners.append((this, len(tokens), sketches([tokens], sketch_bits(low))[0].tobytes()))
             if not keys:
                 continue
-            sizes, flat = [len(k) for k in keys], np.concatenate(keys)
+            flat = pa.array(np.concatenate(keys).view(np.int64))
             if shared is None:
-                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.nulls(len(flat), pa.binary())], ["key", "set_id"])
+                yield pa.RecordBatch.from_arrays([flat], ["key"])
                 continue
-            keep = held(shared.value, flat)
-            owners = np.repeat(np.frombuffer(b"".join(ids), "V16"), sizes)[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[keep].view(np.int64)), _binary(owners)], ["key", "set_id"])
+            ids, sizes, bits = zip(*owners, strict=True)
+            row = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            columns = [pa.array(ids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())]
+            whole = pa.RecordBatch.from_arrays([flat, *(c.take(row) for c in columns)], ["key", "set_id", "n", "sketch"])
+            for at in range(0, len(flat), 20_000):
+                yield whole.slice(at, 20_000)
 
     return run
 
 
-def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (key, id) in order, an edge from each id of a key to the key's first id. Of a key that goes on in the next batch its first id is kept."""
-    last: tuple[int, np.ndarray] | None = None
+def sketch_bits(low: int) -> int:
+    """Bits of the sketches in the join of sets of `low` tokens and more: enough for unlike sets to differ in more bits than linked ones may."""
+    return 1 << min(max(low.bit_length(), 7), 11)
+
+
+def within(batches: Iterator[pa.RecordBatch], rule: Threshold) -> Iterator[pa.RecordBatch]:
+    """From rows (key, set_id, n, sketch) in order, edges (a, b) that connect the sets of a key which links can connect.
+
+    Each set is held against all others of its key by size and sketch. A key with more than WINDOW sets gives an edge from each to its
+    first one, so nothing is lost and no more rows than that are held.
+    """
+    rest, far = None, None  # rows of a key that may go on; key and first id of one that is too long
     for batch in batches:
-        if not batch.num_rows:
+        if rest is not None:
+            batch, rest = pa.concat_batches([rest, batch]), None
+        batch = _distinct(batch)
+        key = batch.column(0).to_numpy()
+        if far is not None:
+            same = int(np.searchsorted(key != far[0], True))
+            yield _edges(batch.column(1).slice(0, same), pa.array([far[1]] * same, pa.binary()))
+            batch, key = batch.slice(same), key[same:]
+        if not len(key):
             continue
-        key, ids = batch.column(0).to_numpy(), ids_matrix(batch.column(1))
-        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        heads = ids[start]
-        if last is not None and last[0] == key[0]:
-            heads[0] = last[1]
-        last = int(key[-1]), heads[-1]
-        head = np.repeat(heads, np.diff(np.append(start, len(key))), axis=0)
-        edge = np.flatnonzero((ids != head).any(1))
-        edge = edge[np.append(True, (ids[edge][1:] != ids[edge][:-1]).any(1) | (head[edge][1:] != head[edge][:-1]).any(1))] if len(edge) else edge
-        if len(edge):
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(edge)), _binary(np.ascontiguousarray(head[edge]).view("V16").ravel())], ["a", "b"])
+        far, last = None, int(np.argmax(key == key[-1]))
+        if len(key) - last > WINDOW:
+            far = int(key[-1]), batch.column(1)[last].as_py()
+        else:
+            batch, rest = batch.slice(0, last), batch.slice(last)
+        yield from _near(batch, rule)
+    if rest is not None:
+        yield from _near(rest, rule)
+
+
+def _distinct(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows in order without repeated ones; several tasks may have sent a set under a key."""
+    key, ids = batch.column(0).to_numpy(), ids_matrix(batch.column(1))
+    return batch.filter(pa.array(np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]).any(1)))) if len(key) else batch
+
+
+def _near(batch: pa.RecordBatch, rule: Threshold) -> Iterator[pa.RecordBatch]:
+    """Edges of whole runs of equal keys; rows of one key have sketches of one length."""
+    lengths = pc.binary_length(batch.column(3)).to_numpy()
+    for length in np.unique(lengths).tolist():
+        part = batch.filter(pa.array(lengths == length))
+        key, n = part.column(0).to_numpy(), part.column(2).to_numpy()
+        bits = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint64).reshape(len(key), -1)
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(begin, len(key)))
+        place = np.arange(len(key)) - np.repeat(begin, size)
+        long_ = np.flatnonzero(np.repeat(size > WINDOW, size) & (place > 0))
+        one, two = [long_], [long_ - place[long_]]
+        own = np.repeat(size <= WINDOW, size)
+        root = np.arange(len(key))  # a row that edges connect with this one
+        for back in range(1, int(size[size <= WINDOW].max(initial=1))):
+            i = np.flatnonzero(own & (place >= back))
+            i = i[root[i] != root[i - back]]
+            most = (100 - rule.percent) * np.minimum(n[i], n[i - back]) // rule.percent
+            fits = np.abs(n[i] - n[i - back]) <= most
+            i, most = i[fits], most[fits]
+            i = i[np.bitwise_count(bits[i] ^ bits[i - back]).sum(1) <= most]
+            if not len(i):
+                continue
+            one.append(i)
+            two.append(i - back)
+            x, y = root[i], root[i - back]
+            root[np.maximum(x, y)] = np.minimum(x, y)
+            while (root[root] != root).any():
+                root = root[root]
+        yield _edges(part.column(1).take(pa.array(np.concatenate(one))), part.column(1).take(pa.array(np.concatenate(two))))
+
+
+def _edges(a: pa.Array, b: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -229,10 +295,6 @@ def _tokens(members: DataFrame, width: int) -> DataFrame:
     return in_python(members, run, "root binary, id binary, tokens binary")
 
 
-def _binary(ids: np.ndarray) -> pa.Array:
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(ids), [None, pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
-
-
 def tree(group: pa.RecordBatch, rule: Threshold) -> Iterator[pa.RecordBatch]:
     """Edges that connect exactly those members of a group (root, p, q, own, id, tokens) that links connect.
 

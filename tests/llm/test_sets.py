@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def test_linked_sets_share_a_bucket(percent):
             whole = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
             more = rule.most(n)
             other = np.unique(np.concatenate([whole, draw.integers(0, 1 << 63, more, dtype=np.uint64)]))
-            a, b = (set(np.concatenate(shingle_join.buckets(x, rule, edges)).tolist()) for x in (whole, other))
+            a, b = (set(np.concatenate([own for _, own in shingle_join.buckets(x, rule, edges)]).tolist()) for x in (whole, other))
             assert a & b, n
 
 
@@ -121,6 +122,35 @@ def test_components_are_told_apart_without_ids(spark):
     assert len(got) == 8 and (None, None) in got and rows[8] in got
 
 
+@pytest.mark.parametrize("window", [4, 1024])
+@pytest.mark.parametrize("cut", [1, 3, 1000])
+def test_sets_of_a_key(monkeypatch, window, cut):
+    """Edges of a key connect what links connect, whatever the batches; a key of too many sets connects all of them."""
+    monkeypatch.setattr(shingle_join, "WINDOW", window)
+    draw, rule = np.random.default_rng(5), shingle_join.Threshold(80)
+    tokens, rows = {}, []
+    for key, groups in enumerate([[2], [1, 3], [1, 1], [5, 2, 3, 1, 6], [3]]):
+        for size in groups:
+            base = draw.integers(0, 1 << 63, 90, dtype=np.uint64)
+            for _ in range(size):
+                own = np.unique(np.append(base, draw.integers(0, 1 << 63, 5, dtype=np.uint64)))
+                tokens[sets.set_id(own)] = own
+                rows += [(key, sets.set_id(own), len(own), sets.sketches([own], 128)[0].tobytes())] * 2
+    rows.sort()
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.int32(), pa.binary()), strict=True)], ["key", "set_id", "n", "sketch"])
+    root = {i: i for i in tokens}
+    for out in shingle_join.within((batch.slice(i, cut) for i in range(0, len(rows), cut)), rule):
+        for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            old, new = root[a], root[b]
+            root = {k: new if v == old else v for k, v in root.items()}
+    for key in range(5):
+        own = sorted({r[1] for r in rows if r[0] == key})
+        for a in own:
+            for b in own:
+                linked = rule.links(len(tokens[a]), len(tokens[b]), sets.shared_tokens(tokens[a], tokens[b]))
+                assert (root[a] == root[b]) == (linked or len(own) > window)
+
+
 def test_filters_keep_columns(docs):
     lines = line_dedup.without_later_lines(docs)
     assert lines.columns == docs.columns
