@@ -7,6 +7,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ NEVER = 1 << 60
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
 #: Pieces kept with their ids, twice so many for each Python worker: a full cache becomes the old one.
 CACHE_PIECES = 120_000
-#: Words up to so many bytes are merged many at once, longer ones singly.
-SHORT = 48
+#: Words up to so many bytes are merged many at once, longer ones singly, and from the second size on by a heap in place of scans.
+SHORT, LONG = 48, 512
 
 
 class WordBpe:
@@ -77,6 +78,31 @@ class WordBpe:
                 ranks[i - 1] = get(parts[i - 1] << 32 | parts[i], NEVER)
         return parts
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """`merge` for a long word: parts linked to their neighbours and a heap of (rank, place, pair). Entries whose parts have
+        changed since are passed over."""
+        parts = [*map(self.first.__getitem__, word[:-1]), self.last[word[-1]]]
+        get, made, n = self.pairs.get, self.made, len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pairs = [a << 32 | b for a, b in zip(parts, parts[1:], strict=False)]
+        heap = [(self.pairs[pair], i, pair) for i, pair in enumerate(pairs) if pair in self.pairs]
+        heapify(heap)
+        while heap:
+            rank, i, pair = heappop(heap)
+            j = after[i]
+            if parts[i] < 0 or j == n or parts[i] << 32 | parts[j] != pair:
+                continue
+            parts[i], parts[j] = int(made[rank]), -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+            for left, right in ((i, k), (before[i], i)):
+                if left >= 0 and right < n:
+                    pair = parts[left] << 32 | parts[right]
+                    if (rank := get(pair)) is not None:
+                        heappush(heap, (rank, left, pair))
+        return [p for p in parts if p >= 0]
+
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids; an id under 0 is no part."""
         key = left << 32 | right
@@ -85,7 +111,7 @@ class WordBpe:
 
     def merge_many(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """`merge` for many words, one row of parts and one of ranks for each, a merge in every row at a time."""
-        found = {w: self.merge(w) for w in words if len(w) > SHORT}
+        found = {w: self.merge(w) if len(w) <= LONG else self.merge_long(w) for w in words if len(w) > SHORT}
         short = sorted((w for w in words if len(w) <= SHORT), key=len)
         first, last = np.array(self.first), np.array(self.last)
         for at in range(0, len(short), 4096):

@@ -193,3 +193,13 @@ def test_decontamination_of_frequent_words(spark):
     assert {r.n_hit for r in decontaminate.report(spark.createDataFrame(texts, "doc_id long, text string"), none).collect()} == {0}
     plan = decontaminate.report(spark.createDataFrame(texts, "doc_id long, text string"), none)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_words():
+    """A word without white space is merged as by the library, in time that does not grow with its square."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.WordBpe(path)
+    letters = np.random.default_rng(3).choice(list("etaoinshrdlu"), 400_000)
+    for word in ("a" * 100_001, "".join(letters), "ab" * 300, "".join(letters[: bpe.LONG + 1]), "é" * 700):
+        assert own.encode([word]) == [library.encode(word, add_special_tokens=False).ids]
+        assert own.merge(word[:600].encode()) == own.merge_long(word[:600].encode())
