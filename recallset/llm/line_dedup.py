@@ -13,6 +13,7 @@ is the order by rarity; the other 48 bits are a hash. Lines are told apart by 12
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +23,11 @@ from .common import Scratch, ascii_lower, stored
 WIDTH = 5
 #: Word counts are kept in 2 to this power cells, each of the words whose hashes have the same low bits; the rarity of a word is its cell's.
 CELL_BITS = 16
-#: Letters outside ASCII that `lower` would change.
-OTHER_CAPITALS = r"[\P{ASCII}&&[\p{IsUppercase}\p{Lt}]]"
+REST = 64 - CELL_BITS
+#: A letter outside ASCII that `lower` would change. Only characters outside ASCII are looked up in the classes.
+OTHER_CAPITAL = r"[^\x00-\x7F](?<=[\p{IsUppercase}\p{Lt}])"
+#: ASCII white space but the space and the line end, and two spaces; each is searched as bytes.
+ODD_SPACES = ["\t", "\x0b", "\x0c", "\r", "  "]
 LINE = ["h", "g"]
 
 
@@ -36,53 +40,54 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def with_words(rows: DataFrame) -> DataFrame:
-    """Column `line_text` as `words`: in lower case, one space between words and none around them."""
-    low = F.when(F.col("line_text").rlike(OTHER_CAPITALS), ascii_lower(F.col("line_text"))).otherwise(F.lower("line_text"))
-    spaced = F.when(F.col("_low").rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace("_low", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("_low"))
-    return rows.withColumn("_low", low).withColumn("words", F.trim(spaced)).drop("_low", "line_text")
+def in_lower(rows: DataFrame, text: str) -> DataFrame:
+    """Column `text` with A-Z in lower case and all else as it is: by `lower` where that changes no other letter."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    return rows.withColumn(text, F.when(ascii_only | ~F.col(text).rlike(OTHER_CAPITAL), F.lower(text)).otherwise(ascii_lower(F.col(text))))
+
+
+def plain(rows: DataFrame, text: str) -> DataFrame:
+    """Column `text` in lower case, with one space for each run of white space within a line."""
+    odd = reduce(Column.__or__, (F.col(text).contains(c) for c in ODD_SPACES))
+    return in_lower(rows, text).withColumn(text, F.when(odd, F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(F.col(text)))
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_hash, line, words) of each line with at least `min_words` words."""
-    lines = keyed(docs).select("doc_id", "text_hash", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "line_text"))
+    """(doc_id, text_hash, line, words) of each line with at least `min_words` words, one space between words and none around them."""
+    lines = plain(keyed(docs), "text").select("doc_id", "text_hash", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "words"))
     enough = F.size(F.split("words", " ", min_words)) >= min_words if min_words > 1 else F.lit(True)
-    return with_words(lines).filter((F.col("words") != "") & enough)
+    return lines.withColumn("words", F.trim("words")).filter((F.col("words") != "") & enough)
 
 
 def cell_of(key: Column) -> Column:
     return key.bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int")
 
 
-def rarity(docs: DataFrame, min_words: int) -> Column:
-    """A literal array of the rank of each cell of words, 0 for the rarest: at most 2 ** CELL_BITS rows reach the driver."""
-    words = lines_of(docs, min_words).select(F.explode(F.split("words", " ")).alias("word"))
+def rarity(docs: DataFrame) -> Column:
+    """A literal array with the rank of each cell of words in the upper bits, the rarest first: at most 2 ** CELL_BITS rows reach the driver.
+
+    Words are counted where single spaces and line ends part them. The few that other white space parts are ranked by their cell
+    all the same: a rank orders tokens, and any order that all lines share finds the same pairs.
+    """
+    words = in_lower(docs.select("text"), "text").select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word"))
     counts = {r.cell: r.n for r in words.groupBy(cell_of(F.xxhash64("word")).alias("cell")).agg(F.count("*").alias("n")).collect()}
-    ranks = [0] * (1 << CELL_BITS)
+    ranks, half = [0] * (1 << CELL_BITS), 1 << (CELL_BITS - 1)
     for rank, cell in enumerate(sorted(range(1 << CELL_BITS), key=lambda c: counts.get(c, 0))):
-        ranks[cell] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+        ranks[cell] = (rank - half) << REST
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
 
-def tokens_of(words: Column, ranks: Column) -> Column:
-    """The distinct tokens of a line, rarest first; of a line of fewer words than a shingle the one token of all.
+def with_tokens(rows: DataFrame, ranks: Column) -> DataFrame:
+    """Column `tokens`: the distinct tokens of `words`, rarest first; of a line of fewer words than a shingle the one token of all.
 
     Each word becomes one number, its rank above a part of its hash; a shingle is the least rank of its words above a hash of their numbers.
     """
-    rest, half = 64 - CELL_BITS, 1 << (CELL_BITS - 1)
-
-    def numbered(word: Column) -> Column:
-        return let(F.xxhash64(word), lambda h: F.shiftleft(F.element_at(ranks, cell_of(h) + 1).cast("long") - half, rest).bitwiseOR(F.shiftrightunsigned(h, CELL_BITS)))
-
-    def shingles(w: Column) -> Column:
-        def shingle(i: Column) -> Column:
-            own = [F.get(w, i + k) for k in range(WIDTH)]
-            rank = F.shiftleft(F.shiftright(F.least(*own), rest), rest)
-            return rank.bitwiseOR(F.shiftrightunsigned(F.xxhash64(*own), CELL_BITS))
-
-        return F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - WIDTH, F.lit(0))), shingle)))
-
-    return let(F.transform(F.split(words, " "), numbered), shingles)
+    hashes = F.transform(F.split("words", " "), lambda w: F.xxhash64(w))
+    numbers = F.transform(hashes, lambda h: F.get(ranks, cell_of(h)).bitwiseOR(F.shiftrightunsigned(h, CELL_BITS)))
+    windows = F.transform("_numbers", lambda x, i: F.array(x, *[F.get("_numbers", i + k) for k in range(1, WIDTH)]))  # `slice` would copy the line each time
+    ranked = F.transform(windows, lambda w: F.array_min(w).bitwiseAND(F.lit(-1 << REST)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), CELL_BITS)))
+    whole = F.slice(ranked, F.lit(1), F.greatest(F.size("_numbers") - (WIDTH - 1), F.lit(1)))
+    return rows.withColumn("_numbers", numbers).withColumn("tokens", F.sort_array(F.array_distinct(whole))).drop("_numbers")
 
 
 def place(doc_id: str = "doc_id") -> Column:
@@ -96,13 +101,13 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
     them; those without a similar earlier line after that, with all earlier ones that size and position allow.
     """
     with Scratch(docs.sparkSession) as scratch:
-        ranks = rarity(docs, min_words)
+        ranks = rarity(docs)
         size = F.size("tokens")
         most = size - F.ceil(size * percent / F.lit(100)).cast("int") + 1
         # a longer line of one token repeats one word, however often; its first words stand for it
         told = F.when(size > 1, F.col("words")).otherwise(F.substring_index("words", " ", WIDTH))
         ids = [F.xxhash64("told").alias("h"), F.xxhash64(F.lit(1), "told").alias("g")]
-        lines = lines_of(docs, min_words).select("doc_id", "text_hash", "line", "words", tokens_of(F.col("words"), ranks).alias("tokens"))
+        lines = with_tokens(lines_of(docs, min_words), ranks)
         lines = lines.withColumn("told", told).select("doc_id", "text_hash", "line", *ids, size.alias("n"), F.when(size > 1, F.slice("tokens", 1, most)).alias("prefix"))
         lines = scratch.stored(lines, "lines")
 
@@ -152,10 +157,10 @@ def _members(docs: DataFrame, named: DataFrame, ranks: Column) -> DataFrame:
     found = keyed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
 
     def picked(lines: Column) -> Column:
-        return F.transform("_lines", lambda w: F.struct(w["h"].alias("h"), w["g"].alias("g"), w["first"].alias("first"), F.get(lines, w["first"]["line"]).alias("line_text")))
+        return F.transform("_lines", lambda w: F.struct(w["h"].alias("h"), w["g"].alias("g"), w["first"].alias("first"), F.get(lines, w["first"]["line"]).alias("words")))
 
     found = found.select(F.explode(let(F.split("text", "\n"), picked)).alias("own")).select("own.*").dropDuplicates(LINE)
-    return with_words(found).select(*LINE, "first", tokens_of(F.col("words"), ranks).alias("tokens"))
+    return with_tokens(plain(found, "words").withColumn("words", F.trim("words")), ranks).select(*LINE, "first", "tokens")
 
 
 def _later(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
