@@ -255,6 +255,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             n, ids, text = zip(*found, strict=True) if found else ((), (), ())
             columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(text, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        tok.old = ({}, {})  # between tasks a worker keeps the newer cache only
 
     return in_python(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,9 +71,22 @@ class Scratch:
 
 
 def in_python(rows: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow with this package importable on the executors."""
+    """mapInArrow with this package importable on the executors. A worker, which lives on for other tasks, gives back free memory after each."""
     ship_package(rows.sparkSession)
-    return rows.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return rows.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold free to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def ascii_lower(text: Column) -> Column:
