@@ -7,13 +7,14 @@ the index is declared. Entries stay where they are; they move once, when they ar
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -137,14 +138,25 @@ def code_ranges(store: DataFrame, spec: StoreSpec) -> DataFrame:
     return parts.groupBy("i").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
+def of_size(v: pa.Array, dimensions: int, measure: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """``measure`` of the vectors of the right size, NULL for all others.
+
+    Spark may ask for the result before the condition on the size has held, even for a literal NULL: it infers conditions from joins.
+    """
+    fits = pc.fill_null(pc.equal(pc.list_value_length(v), dimensions), False)
+    if len(v) == fits.true_count:
+        return measure(v)
+    at = pc.subtract(pc.cumulative_sum(fits.cast(pa.int64())), 1)
+    return measure(v.filter(fits)).take(pc.if_else(fits, at, None))
+
+
 def closest(spark: SparkSession, centroids: np.ndarray, vector: Column, n: int) -> Column:
-    """Array of the ``n`` nearest lists, nearest first; NULL for a vector without direction."""
+    """Array of the ``n`` nearest lists, nearest first; NULL for a vector of another size or without direction."""
     ship_package(spark)
     shared = spark.sparkContext.broadcast(centroids)
     n = min(n, len(centroids))
 
-    @F.arrow_udf("array<int>")
-    def lists(v: pa.Array) -> pa.Array:
+    def measure(v: pa.Array) -> pa.Array:
         found, usable = closest_lists(v, shared.value, n)
         offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * n, pa.int32())
         values = pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int32()))
@@ -152,6 +164,10 @@ def closest(spark: SparkSession, centroids: np.ndarray, vector: Column, n: int)
             [x if ok else None for x, ok in zip(values.to_pylist(), usable)], pa.list_(pa.int32())
         )
 
+    @F.arrow_udf("array<int>")
+    def lists(v: pa.Array) -> pa.Array:
+        return of_size(v, shared.value.shape[1], measure)
+
     return lists(vector)
 
 
@@ -160,7 +176,7 @@ def encoded(spark: SparkSession, low: np.ndarray, high: np.ndarray, vector: Colu
 
     @F.arrow_udf("binary")
     def codes(v: pa.Array) -> pa.Array:
-        return encode(v, low, high)
+        return of_size(v, len(low), lambda fit: encode(fit, low, high))
 
     return codes(vector)
 
