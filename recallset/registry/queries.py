@@ -524,7 +524,8 @@ def change_log(spark: SparkSession, sf: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """A stream over all embeddings, each replacing its own stored row."""
     schema = fx.table(spark, sf, "embeddings").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(sf)
+    # a pattern, so that the table may be a file or a folder of files
+    arriving = spark.readStream.schema(schema).parquet(f"{sf}/embeddings.parque[t]")
     items = arriving.select(
         F.col("vec_id").cast("string").alias("id"),
         F.reverse("embedding").alias("vector"),
