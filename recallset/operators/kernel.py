@@ -124,8 +124,20 @@ class _Conditions:
         return code
 
 
+def _owners(queries: Queries) -> tuple[np.ndarray, np.ndarray]:
+    """Per query row the number of its query, and per query its first row. Rows of one ``q_id`` and limit, as of several lists to
+    scan, are one query."""
+    if pa.types.is_nested(queries.q_id.type):
+        rows = np.arange(len(queries.limits))
+        return rows, rows
+    code = pc.dictionary_encode(queries.q_id, null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    pair = np.stack([code.astype(np.int64), queries.limits], axis=1)
+    _, first, owner = np.unique(pair, axis=0, return_index=True, return_inverse=True)
+    return owner.reshape(-1), first
+
+
 class LocalNearest:
-    """Keeps, per query row, the nearest ``limit`` corpus rows seen so far."""
+    """Keeps, per query, the nearest ``limit`` corpus rows seen so far."""
 
     def __init__(self, queries: Queries, strict: bool, tie_by_order: bool, digits: int | None = None):
         self.q = queries
@@ -138,7 +150,9 @@ class LocalNearest:
         self.q_unit, usable = unit_singles(queries.vectors)
         if strict and not usable.all():
             raise ValueError("the vector distance is not a finite number: a query vector has no direction")
-        self.bound = np.full(len(queries.limits), np.inf)
+        self.owner, self.first = _owners(queries)
+        self.limits = queries.limits[self.first]
+        self.bound = np.full(len(self.limits), np.inf)
         self.hits: list[tuple] = []
         self.buffered = 0
         self.conditions = self._conditions(usable)
@@ -181,10 +195,10 @@ class LocalNearest:
                 approx = 1.0 - self.q_unit[qs] @ unit[rs].T
                 if order is not None:
                     approx[order[rs][None, :] >= self.q.before[qs][:, None]] = np.inf
-                limit = self.bound[qs]
                 if len(rs) > k:
                     kth = np.partition(approx, k - 1, axis=1)[:, k - 1].astype(np.float64)
-                    limit = self.bound[qs] = np.minimum(limit, kth + self.margin)
+                    np.minimum.at(self.bound, self.owner[qs], kth + self.margin)
+                limit = self.bound[self.owner[qs]]
                 reach = (limit + self.margin).astype(np.float32)
                 near = (approx <= reach[:, None]) & (approx < np.inf)
                 if np.count_nonzero(near) > CROWD + 4 * int(self.q.limits[qs].sum()):
@@ -192,7 +206,7 @@ class LocalNearest:
                     near[:, some[self._late_copies(batch, vectors, order, rs[some], k)]] = False
                 qi, ri = np.nonzero(near)
                 self._measure(batch, vectors, order, qs[qi], rs[ri])
-                if self.buffered > BUFFERED_HITS + 4 * int(self.q.limits.sum()):
+                if self.buffered > BUFFERED_HITS + 2 * int(self.limits.sum()):
                     self._compact()
 
     def _measure(self, batch, vectors, order, qi, ri) -> None:
@@ -205,6 +219,7 @@ class LocalNearest:
             distance = cosine_distances(dot, square, self.q_square[q])
             if self.digits is not None:
                 distance = np.round(distance, self.digits)
+            q = self.owner[q]
             keep = distance <= self.bound[q]
             q, r, distance = q[keep], r[keep], distance[keep]
             if not len(q):
@@ -245,7 +260,7 @@ class LocalNearest:
         by = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in ["q", "distance", *ties]])
         sorted_q = q[by.to_numpy()]
         place = np.arange(len(sorted_q)) - np.searchsorted(sorted_q, sorted_q)
-        limits = self.q.limits[sorted_q]
+        limits = self.limits[sorted_q]
         keep = place < limits
         at = by.to_numpy()[keep]
         last = by.to_numpy()[place == limits - 1]
@@ -315,7 +330,7 @@ def nearest_in_batches(
     table = local.result()
     if table is None:
         return
-    q = pa.array(table.column("q").to_numpy())
+    q = pa.array(local.first[table.column("q").to_numpy()])
     out = pa.table(
         {
             "q_id": queries.q_id.take(q),

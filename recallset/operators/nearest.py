@@ -20,9 +20,16 @@ from .kernel import Queries, nearest_in_batches
 # What one task may hold. Beyond these bounds the queries are cut into blocks and shuffled.
 BLOCK_BYTES = 64 << 20
 BLOCK_HITS = 1 << 20
+# Every task of a scan answers all queries that are sent to it, so the hits to merge grow with both.
+SENT_HITS = 1 << 16
+# Rows have keys and ids besides their vector, hits little else.
+NAME_BYTES = 64
+MIXED_KEYS = 256
+PAIRS_PER_TASK = 1 << 22
 BROADCAST_KEYS = 100_000
 MERGE_ROWS = 1 << 20
 MAX_SHARES = 1024
+UNKNOWN_BYTES = 1 << 62
 GROUP_BATCH_ROWS = 16_384
 
 
@@ -65,7 +72,7 @@ def nearest(
 
     ``broadcast`` sends the queries to every task and leaves the corpus where it is. ``shuffle``
     cuts both sides into pieces of bounded size that meet in one task each; a hot key is cut too.
-    ``auto`` broadcasts if the queries and their hits fit the given bounds. With ``digits``, distances are
+    ``auto`` broadcasts if the queries and their hits fit the given bounds and are few. With ``digits``, distances are
     rounded before they are ranked, so that rounding noise does not come before the id.
     """
     ship_package(corpus.sparkSession)
@@ -78,6 +85,7 @@ def nearest(
         *[F.col(_quoted(c)).alias(c) for c in (*fields, *extra)],
     )
     task = Task(dimensions, tuple(fields), before, strict, ranges, digits)
+    bounded = False
     if method in ("auto", "broadcast"):
         most = max(block_bytes // (8 * dimensions + 64), 1)
         # every task sums its own queries and sends one row; they are fetched only once they are known to be few
@@ -89,14 +97,16 @@ def nearest(
         few = n <= most and named <= block_bytes
         if method == "broadcast" and not few:
             raise ValueError(f"more than {most} queries, or more than {block_bytes} bytes of their names and filters, cannot be broadcast")
-        if method == "broadcast" or (few and wanted <= block_hits):
+        bounded = wanted <= block_hits
+        if method == "broadcast" or (few and wanted <= min(block_hits, SENT_HITS)):
             table = queries.toArrow()
             found = _broadcast(corpus, queries.schema, table, task)
             largest = max(table.column("limit").to_pylist(), default=0)
             fan = math.ceil(largest * _scan_tasks(corpus) / MERGE_ROWS)
-            return Hits(_ranked(found, before, fan), wanted <= block_hits)
+            return Hits(_ranked(found, before, fan), bounded)
+        bounded = bounded and few
     found, fan = _shuffled(corpus, queries, task, block_bytes, block_hits)
-    return Hits(_ranked(found, before, fan), False)
+    return Hits(_ranked(found, before, fan), bounded)
 
 
 def _octets(name: str) -> Column:
@@ -121,8 +131,13 @@ def _found_schema(queries: T.StructType) -> T.StructType:
 
 
 def _scan_tasks(corpus: DataFrame) -> int:
-    """About how many tasks a scan of the corpus takes; decides the shape of the merge, no result."""
-    size = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """About how many tasks a scan of the corpus takes; decides the shape of the merge, no result.
+
+    What the tables hold is added up: the estimate of a join is the product of its sides.
+    """
+    leaves = corpus._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(x for x in sizes if x < UNKNOWN_BYTES)
     per_task = corpus.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128MB")
     return max(size // _bytes(per_task), 1)
 
@@ -185,8 +200,9 @@ def _shuffled(
             task._replace(fields=on),
             on,
             schema,
-            max(block_bytes // (8 * task.dimensions), 64),
-            max(min(block_bytes // (8 * task.dimensions), block_hits // row["most"], 4096), 1),
+            block_bytes,
+            block_hits,
+            row["most"],
         )
         parts.append(piece)
         fan = max(fan, math.ceil(shards * row["most"] / MERGE_ROWS))
@@ -195,22 +211,48 @@ def _shuffled(
     return reduce(DataFrame.unionByName, parts), fan
 
 
+def _value_bytes(corpus: DataFrame) -> int:
+    """Bytes of one value of a vector: a byte in codes, else as it is stored."""
+    kind = corpus.schema["vector"].dataType
+    return 1 if isinstance(kind, T.BinaryType) else 4 if isinstance(kind.elementType, T.FloatType) else 8
+
+
+def grid(rows: int, queries: int, row_bytes: int, query_bytes: int, most_rows: int, least_blocks: int, tasks: int) -> tuple[int, int]:
+    """Shards of the rows and blocks of the queries, every shard to meet every block, that move the fewest bytes.
+
+    A shard holds ``most_rows`` at most, there are ``least_blocks`` or more, and ``tasks`` pairs of both or more.
+    """
+    def moved(at: tuple[int, int]) -> int:
+        return at[1] * rows * row_bytes + at[0] * queries * query_bytes
+
+    least = max(math.ceil(rows / most_rows), 1)
+    shapes = [(s, max(least_blocks, math.ceil(tasks / s), 1)) for s in range(least, max(least, tasks) + 1)]
+    return min(shapes, key=moved)
+
+
 def _met(
     corpus: DataFrame,
     queries: DataFrame,
     task: Task,
     on: tuple[str, ...],
     schema: T.StructType,
-    group_rows: int,
-    group_queries: int,
+    block_bytes: int,
+    block_hits: int,
+    most: int,
 ) -> tuple[DataFrame, int]:
     """Let every piece of rows meet every piece of queries under the same key; also the most shards of a key.
 
     Keys share hash buckets of about ``group_rows`` rows. A key with more rows, or more queries, than
-    a quarter of that is cut into shards, or blocks; each shard then meets each block.
+    a quarter of that is cut into shards, or blocks; each shard then meets each block. Where few keys are asked for, and
+    queries ask for several of them, rows and queries are cut regardless of keys if that moves fewer bytes: a query then
+    has its hits of all keys in one task, and sends only the nearest of them.
     """
     known = reduce(lambda a, b: a & b, [F.col(_quoted(f)).isNotNull() for f in on], F.lit(True))
     keys = [f"k{i}" for i in range(len(on))] or ["k0"]
+    row_bytes, query_bytes = _value_bytes(corpus) * task.dimensions + NAME_BYTES, 8 * task.dimensions + NAME_BYTES
+    group_rows = max(block_bytes // row_bytes, 64)
+    most_queries = max(block_bytes // query_bytes, 1)
+    group_queries = max(min(most_queries, block_hits // most), 1)
 
     def keyed(frame: DataFrame) -> DataFrame:
         if not on:
@@ -230,15 +272,27 @@ def _met(
             }
         )
     )
+    hit_bytes = most * NAME_BYTES
     totals = sizes.agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.sum("n_rows").alias("rows"),
         F.sum("n_queries").alias("queries"),
         F.max("shards").alias("shards"),
+        F.sum(F.col("n_rows") * F.col("blocks") * row_bytes + F.col("n_queries") * F.col("shards") * (query_bytes + hit_bytes)).alias("moved"),
     ).first()
     if not totals["n_keys"]:
         return corpus.sparkSession.createDataFrame([], schema), 1
-    buckets = max(math.ceil(totals["rows"] / group_rows), math.ceil(totals["queries"] / group_queries))
+    n_rows, n_queries = totals["rows"], totals["queries"]
+    tasks = min(corpus.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows * n_queries / PAIRS_PER_TASK))
+    if totals["n_keys"] <= MIXED_KEYS:
+        asking = n_queries if not on else max(min(queries.agg(F.approx_count_distinct("q_id")).first()[0], n_queries), 1)
+        least_blocks = max(math.ceil(n_queries / most_queries), math.ceil(asking / max(block_hits // most, 1)))
+        per_query = query_bytes + hit_bytes * asking // n_queries
+        shards, blocks = grid(n_rows, n_queries, row_bytes, per_query, group_rows, least_blocks, tasks)
+        if not on or blocks * n_rows * row_bytes + shards * n_queries * per_query < totals["moved"]:
+            sizes = sizes.withColumns({"shards": F.lit(shards), "blocks": F.lit(blocks)})
+            return _cogrouped(corpus, queries, task, schema, sizes.select(*keys, "shards", "blocks"), keys, "inner", True, 0), shards
+    buckets = max(math.ceil(n_rows / group_rows), math.ceil(n_queries / group_queries), tasks)
     cut = sizes.select(*keys, "shards", "blocks")
     how = "inner"
     if totals["n_keys"] > BROADCAST_KEYS:
@@ -249,12 +303,30 @@ def _met(
         small = cut.count() <= BROADCAST_KEYS
     else:
         small = True
+    return _cogrouped(corpus, queries, task, schema, cut, keys, how, small, buckets), totals["shards"]
+
+
+def _cogrouped(
+    corpus: DataFrame,
+    queries: DataFrame,
+    task: Task,
+    schema: T.StructType,
+    cut: DataFrame,
+    keys: list[str],
+    how: str,
+    small: bool,
+    buckets: int,
+) -> DataFrame:
+    """What the groups of a hash bucket, a shard and a block find; without ``buckets`` all keys are in one.
+
+    ``cut`` has the shards and blocks of the keys, and with an inner join no other keys take part.
+    """
     cut = F.broadcast(cut) if small else cut
 
     def placed(frame: DataFrame, name: str, own: str, other: str, unique: str) -> DataFrame:
         n_own, n_other = (F.coalesce(c, F.lit(1)) for c in (own, other))
         spread: dict[str, Column] = {
-            "g_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)),
+            "g_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)) if buckets else F.lit(0).cast("bigint"),
             f"g_{name}": F.pmod(F.xxhash64(unique), n_own).cast("int"),
         }
         meets = "g_block" if name == "shard" else "g_shard"
@@ -281,5 +353,5 @@ def _met(
             return pa.table(empty, schema=arrow_schema)
         return pa.Table.from_batches(found).cast(arrow_schema)
 
-    return left.cogroup(right).applyInArrow(run, schema), totals["shards"]
+    return left.cogroup(right).applyInArrow(run, schema)
 
