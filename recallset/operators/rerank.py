@@ -15,29 +15,42 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..session import checkpointed, ship_package
 from .kernel import cosine_distances, matrix, sum_products
 
-#: About how many candidates meet in one task.
-GROUP_PAIRS = 1 << 18
+#: About how many candidates, and how many vectors, meet in one task.
+GROUP_PAIRS = 1 << 20
+GROUP_VECTORS = 1 << 17
+#: Fewer candidates than these are not worth a task of their own.
+LEAST_PAIRS = 1 << 16
 
 
 def measured(
-    candidates: DataFrame, vectors: DataFrame, queries: DataFrame, dimensions: int, group_pairs: int = GROUP_PAIRS
+    candidates: DataFrame,
+    vectors: DataFrame,
+    queries: DataFrame,
+    dimensions: int,
+    group_pairs: int = GROUP_PAIRS,
+    group_vectors: int = GROUP_VECTORS,
 ) -> DataFrame:
     """``(q_id, limit, doc_key, id, distance)``: per task and query the ``limit`` nearest of its candidates.
 
     ``candidates`` has ``q_id, doc_key``, ``vectors`` ``doc_key, id, vector`` once for each key, ``queries`` ``q_id, qv, limit``.
-    Vectors are dealt by key; a query goes, with the keys it asks for, to the tasks that hold some of them. Where a key is a candidate of very
-    many queries those are dealt to several tasks, each with the vectors. Candidates without a vector are left out.
+    Keys are dealt to shards, queries to blocks; a task has the vectors of a shard and the queries of a block, with the keys they ask for.
+    There are as many blocks as the shard with the most candidates or the cores need, so a vector is sent once per block and a query once per shard,
+    not once for each of its candidates. Candidates without a vector are left out.
     """
     ship_package(vectors.sparkSession)
     candidates = checkpointed(candidates.select("q_id", "doc_key"))
-    by_key = candidates.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n"))
-    n, most = by_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    blocks, parts = max(1, math.ceil(n / group_pairs)), max(1, math.ceil(most / group_pairs))
-    block, part = F.pmod(F.xxhash64("doc_key"), F.lit(blocks)).cast("int"), F.pmod(F.xxhash64("q_id"), F.lit(parts)).cast("int")
+    by_key = checkpointed(candidates.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n")))
+    n_keys, n = by_key.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    blocks = max(1, math.ceil(n_keys / group_vectors))
+    tasks = min(vectors.sparkSession.sparkContext.defaultParallelism, math.ceil(n / LEAST_PAIRS))
+    block = F.pmod(F.xxhash64("doc_key"), F.lit(blocks)).cast("int")
+    most = by_key.groupBy(block.alias("block")).agg(F.sum("n").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(most / group_pairs), math.ceil(tasks / blocks))
+    part = F.pmod(F.xxhash64("q_id"), F.lit(parts)).cast("int")
     asked = candidates.select("q_id", block.alias("block"), part.alias("part"), "doc_key").groupBy("block", "part", "q_id").agg(F.collect_list("doc_key").alias("keys"))
     asked = asked.join(queries.select("q_id", "qv", F.col("limit").cast("int").alias("limit")), "q_id")
-    wanted = candidates.select("doc_key").distinct()
-    held = vectors.select("doc_key", "id", "vector").join(F.broadcast(wanted) if n <= group_pairs else wanted, "doc_key", "left_semi")
+    wanted = by_key.select("doc_key")
+    held = vectors.select("doc_key", "id", "vector").join(F.broadcast(wanted) if n <= GROUP_VECTORS else wanted, "doc_key", "left_semi")
     held = held.withColumns({"block": block, "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
     schema = T.StructType(
         [T.StructField("q_id", queries.schema["q_id"].dataType), T.StructField("limit", T.IntegerType())]
@@ -57,8 +70,9 @@ def measured(
         q, at = q[there], pc.drop_null(at).to_numpy().astype(np.int64)
         stored, asking = matrix(chunk(rows, "vector"), dimensions), matrix(chunk(asked, "qv"), dimensions)
         distance = np.empty(len(q))
-        step = max((1 << 22) // dimensions, 1)
-        s_square, q_square = sum_products(stored, stored), sum_products(asking, asking)
+        step = max((1 << 21) // dimensions, 1)
+        squares = lambda vs: np.concatenate([sum_products(x, x) for x in np.array_split(vs, len(vs) // 16_384 + 1)])
+        s_square, q_square = squares(stored), squares(asking)
         for a in range(0, len(q), step):
             qs, rs = q[a : a + step], at[a : a + step]
             distance[a : a + step] = cosine_distances(sum_products(stored[rs], asking[qs]), s_square[rs], q_square[qs])
