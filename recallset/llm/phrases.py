@@ -36,6 +36,8 @@ CELL_BITS = 24
 NEVER = 255
 #: Phrases of a task that are kept in memory before they are counted and sent on.
 HELD = 8_000_000
+#: Counts are sent on in batches of so many rows: a batch stands in memory on both sides, and in Spark's outside of the heap.
+SENT_ROWS = 1 << 17
 #: Texts of phrases are first looked for in one of so many shares of the documents, then in twice as many, and so on.
 SHARES = 16
 TEXT_BYTES = 2 << 20
@@ -100,6 +102,18 @@ class Batch:
         yield 3, at[next_one], three(pairs[next_one], self.keys[at[next_one] + 2]), since
 
 
+def tallied(parts: list[np.ndarray], most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys of the parts, ascending, with how often they are there, `most` at a time. The parts are taken out of their list."""
+    most = most or SENT_ROWS
+    keys = np.concatenate(parts)
+    parts.clear()
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    for a in range(0, len(first), most):
+        own = first[a : a + most]
+        yield keys[own], np.diff(np.append(own, first[a + most] if a + most < len(first) else len(keys)))
+
+
 def counted(shard: DataFrame, known: Broadcast[np.ndarray], step: int, shards: int) -> DataFrame:
     """(key, words, start, n) of the phrases of a shard that are in their cycle at `step`, summed for each task's texts.
 
@@ -117,9 +131,10 @@ def counted(shard: DataFrame, known: Broadcast[np.ndarray], step: int, shards: i
             return pa.RecordBatch.from_arrays(columns, ["key", "words", "start", "n"])
 
         def sent() -> Iterator[pa.RecordBatch]:
-            for (words, since), parts in keys_of.items():
-                yield batch_of(words, since, *np.unique(np.concatenate(parts), return_counts=True))
-            keys_of.clear()
+            while keys_of:
+                (words, since), parts = keys_of.popitem()
+                for keys, n in tallied(parts):
+                    yield batch_of(words, since, keys, n)
 
         for part in text_parts(batches, 1, TEXT_BYTES):
             batch = Batch(part)
