@@ -5,9 +5,9 @@ are left alone. Words are runs of characters other than ASCII white space, with
 of the text, line number), NULL doc_ids last. A line is removed if the Jaccard similarity of its tokens to those of an earlier
 line, itself removed or not, is at least the threshold. Only DataFrame functions are used.
 
-Lines of equal words, and lines whose only token is the same, are one line from the start. Tokens are numbers whose upper 16 bits are
-the rank of the rarest of their words, which no shingle can be more frequent than, so that the ascending order of a line's tokens
-is the order by rarity; the other 48 bits are a hash. Lines are told apart by 128 bits of hash.
+Lines of equal words, and lines whose only token is the same, are one line from the start. Tokens are numbers whose upper 8 bits are
+the class of the rarest of their words, which no shingle can be more frequent than, so that the ascending order of a line's tokens
+is the order by rarity; the other 56 bits are a hash. Lines are told apart by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -23,12 +23,16 @@ from .common import Scratch, ascii_lower, stored
 WIDTH = 5
 #: Word counts are kept in 2 to this power cells, each of the words whose hashes have the same low bits; the rarity of a word is its cell's.
 CELL_BITS = 16
-REST = 64 - CELL_BITS
+#: Bits of a word's class of rarity, and of the hash under it.
+CLASS_BITS = 8
+REST = 64 - CLASS_BITS
 #: A letter outside ASCII that `lower` would change. Only characters outside ASCII are looked up in the classes.
 OTHER_CAPITAL = r"[^\x00-\x7F](?<=[\p{IsUppercase}\p{Lt}])"
 #: ASCII white space but the space and the line end, and two spaces; each is searched as bytes.
 ODD_SPACES = ["\t", "\x0b", "\x0c", "\r", "  "]
 LINE = ["h", "g"]
+#: Sketches have so many numbers of 64 bits, a power of two. Lines of more tokens than some 1,000 set half of all bits, and few are ruled out.
+SKETCH = 8
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -64,28 +68,30 @@ def cell_of(key: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """A literal array with the rank of each cell of words in the upper bits, the rarest first: at most 2 ** CELL_BITS rows reach the driver.
+    """A literal array with the class of each cell of words, the rarest lowest: at most 2 ** CELL_BITS rows reach the driver.
 
-    Words are counted where single spaces and line ends part them. The few that other white space parts are ranked by their cell
-    all the same: a rank orders tokens, and any order that all lines share finds the same pairs.
+    Classes are eighths of powers of two, in one byte: plans spell their literals out, and the driver keeps the plans of all steps.
+    Words are counted where single spaces and line ends part them. The few that other white space parts are classed by their cell
+    all the same: a class orders tokens, and any order that all lines share finds the same pairs.
     """
     words = in_lower(docs.select("text"), "text").select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word"))
-    counts = {r.cell: r.n for r in words.groupBy(cell_of(F.xxhash64("word")).alias("cell")).agg(F.count("*").alias("n")).collect()}
-    ranks, half = [0] * (1 << CELL_BITS), 1 << (CELL_BITS - 1)
-    for rank, cell in enumerate(sorted(range(1 << CELL_BITS), key=lambda c: counts.get(c, 0))):
-        ranks[cell] = (rank - half) << REST
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    counts = words.groupBy(cell_of(F.xxhash64("word")).alias("cell")).agg(F.count("*").alias("n"))
+    found = counts.select("cell", (F.least(F.floor(8 * F.log2(F.col("n") + 1)), F.lit(255)) - 128).cast("int").alias("class")).toArrow()
+    classes = [-128] * (1 << CELL_BITS)
+    for cell, own in zip(found.column("cell").to_pylist(), found.column("class").to_pylist(), strict=True):
+        classes[cell] = own
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
-def with_tokens(rows: DataFrame, ranks: Column) -> DataFrame:
+def with_tokens(rows: DataFrame, classes: Column) -> DataFrame:
     """Column `tokens`: the distinct tokens of `words`, rarest first; of a line of fewer words than a shingle the one token of all.
 
-    Each word becomes one number, its rank above a part of its hash; a shingle is the least rank of its words above a hash of their numbers.
+    Each word becomes one number, its class above a part of its hash; a shingle is the lowest class of its words above a hash of their numbers.
     """
     hashes = F.transform(F.split("words", " "), lambda w: F.xxhash64(w))
-    numbers = F.transform(hashes, lambda h: F.get(ranks, cell_of(h)).bitwiseOR(F.shiftrightunsigned(h, CELL_BITS)))
+    numbers = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, cell_of(h)).cast("long"), REST).bitwiseOR(F.shiftrightunsigned(h, CLASS_BITS)))
     windows = F.transform("_numbers", lambda x, i: F.array(x, *[F.get("_numbers", i + k) for k in range(1, WIDTH)]))  # `slice` would copy the line each time
-    ranked = F.transform(windows, lambda w: F.array_min(w).bitwiseAND(F.lit(-1 << REST)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), CELL_BITS)))
+    ranked = F.transform(windows, lambda w: F.array_min(w).bitwiseAND(F.lit(-1 << REST)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), CLASS_BITS)))
     whole = F.slice(ranked, F.lit(1), F.greatest(F.size("_numbers") - (WIDTH - 1), F.lit(1)))
     return rows.withColumn("_numbers", numbers).withColumn("tokens", F.sort_array(F.array_distinct(whole))).drop("_numbers")
 
@@ -98,16 +104,16 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
     """(doc_id, text_hash, line) of each removed line, once for rows that repeat doc_id and text.
 
     The prefix of a line's tokens is dealt out by token. Lines under the same token are first compared with the first of
-    them; those without a similar earlier line after that, with all earlier ones that size and position allow.
+    them; those without a similar earlier line after that, with all other earlier ones that size, position and sketch allow.
     """
     with Scratch(docs.sparkSession) as scratch:
-        ranks = rarity(docs)
+        classes = rarity(docs)
         size = F.size("tokens")
         most = size - F.ceil(size * percent / F.lit(100)).cast("int") + 1
         # a longer line of one token repeats one word, however often; its first words stand for it
         told = F.when(size > 1, F.col("words")).otherwise(F.substring_index("words", " ", WIDTH))
         ids = [F.xxhash64("told").alias("h"), F.xxhash64(F.lit(1), "told").alias("g")]
-        lines = with_tokens(lines_of(docs, min_words), ranks)
+        lines = with_tokens(lines_of(docs, min_words), classes)
         lines = lines.withColumn("told", told).select("doc_id", "text_hash", "line", *ids, size.alias("n"), F.when(size > 1, F.slice("tokens", 1, most)).alias("prefix"))
         lines = scratch.stored(lines, "lines")
 
@@ -117,29 +123,37 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> Dat
         dealt = sets.select("h", at.alias("at"), "n", F.posexplode("prefix").alias("pos", "token")).select("token", "at", "h", "n", (F.col("n") - F.col("pos")).alias("rest"))
         order = Window.partitionBy("token").orderBy("at", "h")
         head = F.first(F.struct("h", "n", "rest")).over(order)
-        met = dealt.withColumn("head", head).withColumn("more", F.lead("h").over(order).isNotNull())
+        after, before = F.lead("h").over(order).isNotNull(), F.lag("h").over(order).isNotNull()
+        met = dealt.withColumn("head", head).withColumn("more", after)
+        met = met.withColumn("crowd", before & after | F.lag("h", 2).over(order).isNotNull())  # neither the first nor alone with it
         met = scratch.stored(met.filter(F.col("more") | (F.col("h") != F.col("head.h"))).drop("more"), "met")
-        scratch.free()
-
         del sets, dealt
-        narrow = scratch.stored(lines.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines")), "line-places")
-        wanted = met.select("h").distinct()
-        members = scratch.stored(_members(docs, narrow.join(wanted, "h", "left_semi"), ranks), "line-members")
         scratch.free()
 
+        places = scratch.stored(lines.select("doc_id", "text_hash", "line", *LINE), "line-places")
+        scratch.drop(lines)
+        narrow = scratch.stored(places.groupBy(*LINE).agg(F.min(place()).alias("first"), F.count("*").alias("lines")), "first-places")
         fits = _fits(F.col("n"), F.col("rest"), F.col("head.n"), F.col("head.rest"), percent)
-        pairs = met.filter((F.col("h") != F.col("head.h")) & fits).select(F.col("h").alias("x"), F.col("head.h").alias("y")).distinct()
-        matched = scratch.stored(_later(pairs, members, percent), "matched-first")
+        firsts = scratch.stored(met.filter((F.col("h") != F.col("head.h")) & fits).select(F.col("h").alias("x"), F.col("head.h").alias("y")).distinct(), "pairs-first")
+        crowd = met.filter("crowd").select("token", "at", "h", "n", "rest")
+        wanted = firsts.select(F.explode(F.array("x", "y")).alias("h")).unionByName(crowd.select("h")).distinct()
+        members = scratch.stored(_members(docs, narrow.join(wanted, "h", "left_semi"), classes), "line-members")
+        scratch.free()
+
+        matched = scratch.stored(_later(firsts, members, percent), "matched-first")
+        crowd = scratch.stored(crowd.join(_sketches(members.join(crowd.select("h").distinct(), "h", "left_semi")), "h"), "crowd")
+        scratch.drop(met)
+        scratch.free()
 
-        open_ = met.join(matched.select("h").distinct(), "h", "left_anti").select("token", *(F.col(c).alias(f"x_{c}") for c in ("at", "h", "n", "rest")), F.col("head.h").alias("head"))
-        other = met.select("token", *(F.col(c).alias(f"y_{c}") for c in ("at", "h", "n", "rest")))
-        fits = _fits(F.col("x_n"), F.col("x_rest"), F.col("y_n"), F.col("y_rest"), percent)
+        open_ = crowd.join(matched.select("h").distinct(), "h", "left_anti")
+        open_, other = (side.select("token", *(F.col(c).alias(f"{name}_{c}") for c in crowd.columns if c != "token")) for side, name in ((open_, "x"), (crowd, "y")))
+        fits = _fits(F.col("x_n"), F.col("x_rest"), F.col("y_n"), F.col("y_rest"), percent) & _near("x", "y", percent)
         earlier = (F.col("y_at") <= F.col("x_at")) & (F.col("y_h") != F.col("x_h")) & fits
         pairs = open_.join(other, "token").filter(earlier).select(F.col("x_h").alias("x"), F.col("y_h").alias("y")).distinct()
         matched = matched.unionByName(_later(pairs, members, percent)).distinct().withColumn("matched", F.lit(True))
 
         repeated = narrow.join(matched, LINE, "left").filter("lines > 1 OR matched")
-        found = lines.select("doc_id", "text_hash", "line", *LINE).join(repeated, LINE)
+        found = places.join(repeated, LINE)
         found = found.filter(F.coalesce("matched", F.lit(False)) | (place() != F.col("first")))
         found = stored(found.select("doc_id", "text_hash", "line").distinct(), "removed-lines")
         scratch.free()
@@ -151,7 +165,22 @@ def _fits(n: Column, rest: Column, other_n: Column, other_rest: Column, percent:
     return F.least(rest, other_rest).cast("long") * (100 + percent) >= (n + other_n).cast("long") * percent
 
 
-def _members(docs: DataFrame, named: DataFrame, ranks: Column) -> DataFrame:
+def _sketches(members: DataFrame) -> DataFrame:
+    """(h, s0, s1, ...) per line: bits, each the parity of the number of the line's tokens that are hashed to it."""
+    tokens = members.select(*LINE, F.explode("tokens").alias("token"))
+    bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
+    word = F.shiftright("token", 6).bitwiseAND(F.lit(SKETCH - 1))
+    sums = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)]
+    return tokens.groupBy(*LINE).agg(*sums).drop("g")
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether the sketches of two lines let them be similar: bits that differ are no more than tokens that only one of the lines has."""
+    differ = reduce(Column.__add__, (F.bit_count(F.col(f"{x}_s{k}").bitwiseXOR(F.col(f"{y}_s{k}"))) for k in range(SKETCH)))
+    return differ.cast("long") * (100 + percent) <= (F.col(f"{x}_n") + F.col(f"{y}_n")).cast("long") * (100 - percent)
+
+
+def _members(docs: DataFrame, named: DataFrame, classes: Column) -> DataFrame:
     """(h, g, first, tokens) of the lines that `named` places. A document meets all its lines at once and is cut once."""
     wanted = named.groupBy(F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash")).agg(F.collect_list(F.struct(*LINE, "first")).alias("_lines"))
     found = keyed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
@@ -160,7 +189,7 @@ def _members(docs: DataFrame, named: DataFrame, ranks: Column) -> DataFrame:
         return F.transform("_lines", lambda w: F.struct(w["h"].alias("h"), w["g"].alias("g"), w["first"].alias("first"), F.get(lines, w["first"]["line"]).alias("words")))
 
     found = found.select(F.explode(let(F.split("text", "\n"), picked)).alias("own")).select("own.*").dropDuplicates(LINE)
-    return with_tokens(plain(found, "words").withColumn("words", F.trim("words")), ranks).select(*LINE, "first", "tokens")
+    return with_tokens(plain(found, "words").withColumn("words", F.trim("words")), classes).select(*LINE, "first", "tokens")
 
 
 def _later(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
