@@ -15,6 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PAIRS_PER_STEP = 1 << 21
+PAIRS_AT_ONCE = 512
+# Queries and pairs of a tile, whose products stay in a core's cache.
+TILE_QUERIES = 512
+TILE_PAIRS = 1 << 18
 BUFFERED_HITS = 1 << 12
 CROWD = 1 << 12
 WILDCARD = -2
@@ -44,6 +48,21 @@ def sum_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.cumsum(products, axis=1, out=products)[:, -1]
 
 
+def pair_products(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray) -> np.ndarray:
+    """:func:`sum_products` of the rows ``at`` of ``a`` and ``bt`` of ``b``. A few pairs at a time are copied to where the next ones go too."""
+    n, dimensions = len(at), a.shape[1]
+    out = np.empty(n)
+    left, right = (np.empty((PAIRS_AT_ONCE, dimensions), x.dtype) for x in (a, b))
+    across = np.zeros((dimensions, PAIRS_AT_ONCE))
+    for i in range(0, n, PAIRS_AT_ONCE):
+        m = min(PAIRS_AT_ONCE, n - i)
+        np.take(a, at[i : i + m], axis=0, out=left[:m], mode="clip")
+        np.take(b, bt[i : i + m], axis=0, out=right[:m], mode="clip")
+        across[:, :m] = np.multiply(left[:m], right[:m], dtype=np.float64).T
+        out[i : i + m] = np.add.reduce(across, axis=0)[:m]  # one dimension after the other, as all columns are added at once
+    return out
+
+
 def unit_singles(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Vectors at about unit length in single precision, and which of them have a direction."""
     square = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
@@ -152,9 +171,12 @@ class LocalNearest:
             raise ValueError("the vector distance is not a finite number: a query vector has no direction")
         self.owner, self.first = _owners(queries)
         self.limits = queries.limits[self.first]
+        self.wanted = int(self.limits.sum())
         self.bound = np.full(len(self.limits), np.inf)
         self.hits: list[tuple] = []
         self.buffered = 0
+        self.pending: list[tuple] = []
+        self.n_pending = 0
         self.conditions = self._conditions(usable)
 
     def _conditions(self, usable: np.ndarray) -> list[_Conditions]:
@@ -183,31 +205,84 @@ class LocalNearest:
             for part in np.split(rows, cuts):
                 if len(part):
                     self._match(batch, vectors, unit, order, part, condition.groups[code[part[0]]])
+        self._settle(batch, vectors, order, 0)
 
     def _match(self, batch, vectors, unit, order, rows, asked) -> None:
-        width = min(len(asked), 4096)
-        height = max(PAIRS_PER_STEP // width, 1)
+        """Note the rows that can be among the nearest of the queries ``asked``, a tile of both after the other.
+
+        What a tile finds is kept by number and single-precision product only, until there is twice as much as the queries want:
+        their bounds are then set by the best of it, and what lies beyond them goes.
+        """
+        whole = len(rows) == len(unit)
+        width = min(len(asked), TILE_QUERIES)
+        height = max(TILE_PAIRS // width, 1)
         for a in range(0, len(asked), width):
             qs = asked[a : a + width]
-            k = int(self.q.limits[qs].max())
+            owners, local = np.unique(self.owner[qs], return_inverse=True)
+            k, wanted = int(self.q.limits[qs].max()), int(self.q.limits[qs].sum())
+            asking = self.q_unit[qs]
+            dots, near = np.empty(len(qs) * height, np.float32), np.empty(len(qs) * height, bool)
+            reach = self._reach(qs)
+            found, n_found = [], 0
             for b in range(0, len(rows), height):
                 rs = rows[b : b + height]
-                approx = 1.0 - self.q_unit[qs] @ unit[rs].T
+                shape = len(qs), len(rs)
+                dot, hit = (x[: len(qs) * len(rs)].reshape(shape) for x in (dots, near))
+                np.matmul(asking, (unit[b : b + height] if whole else unit[rs]).T, out=dot)
                 if order is not None:
-                    approx[order[rs][None, :] >= self.q.before[qs][:, None]] = np.inf
-                if len(rs) > k:
-                    kth = np.partition(approx, k - 1, axis=1)[:, k - 1].astype(np.float64)
-                    np.minimum.at(self.bound, self.owner[qs], kth + self.margin)
-                limit = self.bound[self.owner[qs]]
-                reach = (limit + self.margin).astype(np.float32)
-                near = (approx <= reach[:, None]) & (approx < np.inf)
-                if np.count_nonzero(near) > CROWD + 4 * int(self.q.limits[qs].sum()):
-                    some = np.flatnonzero(near.any(axis=0))
-                    near[:, some[self._late_copies(batch, vectors, order, rs[some], k)]] = False
-                qi, ri = np.nonzero(near)
-                self._measure(batch, vectors, order, qs[qi], rs[ri])
-                if self.buffered > BUFFERED_HITS + 2 * int(self.limits.sum()):
-                    self._compact()
+                    dot[order[rs][None, :] >= self.q.before[qs][:, None]] = -np.inf
+                np.greater_equal(dot, reach[:, None], out=hit)
+                n = np.count_nonzero(hit)
+                if n > CROWD + 2 * wanted and len(rs) > k:
+                    kth = np.partition(dot, len(rs) - k, axis=1)[:, len(rs) - k].astype(np.float64)
+                    np.minimum.at(self.bound, self.owner[qs], 1.0 - kth + self.margin)
+                    reach = self._reach(qs)
+                    np.greater_equal(dot, reach[:, None], out=hit)
+                    n = np.count_nonzero(hit)
+                if n > CROWD + 4 * wanted:
+                    some = np.flatnonzero(hit.any(axis=0))
+                    hit[:, some[self._late_copies(batch, vectors, order, rs[some], k)]] = False
+                at = _true(hit)
+                if not len(at):
+                    continue
+                qi, ri = np.divmod(at, len(rs))
+                found.append((qi, rs[ri], dot.reshape(-1)[at]))
+                n_found += len(at)
+                if n_found > BUFFERED_HITS + 2 * wanted:
+                    qi, ri, d = (np.concatenate(x) for x in zip(*found))
+                    kth = _kth(local[qi], -d, self.limits[owners])
+                    self.bound[owners] = np.minimum(self.bound[owners], 1.0 + kth + self.margin)
+                    reach = self._reach(qs)
+                    keep = d >= reach[qi]
+                    found, n_found = [(qi[keep], ri[keep], d[keep])], np.count_nonzero(keep)
+                    if n_found > BUFFERED_HITS + 3 * wanted // 2:  # a crowd of about equal rows: their ids decide
+                        self._measure(batch, vectors, order, qs[qi[keep]], ri[keep])
+                        found, n_found = [], 0
+                        reach = self._reach(qs)
+            if found:
+                qi, ri, d = (np.concatenate(x) for x in zip(*found))
+                self.pending.append((qs[qi], ri, d))
+                self.n_pending += len(qi)
+                if self.n_pending > BUFFERED_HITS + 3 * self.wanted:
+                    self._settle(batch, vectors, order, BUFFERED_HITS + 2 * self.wanted)
+
+    def _settle(self, batch, vectors, order, most: int) -> None:
+        """Drop pending rows that lie beyond the bounds, and measure the others if there are more than ``most``."""
+        if not self.n_pending:
+            return
+        q, r, d = (np.concatenate(x) for x in zip(*self.pending))
+        self.pending, self.n_pending = [], 0
+        self.bound = np.minimum(self.bound, 1.0 + _kth(self.owner[q], -d, self.limits) + self.margin)
+        keep = d >= self._reach(q)
+        q, r, d = q[keep], r[keep], d[keep]
+        if len(q) > most:
+            self._measure(batch, vectors, order, q, r)
+        else:
+            self.pending, self.n_pending = [(q, r, d)], len(q)
+
+    def _reach(self, qs: np.ndarray) -> np.ndarray:
+        """The least product of unit vectors, per query row, that can be a hit; more than minus infinity."""
+        return np.maximum(1.0 - (self.bound[self.owner[qs]] + self.margin), -2.0).astype(np.float32)
 
     def _measure(self, batch, vectors, order, qi, ri) -> None:
         step = max(PAIRS_PER_STEP // self.dimensions, 1)
@@ -215,7 +290,7 @@ class LocalNearest:
             q, r = qi[a : a + step], ri[a : a + step]
             rows, back = np.unique(r, return_inverse=True)
             square = sum_products(vectors[rows], vectors[rows])[back]
-            dot = sum_products(vectors[r], self.q.vectors[q])
+            dot = pair_products(vectors, r, self.q.vectors, q)
             distance = cosine_distances(dot, square, self.q_square[q])
             if self.digits is not None:
                 distance = np.round(distance, self.digits)
@@ -235,6 +310,24 @@ class LocalNearest:
                 )
             )
             self.buffered += len(q)
+            if self.buffered > BUFFERED_HITS + 2 * self.wanted:
+                self._prune()
+                if self.buffered > BUFFERED_HITS + 3 * self.wanted // 2:
+                    self._compact()
+
+    def _prune(self) -> None:
+        """Drop hits beyond the ``limit`` nearest of their query, but not those about as far as the last of these."""
+        q, distance = (np.concatenate([h[i] for h in self.hits]) for i in (0, 1))
+        kth = _kth(q, distance.astype(np.float32), self.limits)
+        self.bound = np.minimum(self.bound, kth + self.margin)
+        kept = []
+        for h in self.hits:
+            keep = h[1] <= self.bound[h[0]]
+            took = pa.array(keep)
+            kept.append((h[0][keep], h[1][keep], h[2].filter(took), h[3].filter(took), h[4][keep]))
+        q, distance, doc_key, id_, order = zip(*kept)
+        self.hits = [(np.concatenate(q), np.concatenate(distance), pa.concat_arrays(doc_key), pa.concat_arrays(id_), np.concatenate(order))]
+        self.buffered = len(self.hits[0][0])
 
     def _late_copies(self, batch, vectors, order, rows, most) -> np.ndarray:
         """Which rows have at least ``most`` equal rows before them in tie order; they can never be a hit."""
@@ -256,14 +349,19 @@ class LocalNearest:
         id_ = pa.concat_arrays([h[3] for h in self.hits])
         order = np.concatenate([h[4] for h in self.hits])
         table = pa.table({"q": q, "distance": distance, "ord": order, "id": id_, "doc_key": doc_key})
-        ties = ["ord", "id", "doc_key"] if self.tie_by_order else ["id", "doc_key"]
-        by = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in ["q", "distance", *ties]])
-        sorted_q = q[by.to_numpy()]
+        by = np.lexsort((distance, q))
+        sorted_q, sorted_distance = q[by], distance[by]
+        tied = np.flatnonzero((sorted_q[1:] == sorted_q[:-1]) & (sorted_distance[1:] == sorted_distance[:-1]))
+        if len(tied):  # only they need the names
+            tied = np.union1d(tied, tied + 1)
+            ties = ["ord", "id", "doc_key"] if self.tie_by_order else ["id", "doc_key"]
+            keys = [(c, "ascending") for c in ["q", "distance", *ties]]
+            by[tied] = by[tied][pc.sort_indices(table.take(pa.array(by[tied])), sort_keys=keys).to_numpy()]
         place = np.arange(len(sorted_q)) - np.searchsorted(sorted_q, sorted_q)
         limits = self.limits[sorted_q]
         keep = place < limits
-        at = by.to_numpy()[keep]
-        last = by.to_numpy()[place == limits - 1]
+        at = by[keep]
+        last = by[place == limits - 1]
         self.bound[q[last]] = np.minimum(self.bound[q[last]], distance[last])
         took = pa.array(at)
         self.hits = [(q[at], distance[at], doc_key.take(took), id_.take(took), order[at])]
@@ -274,6 +372,28 @@ class LocalNearest:
         return self._compact()
 
 
+def _true(mask: np.ndarray) -> np.ndarray:
+    """Where a contiguous mask holds, counted through all its rows. Eight values at a time are looked at first."""
+    flat = mask.reshape(-1)
+    n = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:n].view(np.uint64)) * 8
+    at = (words[:, None] + np.arange(8)).reshape(-1)
+    return np.concatenate([at[flat[at]], np.flatnonzero(flat[n:]) + n])
+
+
+def _kth(group: np.ndarray, value: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Per group the ``limit``-th smallest of its values, which are in single precision; infinite for a group that has fewer."""
+    bits = value.view(np.uint32)
+    bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))  # in the order of the values
+    key = np.sort((group.astype(np.uint64) << np.uint64(32)) | bits)
+    counts = np.bincount(group, minlength=len(limits))
+    full = counts >= limits
+    last = (key[(np.cumsum(counts) - counts + limits - 1)[full]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    out = np.full(len(limits), np.inf)
+    out[full] = np.where(last >> 31, last ^ np.uint32(1 << 31), ~last).view(np.float32)
+    return out
+
+
 def _copy_groups(vectors: np.ndarray) -> np.ndarray:
     """A group number for every row that has an equal row among these, -1 for the others."""
     bits = np.ascontiguousarray(vectors).view(f"u{vectors.itemsize}").astype(np.uint64)

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import checkpointed, ship_package
 from .kernel import Queries, nearest_in_batches
+from .packs import met, ordered, packed, together, unpacked
 
 # What one task may hold. Beyond these bounds the queries are cut into blocks and shuffled.
 BLOCK_BYTES = 64 << 20
@@ -30,7 +33,9 @@ BROADCAST_KEYS = 100_000
 MERGE_ROWS = 1 << 20
 MAX_SHARES = 1024
 UNKNOWN_BYTES = 1 << 62
-GROUP_BATCH_ROWS = 16_384
+GROUP_BATCH_ROWS = 1 << 17
+# Hits of several shards are written, sorted and ranked again, which costs more than their bytes.
+HIT_COST = 4
 
 
 class Hits(NamedTuple):
@@ -63,6 +68,7 @@ def nearest(
     method: str = "auto",
     block_bytes: int = BLOCK_BYTES,
     block_hits: int = BLOCK_HITS,
+    listed: bool = False,
 ) -> Hits:
     """The ``limit`` nearest corpus rows per query by cosine distance, then by id.
 
@@ -73,7 +79,8 @@ def nearest(
     ``broadcast`` sends the queries to every task and leaves the corpus where it is. ``shuffle``
     cuts both sides into pieces of bounded size that meet in one task each; a hot key is cut too.
     ``auto`` broadcasts if the queries and their hits fit the given bounds and are few. With ``digits``, distances are
-    rounded before they are ranked, so that rounding noise does not come before the id.
+    rounded before they are ranked, so that rounding noise does not come before the id. With ``listed``, the rows are
+    ``(q_id, keys)``: all keys of a query in one row, nearest first.
     """
     ship_package(corpus.sparkSession)
     extra = [before] if before else []
@@ -103,10 +110,12 @@ def nearest(
             found = _broadcast(corpus, queries.schema, table, task)
             largest = max(table.column("limit").to_pylist(), default=0)
             fan = math.ceil(largest * _scan_tasks(corpus) / MERGE_ROWS)
-            return Hits(_ranked(found, before, fan), bounded)
+            return Hits(_listed(_ranked(found, before, fan), listed), bounded)
         bounded = bounded and few
-    found, fan = _shuffled(corpus, queries, task, block_bytes, block_hits)
-    return Hits(_ranked(found, before, fan), bounded)
+    found, fan = _shuffled(corpus, queries, task, block_bytes, block_hits, listed)
+    if not fan:  # every query met all rows in one task, which has ranked them
+        return Hits(found if listed else found.select("q_id", "rank", "doc_key", "id", "distance"), bounded)
+    return Hits(_listed(_ranked(found.drop("rank"), before, fan), listed), bounded)
 
 
 def _octets(name: str) -> Column:
@@ -168,6 +177,13 @@ def _ranked(found: DataFrame, before: str | None, fan: int = 1) -> DataFrame:
     return first(found, "q_id").select("q_id", "rank", "doc_key", "id", "distance")
 
 
+def _listed(ranked: DataFrame, listed: bool) -> DataFrame:
+    if not listed:
+        return ranked
+    keys = F.array_sort(F.collect_list(F.struct("rank", "doc_key"))).getField("doc_key")
+    return ranked.groupBy("q_id").agg(keys.alias("keys"))
+
+
 def _broadcast(corpus: DataFrame, schema: T.StructType, table: pa.Table, task: Task) -> DataFrame:
     spark = corpus.sparkSession
     if not table.num_rows:
@@ -182,16 +198,17 @@ def _broadcast(corpus: DataFrame, schema: T.StructType, table: pa.Table, task: T
 
 
 def _shuffled(
-    corpus: DataFrame, queries: DataFrame, task: Task, block_bytes: int, block_hits: int
+    corpus: DataFrame, queries: DataFrame, task: Task, block_bytes: int, block_hits: int, listed: bool
 ) -> tuple[DataFrame, int]:
+    """What the tasks find, and how many tasks rank a share of it each; 0 if the ranks are right already, or the lists are."""
     shape = reduce(
         lambda total, pair: total + F.col(_quoted(pair[1])).isNotNull().cast("int") * (1 << pair[0]),
         enumerate(task.fields),
         F.lit(0),
     )
     shapes = queries.groupBy(shape.alias("shape")).agg(F.max("limit").alias("most")).collect()
-    schema = _found_schema(queries.schema)
-    parts, fan = [], 1
+    schema = T.StructType([*_found_schema(queries.schema).fields, T.StructField("rank", T.IntegerType())])
+    parts, fan = [], 0
     for row in sorted(shapes):
         on = tuple(f for i, f in enumerate(task.fields) if row["shape"] >> i & 1)
         piece, shards = _met(
@@ -203,11 +220,14 @@ def _shuffled(
             block_bytes,
             block_hits,
             row["most"],
+            listed and len(shapes) == 1,
         )
         parts.append(piece)
         fan = max(fan, math.ceil(shards * row["most"] / MERGE_ROWS))
     if not parts:
         return corpus.sparkSession.createDataFrame([], schema), 1
+    if len(parts) > 1:  # one query may have rows of several shapes
+        fan = max(fan, 1)
     return reduce(DataFrame.unionByName, parts), fan
 
 
@@ -239,8 +259,10 @@ def _met(
     block_bytes: int,
     block_hits: int,
     most: int,
+    listed: bool,
 ) -> tuple[DataFrame, int]:
-    """Let every piece of rows meet every piece of queries under the same key; also the most shards of a key.
+    """Let every piece of rows meet every piece of queries under the same key; also the most shards of a key, 0 if every query
+    meets all rows in one task.
 
     Keys share hash buckets of about ``group_rows`` rows. A key with more rows, or more queries, than
     a quarter of that is cut into shards, or blocks; each shard then meets each block. Where few keys are asked for, and
@@ -272,7 +294,7 @@ def _met(
             }
         )
     )
-    hit_bytes = most * NAME_BYTES
+    hit_bytes = most * NAME_BYTES * HIT_COST
     totals = sizes.agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.sum("n_rows").alias("rows"),
@@ -288,10 +310,13 @@ def _met(
         asking = n_queries if not on else max(min(queries.agg(F.approx_count_distinct("q_id")).first()[0], n_queries), 1)
         least_blocks = max(math.ceil(n_queries / most_queries), math.ceil(asking / max(block_hits // most, 1)))
         per_query = query_bytes + hit_bytes * asking // n_queries
-        shards, blocks = grid(n_rows, n_queries, row_bytes, per_query, group_rows, least_blocks, tasks)
-        if not on or blocks * n_rows * row_bytes + shards * n_queries * per_query < totals["moved"]:
+        # what two shards find for a query is shuffled and ranked again, so a shard may take a task's memory twice
+        shards, blocks = grid(n_rows, n_queries, row_bytes, per_query, 2 * group_rows, least_blocks, tasks)
+        alone = shards == 1 and ordered(queries.schema["q_id"].dataType)
+        if not on or blocks * n_rows * row_bytes + n_queries * (query_bytes if alone else shards * per_query) < totals["moved"]:
+            listed = listed and alone
             sizes = sizes.withColumns({"shards": F.lit(shards), "blocks": F.lit(blocks)})
-            return _cogrouped(corpus, queries, task, schema, sizes.select(*keys, "shards", "blocks"), keys, "inner", True, 0), shards
+            return _cogrouped(corpus, queries, task, schema, sizes.select(*keys, "shards", "blocks"), keys, "inner", True, 0, shards, blocks, listed), 0 if alone else shards
     buckets = max(math.ceil(n_rows / group_rows), math.ceil(n_queries / group_queries), tasks)
     cut = sizes.select(*keys, "shards", "blocks")
     how = "inner"
@@ -316,17 +341,24 @@ def _cogrouped(
     how: str,
     small: bool,
     buckets: int,
+    shards: int = 1,
+    blocks: int = 1,
+    listed: bool = False,
 ) -> DataFrame:
-    """What the groups of a hash bucket, a shard and a block find; without ``buckets`` all keys are in one.
+    """What the groups of a hash bucket, a shard and a block find; without ``buckets`` all keys are in one, and have the same
+    ``shards`` and ``blocks``.
 
     ``cut`` has the shards and blocks of the keys, and with an inner join no other keys take part.
     """
     cut = F.broadcast(cut) if small else cut
+    if not buckets:
+        asked = cut.select(*keys)
+        return _dealt(corpus.join(asked, keys, "left_semi").drop(*keys), queries.join(asked, keys, "left_semi").drop(*keys), task, schema, shards, blocks, listed)
 
     def placed(frame: DataFrame, name: str, own: str, other: str, unique: str) -> DataFrame:
         n_own, n_other = (F.coalesce(c, F.lit(1)) for c in (own, other))
         spread: dict[str, Column] = {
-            "g_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)) if buckets else F.lit(0).cast("bigint"),
+            "g_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)),
             f"g_{name}": F.pmod(F.xxhash64(unique), n_own).cast("int"),
         }
         meets = "g_block" if name == "shard" else "g_shard"
@@ -351,7 +383,79 @@ def _cogrouped(
         found = list(nearest_in_batches(rows.to_batches(GROUP_BATCH_ROWS), block, *task))
         if not found:
             return pa.table(empty, schema=arrow_schema)
-        return pa.Table.from_batches(found).cast(arrow_schema)
+        return _unranked(pa.Table.from_batches(found)).cast(arrow_schema)
 
     return left.cogroup(right).applyInArrow(run, schema)
 
+
+def _unranked(found: pa.Table) -> pa.Table:
+    return found.append_column("rank", pa.nulls(found.num_rows, pa.int32()))
+
+
+def _numbered(found: pa.Table, before: str | None) -> pa.Table:
+    """All that was found for some queries, with its ``rank``: the first ``limit`` rows in the order that :func:`_ranked` has."""
+    found = found.combine_chunks()
+    ties = ["ord", "id", "doc_key"] if before else ["id", "doc_key"]
+    q_id = found.column("q_id").chunk(0)
+    code = pc.dictionary_encode(q_id, null_encoding="encode").indices.cast(pa.int64())
+    q, limit, distance = code.to_numpy(), found.column("limit").to_numpy(), found.column("distance").to_numpy()
+    follows = (q[1:] != q[:-1]) | ((limit[1:] == limit[:-1]) & (distance[1:] >= distance[:-1]))
+    if (q[1:] < q[:-1]).any() or not follows.all() or any(found.column(c).null_count for c in ties):
+        keys = [(c, "ascending") for c in ("code", "distance", *ties)]
+        at = pc.sort_indices(found.append_column("code", code), sort_keys=keys, null_placement="at_start")
+        found, q = found.take(at), code.take(at).to_numpy()
+    rank = np.arange(len(q)) - np.searchsorted(q, q) + 1
+    found = found.append_column("rank", pa.array(rank, pa.int32()))
+    return found.filter(pc.less_equal(found.column("rank"), found.column("limit")))
+
+
+def _lists(found: pa.Table) -> pa.Table:
+    """``(q_id, keys)`` of ranked rows, which come query by query."""
+    first = np.flatnonzero(found.column("rank").to_numpy() == 1)
+    keys = found.column("doc_key").combine_chunks()
+    offsets = pa.array(np.append(first, found.num_rows), pa.int32())
+    return pa.table([found.column("q_id").take(pa.array(first)), pa.ListArray.from_arrays(offsets, keys)], ["q_id", "keys"])
+
+
+def _dealt(
+    corpus: DataFrame, queries: DataFrame, task: Task, schema: T.StructType, shards: int, blocks: int, listed: bool
+) -> DataFrame:
+    """What every shard of the rows finds for every block of the queries, each pair of both in a partition of its own.
+
+    Both sides travel as packs of rows, so that Spark copies a pack, and not each of its rows, once per block or shard. The packs
+    of the queries come first in a partition; the rows are then searched as they come. With one shard the ranks are given, or the lists
+    of keys if these are asked for.
+    """
+    if listed:
+        schema = T.StructType([schema["q_id"], T.StructField("keys", T.ArrayType(T.StringType()))])
+    arrow_schema = to_arrow_schema(schema)
+    ranked = shards == 1 and ordered(queries.schema["q_id"].dataType)
+
+    def own(unique: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(unique), F.lit(n))
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    asked = packed(queries, own("q_id", blocks), blocks).withColumn("other", each(shards)).withColumn("task", F.col("other") * blocks + F.col("own"))
+    stored = packed(corpus, own("doc_key", shards), shards).withColumn("other", each(blocks)).withColumn("task", F.col("own") * blocks + F.col("other"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packs, asked, first = unpacked(batches), [], []
+        for side, rows in packs:
+            if side:
+                first.append(rows)
+                break
+            asked.append(rows)
+        if not asked or not first:
+            return
+        block = Queries.from_table(pa.concat_tables(asked), task.dimensions, task.fields, task.before)
+        asked.clear()
+        rows = together(chain(first, (rows for _, rows in packs)), GROUP_BATCH_ROWS)
+        found = list(nearest_in_batches((b for table in rows for b in table.to_batches()), block, *task))
+        if found:
+            table = pa.Table.from_batches(found)
+            table = _numbered(table, task.before) if ranked else _unranked(table)
+            yield from (_lists(table) if listed else table).cast(arrow_schema).to_batches()
+
+    return met(shards * blocks, asked, stored).mapInArrow(run, schema)

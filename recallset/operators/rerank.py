@@ -1,19 +1,21 @@
-"""Candidates measured with full vectors: keys and vectors meet in Arrow batches, so no row holds a pair of vectors."""
+"""Candidates measured with full vectors: keys and vectors meet in packs of Arrow batches, so no row holds a pair of vectors."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import checkpointed, ship_package
-from .kernel import cosine_distances, matrix, sum_products
+from .kernel import cosine_distances, matrix, pair_products, sum_products
+from .packs import met, ordered, packed, unpacked
 
 #: About how many candidates, and how many vectors, meet in one task.
 GROUP_PAIRS = 1 << 20
@@ -32,59 +34,104 @@ def measured(
 ) -> DataFrame:
     """``(q_id, limit, doc_key, id, distance)``: per task and query the ``limit`` nearest of its candidates.
 
-    ``candidates`` has ``q_id, doc_key``, ``vectors`` ``doc_key, id, vector`` once for each key, ``queries`` ``q_id, qv, limit``.
-    Keys are dealt to shards, queries to blocks; a task has the vectors of a shard and the queries of a block, with the keys they ask for.
-    There are as many blocks as the shard with the most candidates or the cores need, so a vector is sent once per block and a query once per shard,
-    not once for each of its candidates. Candidates without a vector are left out.
+    ``candidates`` has ``q_id, doc_key``, or ``q_id, keys`` with all keys of a query in one row, ``vectors`` ``doc_key, id, vector`` once for each key, ``queries`` ``q_id, qv, limit``.
+    Keys are dealt to shards, queries to blocks; a task has the vectors of a shard, the queries of a block, and the candidates that
+    these ask for. There are as many blocks as the shard with the most candidates or the cores need, so a vector is sent once per block and a
+    query once per shard, not once for each of its candidates, and all in packs. Vectors that are no candidates are not sent, unless there
+    are more candidates than vectors. Candidates without a vector are left out.
     """
     ship_package(vectors.sparkSession)
-    candidates = checkpointed(candidates.select("q_id", "doc_key"))
-    by_key = checkpointed(candidates.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n")))
-    n_keys, n = by_key.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if "keys" not in candidates.columns:
+        candidates = candidates.groupBy("q_id").agg(F.collect_list("doc_key").alias("keys"))
+    candidates = checkpointed(candidates.filter(F.col("q_id").isNotNull()).select("q_id", "keys"))
+    vectors = vectors.select("doc_key", "id", "vector")
+    n = candidates.agg(F.coalesce(F.sum(F.size("keys").cast("bigint")), F.lit(0))).first()[0]
+    n_keys = vectors.count() if n > GROUP_VECTORS else n
+    key = F.explode("keys").alias("doc_key")
+    if n <= n_keys:
+        wanted = checkpointed(candidates.select(key).distinct())
+        n_keys = wanted.count()
+        vectors = vectors.join(F.broadcast(wanted) if n <= GROUP_VECTORS else wanted, "doc_key", "left_semi")
     blocks = max(1, math.ceil(n_keys / group_vectors))
     tasks = min(vectors.sparkSession.sparkContext.defaultParallelism, math.ceil(n / LEAST_PAIRS))
-    block = F.pmod(F.xxhash64("doc_key"), F.lit(blocks)).cast("int")
-    most = by_key.groupBy(block.alias("block")).agg(F.sum("n").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+    def shard(doc_key: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_key), F.lit(blocks)).cast("int")
+
+    most = n
+    if blocks > 1:
+        most = candidates.select(key).groupBy(shard(F.col("doc_key"))).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     parts = max(1, math.ceil(most / group_pairs), math.ceil(tasks / blocks))
     part = F.pmod(F.xxhash64("q_id"), F.lit(parts)).cast("int")
-    asked = candidates.select("q_id", block.alias("block"), part.alias("part"), "doc_key").groupBy("block", "part", "q_id").agg(F.collect_list("doc_key").alias("keys"))
-    asked = asked.join(queries.select("q_id", "qv", F.col("limit").cast("int").alias("limit")), "q_id")
-    wanted = by_key.select("doc_key")
-    held = vectors.select("doc_key", "id", "vector").join(F.broadcast(wanted) if n <= GROUP_VECTORS else wanted, "doc_key", "left_semi")
-    held = held.withColumns({"block": block, "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
+    name = F.col("q_id") if ordered(queries.schema["q_id"].dataType) else F.to_json(F.struct("q_id"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = packed(queries.filter(F.col("q_id").isNotNull()).select("q_id", name.alias("name"), "qv", F.col("limit").cast("int").alias("limit")), part, parts)
+    asked = asked.withColumn("other", each(blocks)).withColumn("task", F.col("other") * parts + F.col("own"))
+    held = packed(vectors.filter(F.col("doc_key").isNotNull()), shard(F.col("doc_key")), blocks)
+    held = held.withColumn("other", each(parts)).withColumn("task", F.col("own") * parts + F.col("other"))
+
+    def pairs_of(lists: pa.Table) -> pa.Table:
+        at = pc.list_parent_indices(lists.column("keys"))
+        own = pc.add(pc.multiply(pc.list_flatten(lists.column("own")), parts), lists.column("part").take(at))
+        return pa.table({"name": lists.column("name").take(at), "doc_key": pc.list_flatten(lists.column("keys")), "own": own})
+
+    keyed = candidates.select(name.alias("name"), F.array_compact("keys").alias("keys"), part.alias("part"))
+    pairs = packed(keyed, F.transform("keys", shard), blocks * parts, pairs_of).withColumnRenamed("own", "task")
     schema = T.StructType(
         [T.StructField("q_id", queries.schema["q_id"].dataType), T.StructField("limit", T.IntegerType())]
         + [vectors.schema["doc_key"], vectors.schema["id"], T.StructField("distance", T.DoubleType())]
     )
     arrow_schema = to_arrow_schema(schema)
 
-    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        rows, asked = rows.combine_chunks(), asked.combine_chunks()
-        if not rows.num_rows or not asked.num_rows:
-            return arrow_schema.empty_table()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides: list[list[pa.Table]] = [[], [], []]
+        for side, rows in unpacked(batches):
+            sides[side].append(rows)
+        if not all(sides):
+            return
+        asked, rows, pairs = (pa.concat_tables(tables).combine_chunks() for tables in sides)
+        sides.clear()
         chunk = lambda table, name: table.column(name).chunk(0)
-        keys = chunk(asked, "keys")
-        q = np.repeat(np.arange(asked.num_rows), pc.list_value_length(keys).to_numpy())
-        at = pc.index_in(keys.flatten(), value_set=chunk(rows, "doc_key"))
-        there = pc.is_valid(at).to_numpy(zero_copy_only=False)
-        q, at = q[there], pc.drop_null(at).to_numpy().astype(np.int64)
+        q, at = _named(chunk(asked, "name"), chunk(pairs, "name"))
+        found = pc.index_in(chunk(pairs, "doc_key"), value_set=chunk(rows, "doc_key")).take(pa.array(at))
+        there = pc.is_valid(found).to_numpy(zero_copy_only=False)
+        q, at = q[there], pc.drop_null(found).to_numpy().astype(np.int64)
+        del pairs, found
         stored, asking = matrix(chunk(rows, "vector"), dimensions), matrix(chunk(asked, "qv"), dimensions)
-        distance = np.empty(len(q))
-        step = max((1 << 21) // dimensions, 1)
         squares = lambda vs: np.concatenate([sum_products(x, x) for x in np.array_split(vs, len(vs) // 16_384 + 1)])
-        s_square, q_square = squares(stored), squares(asking)
-        for a in range(0, len(q), step):
-            qs, rs = q[a : a + step], at[a : a + step]
-            distance[a : a + step] = cosine_distances(sum_products(stored[rs], asking[qs]), s_square[rs], q_square[qs])
+        distance = cosine_distances(pair_products(stored, at, asking, q), squares(stored)[at], squares(asking)[q])
+        by = np.lexsort((distance, q))
+        limits = chunk(asked, "limit").to_numpy()
+        by = by[_within(q[by], distance[by], limits)]  # ties at the limit are all kept, and settled by their names
+        q, at, distance = q[by], at[by], distance[by]
         found = pa.table({"q": q, "distance": distance, "id": chunk(rows, "id").take(pa.array(at)), "doc_key": chunk(rows, "doc_key").take(pa.array(at))})
         found = found.take(pc.sort_indices(found, sort_keys=[(c, "ascending") for c in ("q", "distance", "id", "doc_key")]))
         q = found.column("q").to_numpy()
         limit = chunk(asked, "limit").take(pa.array(q))
         keep = pa.array(np.arange(len(q)) - np.searchsorted(q, q) < limit.to_numpy())
         columns = [chunk(asked, "q_id").take(pa.array(q)), limit, found.column("doc_key"), found.column("id"), found.column("distance")]
-        return pa.table(columns, names=schema.names).filter(keep).cast(arrow_schema)
+        yield from pa.table(columns, names=schema.names).filter(keep).cast(arrow_schema).to_batches()
+
+    return met(blocks * parts, asked, held, pairs).mapInArrow(run, schema)
+
+
+def _named(names: pa.Array, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``(q, at)`` of all pairs of equal names, ``q`` among the names, which may repeat, and ``at`` among the wanted ones."""
+    values = names.unique()
+    own = pc.index_in(names, value_set=values).to_numpy()
+    order, counts = np.argsort(own, kind="stable"), np.bincount(own, minlength=len(values))
+    code = pc.fill_null(pc.index_in(wanted, value_set=values), -1).to_numpy()
+    at = np.flatnonzero(code >= 0)
+    n = counts[code[at]]
+    first = np.repeat((np.cumsum(counts) - counts)[code[at]], n)
+    return order[first + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)], np.repeat(at, n)
+
 
-    return held.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(run, schema)
+def _within(q: np.ndarray, distance: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Which of the hits, in the order of their query and distance, are no farther than the ``limit``-th of their query."""
+    start = np.searchsorted(q, q)
+    end = np.searchsorted(q, q, side="right")
+    return distance <= distance[np.minimum(start + limits[q], end) - 1]
 
 
 def ranked(found: DataFrame) -> DataFrame:

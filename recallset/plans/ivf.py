@@ -409,10 +409,15 @@ def index_stats(index: Index, store: DataFrame) -> DataFrame:
     )
 
 
-def probe(index: Index, queries: DataFrame, n_probes: int) -> DataFrame:
-    """Queries with one row per list to scan, the nearest lists first (``probe`` counts from 0)."""
+def probe(index: Index, queries: DataFrame, n_probes: int, kept: bool = False) -> DataFrame:
+    """Queries with one row per list to scan, the nearest lists first (``probe`` counts from 0).
+
+    With ``kept``, the lists are written to the checkpoint folder, one row for each query.
+    """
     lists = closest(queries.sparkSession, index.centroids, F.col("qv"), n_probes)
-    return queries.select("*", F.posexplode(lists).alias("probe", "centroid_id"))
+    found = queries.withColumn("probed_lists", lists)
+    found = checkpointed(found) if kept else found
+    return found.select("*", F.posexplode("probed_lists").alias("probe", "centroid_id")).drop("probed_lists")
 
 
 def promised_probes(
@@ -497,7 +502,7 @@ def search_index_hits(
     if fill:
         probes = promised_probes(index, asked, n_probes, fields, filters, hidden)
     else:
-        probes = checkpointed(probe(index, asked, n_probes))
+        probes = probe(index, asked, n_probes, kept=True)
     entries = index.entries
     if fill or n_probes < len(index.centroids):
         entries = pruned(entries, probes)
@@ -517,7 +522,7 @@ def search_index_hits(
     scanned = probes.withColumn("limit", F.lit(top_n_scan)) if rerank and top_n_scan is not None else probes
     ranges = None if exact_scan else (index.low, index.high)
     found = nearest(
-        corpus, scanned, spec.dimensions, ["centroid_id", *fields], strict=strict, ranges=ranges, **how
+        corpus, scanned, spec.dimensions, ["centroid_id", *fields], strict=strict, ranges=ranges, listed=bool(rerank) and not exact_scan, **how
     )
     limits = asked.select("q_id", F.col("limit").cast("int").alias("limit"))
     rows = found.rows

@@ -365,7 +365,7 @@ def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
     """Share of the exact ten nearest that the written index finds, per number of probed lists."""
     index = _built_index(spark, sf)
     queries = fx.vector_queries(spark, sf)
-    exact = search_hits(fx.store(spark, sf), queries, SPEC, limit=10).rows.select("q_id", "doc_key")
+    exact = checkpointed(search_hits(fx.store(spark, sf), queries, SPEC, limit=10).rows.select("q_id", "doc_key"))  # read twice
     found = None
     for n in (1, 4, 16):
         hits = ivf.search_index_hits(index, queries, limit=10, n_probes=n, rerank=True, top_n_scan=100)
