@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,17 +45,19 @@ def packed(rows: DataFrame, own: Column, n_own: int, spread: Callable[[pa.Table]
     return rows.withColumn("own", own).mapInArrow(pack, "own int, pack binary")
 
 
-def met(tasks: int, *sides: DataFrame) -> DataFrame:
-    """``(side, pack)`` of packs with the number of their ``task``; a partition holds those of a task, side by side."""
+def sided(*sides: DataFrame) -> DataFrame:
+    """``(task, side, pack)`` of packs with the number of their ``task``; the sides count from 0."""
     numbered = [x.select("task", F.lit(i).alias("side"), "pack") for i, x in enumerate(sides)]
-    rows = numbered[0]
-    for more in numbered[1:]:
-        rows = rows.unionByName(more)
-    return rows.repartitionById(tasks, F.col("task")).sortWithinPartitions("side").select("side", "pack")
+    return reduce(DataFrame.unionByName, numbered)
+
+
+def met(tasks: int, *sides: DataFrame) -> DataFrame:
+    """``(side, pack)`` of :func:`sided`; a partition holds the packs of a task, one side after the other."""
+    return sided(*sides).repartitionById(tasks, F.col("task")).sortWithinPartitions("side").select("side", "pack")
 
 
 def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
-    """Side and rows of each pack of a partition of :func:`met`."""
+    """Side and rows of each pack of :func:`sided` or :func:`met`."""
     for batch in batches:
         for side, pack in zip(batch.column("side").to_pylist(), batch.column("pack")):
             yield side, pa.ipc.open_stream(pack.as_buffer()).read_all()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import checkpointed, ship_package
 from .kernel import cosine_distances, matrix, pair_products, sum_products
-from .packs import met, ordered, packed, unpacked
+from .packs import ordered, packed, sided, unpacked
 
 #: About how many candidates, and how many vectors, meet in one task.
 GROUP_PAIRS = 1 << 20
@@ -83,12 +82,13 @@ def measured(
     )
     arrow_schema = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(known: pa.Table, pairs: pa.Table) -> pa.Table:
         sides: list[list[pa.Table]] = [[], [], []]
-        for side, rows in unpacked(batches):
+        for side, rows in unpacked(known.to_batches()):
             sides[side].append(rows)
+        sides[2] = [rows for _, rows in unpacked(pairs.to_batches())]
         if not all(sides):
-            return
+            return arrow_schema.empty_table()
         asked, rows, pairs = (pa.concat_tables(tables).combine_chunks() for tables in sides)
         sides.clear()
         chunk = lambda table, name: table.column(name).chunk(0)
@@ -110,9 +110,9 @@ def measured(
         limit = chunk(asked, "limit").take(pa.array(q))
         keep = pa.array(np.arange(len(q)) - np.searchsorted(q, q) < limit.to_numpy())
         columns = [chunk(asked, "q_id").take(pa.array(q)), limit, found.column("doc_key"), found.column("id"), found.column("distance")]
-        yield from pa.table(columns, names=schema.names).filter(keep).cast(arrow_schema).to_batches()
+        return pa.table(columns, names=schema.names).filter(keep).cast(arrow_schema)
 
-    return met(blocks * parts, asked, held, pairs).mapInArrow(run, schema)
+    return sided(asked, held).groupBy("task").cogroup(sided(pairs).groupBy("task")).applyInArrow(run, schema)
 
 
 def _named(names: pa.Array, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray]:
